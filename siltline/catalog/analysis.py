@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltline.catalog.base import Inputs, query
-from siltline.functions.numbers import ratio
 from siltline.operators import analytics, dedup, profile
 
 # Orders with gaps: the first rows in key order have no priority, and no row has a comment.

@@ -10,10 +10,20 @@ from pyspark.sql import functions as F
 
 from siltline.session import tune, workspace
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-]
+# Columns of the given tables. With a stated schema no footer is read while a plan is built.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 class Inputs:
@@ -29,7 +39,7 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}.parquet")
 
     def derive(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{t: getattr(self, t) for t in TABLES if "{" + t + "}" in text})
@@ -37,12 +47,6 @@ class Inputs:
     def folder(self, label: str) -> str:
         return workspace(self.spark, label)
 
-    def stored(self, df: DataFrame, label: str) -> DataFrame:
-        """Write a frame that feeds several outputs once, to the shared folder, and read it from there."""
-        path = self.folder(label)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
 
 @dataclass(frozen=True)
 class Entry:

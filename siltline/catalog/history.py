@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siltline.catalog.base import Inputs, query
 from siltline.operators import scd, star
+from siltline.session import settle
 from siltline.sources import landing, payload
 
 # The same customers at three moments. At the second, those in debt changed their segment, one region's
@@ -55,8 +56,8 @@ def customer_history(t: Inputs):
     """Three runs. Each is written before the next reads it, as separate jobs would."""
     checked = ["segment", "nation"]
     first, second = t.derive(FIRST), t.derive(SECOND)
-    history = t.stored(scd.initial(first, "id", checked, RUNS[0]), "i1")
-    history = t.stored(scd.snapshot(history, second, "id", checked, RUNS[1]), "i1")
+    history = settle(scd.initial(first, "id", checked, RUNS[0]), "i1")
+    history = settle(scd.snapshot(history, second, "id", checked, RUNS[1]), "i1")
     return scd.snapshot(history, first, "id", checked, RUNS[2])
 
 
@@ -73,7 +74,7 @@ def snapshot(t: Inputs):
 def snapshot_rerun(t: Inputs):
     """A run on unchanged input changes nothing."""
     checked, rows = ["segment", "nation"], t.derive(FIRST)
-    history = t.stored(scd.initial(rows, "id", checked, RUNS[0]), "i1_rerun")
+    history = settle(scd.initial(rows, "id", checked, RUNS[0]), "i1_rerun")
     return scd.snapshot(history, rows, "id", checked, RUNS[1])
 
 

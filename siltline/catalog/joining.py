@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from siltline.catalog.base import Inputs, query
 from siltline.catalog.derived import LINE_DETAIL, NATION_TOTALS
 from siltline.functions.keys import surrogate_key
-from siltline.functions.numbers import ratio
 from siltline.operators import allocate, quality, star
+from siltline.session import settle
 
 DETAIL = f"""
 with detail as (
@@ -19,7 +19,7 @@ coarse as (select year, nation, sum(price) as price from ({NATION_TOTALS}) as c
 
 
 def line_detail(t: Inputs):
-    return allocate.sum_by(t.derive(LINE_DETAIL), ["year", "nation", "brand"], {"quantity": "quantity"})
+    return settle(allocate.sum_by(t.derive(LINE_DETAIL), ["year", "nation", "brand"], {"quantity": "quantity"}), "detail")
 
 
 @query(

@@ -13,6 +13,7 @@ from siltline.catalog.shapes import NATIONAL, wide_matrix
 from siltline.functions.keys import NULL_TOKEN
 from siltline.functions.text import normal_key
 from siltline.plans import gold, questions, silver, staging, suite
+from siltline.session import settle
 from siltline.sources import landing, payload, raw_csv
 from siltline.sources.schemas import RAW_COLUMNS
 
@@ -20,10 +21,9 @@ from siltline.sources.schemas import RAW_COLUMNS
 
 EXPORTS = f"""
 exports as (
-  select y as year, province, country, cast(v as double) as fob_usd from ({MATRIX_CELLS}) as c where v > 0 and y between 1990 and 2030
-  union all
-  select y, '{NATIONAL}', country, cast(sum(v) as double) from ({MATRIX_CELLS}) as c where y between 1990 and 2030 group by y, country)
+  select y as year, province, country, cast(v as double) as fob_usd from ({MATRIX_CELLS}) as c where v > 0 and y between 1990 and 2030)
 """
+NATIONAL_BLOCK = f"select y, '{NATIONAL}', country, cast(sum(v) as double) from ({MATRIX_CELLS}) as c group by y, country"
 CERTS = f"""
 certs as (
   select distinct try_cast(fecha as date) as fecha, trim(oficina_cf) as oficina_cf, trim(provincia) as provincia,
@@ -58,7 +58,7 @@ def readings_columns(df):
 
 # ---------------------------------------------------------------- silver
 
-@query("m1_indec_exports", f"with {EXPORTS} select year, province, country, fob_usd from exports")
+@query("m1_indec_exports", f"with {EXPORTS} select year, province, country, fob_usd from exports union all {NATIONAL_BLOCK}")
 def indec_exports(t: Inputs):
     bronze, target = t.folder("m1_bronze"), t.folder("m1_silver")
     landing.land(wide_matrix(t), bronze, "indec", date(2024, 1, 1))
@@ -75,7 +75,7 @@ def indec_exports(t: Inputs):
 def latest_landing(t: Inputs):
     """Two landings; the second revises the years from 1998 on."""
     bronze = t.folder("m1_landings")
-    matrix = t.stored(wide_matrix(t), "m1_matrix")
+    matrix = settle(wide_matrix(t), "m1_matrix")
     landing.land(matrix, bronze, "indec", date(2024, 1, 1))
     revised = matrix.where(F.year(F.col("indice_tiempo").cast("date")) >= 1998)
     cells = [c for c in matrix.columns if c != "indice_tiempo"]
@@ -125,7 +125,9 @@ def certs_frame(t: Inputs):
 
 
 def exports_frame(t: Inputs):
-    return silver.indec_exports(wide_matrix(t))
+    day = F.concat(F.col("y").cast("string"), F.lit("-01-01"))
+    cells = t.derive(MATRIX_CELLS).select(day.alias("indice_tiempo"), "province", "country", F.col("v").cast("string").alias("raw_value"))
+    return silver.exports_from_long(cells)
 
 
 def indicators_frame(t: Inputs):
@@ -233,8 +235,8 @@ class Mart:
 
     def __init__(self, t: Inputs):
         self.t = t
-        self.certs = t.stored(certs_frame(t), "certs")
-        self.exports = t.stored(exports_frame(t), "exports")
+        self.certs = settle(certs_frame(t), "certs")
+        self.exports = settle(exports_frame(t), "exports")
         self.stg_certs = staging.stg_senasa_certs(self.certs)
         self.stg_exports = staging.stg_indec_exports(self.exports)
         self.products = gold.dim_product(self.stg_certs)
@@ -245,7 +247,7 @@ class Mart:
         return gold.int_exports_enriched(self.stg_certs, self.stg_exports)
 
     def history(self):
-        first = self.t.stored(gold.snap_destination(self.certs, datetime(2024, 1, 1)), "snap")
+        first = settle(gold.snap_destination(self.certs, datetime(2024, 1, 1)), "snap")
         renamed = F.when(F.col("continente") == "AMERICA", "América").otherwise(F.col("continente"))
         later = self.certs.where(F.col("continente") != "AFRICA").withColumn("continente", renamed)
         return gold.snap_destination(later, datetime(2024, 2, 1), first)
@@ -353,10 +355,10 @@ def _expected_suite():
 @query("m11_quality_suite", _expected_suite())
 def quality_suite(t: Inputs):
     mart = Mart(t)
-    destinations = t.stored(mart.destinations(), "dim_destination")
-    fact = t.stored(gold.fct_exports(mart.enriched(), mart.dates, destinations, mart.products, mart.provinces), "fct_exports")
-    indicators = t.stored(indicators_frame(t), "indicators")
-    readings = t.stored(readings_frame(t), "readings")
+    destinations = settle(mart.destinations(), "dim_destination")
+    fact = settle(gold.fct_exports(mart.enriched(), mart.dates, destinations, mart.products, mart.provinces), "fct_exports")
+    indicators = settle(indicators_frame(t), "indicators")
+    readings = settle(readings_frame(t), "readings")
     return suite.check_tables({
         "indec_exports": mart.exports,
         "senasa_certs": mart.certs,

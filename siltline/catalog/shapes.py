@@ -8,6 +8,7 @@ from siltline.catalog.base import Inputs, query
 from siltline.catalog.derived import MATRIX_CELLS
 from siltline.functions.dates import with_year_month
 from siltline.operators import reshape
+from siltline.session import settle
 
 NATIONAL = "exportaciones_totales"
 
@@ -23,7 +24,7 @@ def wide_matrix(t: Inputs):
         F.lit(f"{NATIONAL}_total_general"),
     )
     cells = t.derive(MATRIX_CELLS).select("y", "v", F.explode(names).alias("name"))
-    columns = t.stored(cells.groupBy("y", "name").agg(F.sum("v").alias("v")), "matrix")
+    columns = settle(cells.groupBy("y", "name").agg(F.sum("v").alias("v")), "matrix")
     wide = columns.groupBy("y").pivot("name").agg(F.first("v"))
     values = [F.col(f"`{c}`").cast("decimal(18,2)").cast("string").alias(c) for c in wide.columns if c != "y"]
     return wide.select(F.concat(F.col("y").cast("string"), F.lit("-01-01")).alias("indice_tiempo"), *values)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.functions.numbers import or_default, ratio
-from siltline.operators.joins import split_join
+from siltline.operators.joins import group_join
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
@@ -27,7 +27,7 @@ def partition_total(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     The same result as a sum over an unordered window, but a group is never gathered in one task.
     """
     totals = df.groupBy(*keys).agg(F.sum(value).alias(out), F.count("*").alias("_rows"))
-    return split_join(df, totals, keys, "_rows", null_safe=True)
+    return group_join(df, totals, keys, "_rows", null_safe=True)
 
 
 def share_of_total(
@@ -37,7 +37,7 @@ def share_of_total(
     inner join of the detail with its totals drops them; the share of a zero total is NULL."""
     kept = _keyed(df, keys)
     totals = kept.groupBy(*keys).agg(F.sum(weight).alias(total), F.count("*").alias("_rows"))
-    return split_join(kept, totals, keys, "_rows").withColumn(share, ratio(weight, total))
+    return group_join(kept, totals, keys, "_rows").withColumn(share, ratio(weight, total))
 
 
 def left_with_default(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: Mapping[str, object]) -> DataFrame:
@@ -57,15 +57,16 @@ def apportion(
 ) -> DataFrame:
     """Spread a coarse measure over finer rows in proportion to a weight.
 
-    ``detail`` has one row per finest key. ``totals`` may have several rows per key; they are added up
-    first. Both sides meet once per group, before the detail rows are touched, so the detail is joined
-    a single time. Groups without a total get 0; groups of zero or unknown weight get NULL.
+    ``detail`` has one row per finest key and is read twice, so a costly one should be settled before.
+    ``totals`` may have several rows per key; they are added up first. Both sides meet once per group,
+    before the detail rows are touched, so the detail is joined a single time. Groups without a total
+    get 0; groups of zero or unknown weight get NULL.
     """
     kept = _keyed(detail, keys)
     weights = kept.groupBy(*keys).agg(F.sum(weight).alias("_weight"), F.count("*").alias("_rows"))
     coarse = totals.groupBy(*keys).agg(F.sum(measure).alias(total_out))
     groups = left_with_default(weights, coarse, keys, {total_out: 0})
-    joined = split_join(kept, groups, keys, "_rows")
+    joined = group_join(kept, groups, keys, "_rows")
     part = ratio(weight, "_weight") * F.col(total_out)
     return joined.select(*detail.columns, part.alias(out), total_out)
 

@@ -1,4 +1,4 @@
-"""Joins of a large frame to a side that is unique on the join columns."""
+"""Joins of a large frame to a side that holds every key once."""
 
 from __future__ import annotations
 
@@ -8,40 +8,52 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltline.session import settle
+
+# A side up to this size is broadcast as a whole.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+# A key is hot when it holds more than this fraction of all rows; there are fewer than 1000 such keys.
 HOT_SHARE = 1000
 
 
-def _on(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
-    pairs = [l.eqNullSafe(r) if null_safe else l == r for l, r in zip(left, right)]
-    return reduce(lambda a, b: a & b, pairs)
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Counts the rows of a frame and the bytes of their text."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    seen = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return seen.n <= rows and seen.b <= size
+
+
+def _on(keys: Sequence[str], null_safe: bool) -> Column:
+    sides = [(F.col(k), F.col(f"_side_{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, [l.eqNullSafe(r) if null_safe else l == r for l, r in sides])
 
 
-def split_join(
+def group_join(
     left: DataFrame,
     side: DataFrame,
     keys: Sequence[str],
     rows: str,
-    how: str = "inner",
     null_safe: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
 ) -> DataFrame:
-    """Join ``left`` to a key-unique ``side`` without moving the rows of its hot keys.
+    """Bring figures of groups to their rows: an inner join of ``left`` to a ``side`` unique on ``keys``.
 
-    ``rows`` names the column of ``side`` that holds the number of left rows of the key. A key is hot
-    when it holds more than 1/``hot_share`` of all of them, so there are fewer than ``hot_share`` hot
-    keys whatever the size of the data: those few rows of ``side`` are broadcast, and the rows that
-    match stay where they are. All other rows go through a shuffled join, in which no key is larger
-    than 1/``hot_share`` of the table. Every left key has to be in ``side``.
+    ``side`` is written once and measured. A small one is broadcast. A larger one is split by the
+    number of left rows per key, which its column ``rows`` holds: a key with more than 1/``hot_share``
+    of all rows is hot, so the hot part has fewer than ``hot_share`` rows and is broadcast, and the rows of
+    hot keys stay where they are. The rows of all other keys take a shuffled join, in which no key is
+    larger than 1/``hot_share`` of the table. Every row is in exactly one of the two parts.
     """
-    total = side.agg(F.sum(rows)).scalar()
-    is_hot = F.col(rows) * hot_share > total
+    known = settle(side, "groups")
     extra = [c for c in side.columns if c not in keys and c != rows]
-    renamed = [F.col(k).alias(f"_side_{k}") for k in keys]
-    hot = side.where(is_hot).select(*renamed, *extra)
-    cold = side.where(~is_hot).select(*renamed, *extra)
-    condition = _on([F.col(k) for k in keys], [F.col(f"_side_{k}") for k in keys], null_safe)
-    columns = [*left.columns, *extra]
+    columns, condition = [*left.columns, *extra], _on(keys, null_safe)
+    slim = lambda df: df.select(*[F.col(k).alias(f"_side_{k}") for k in keys], *extra)
+    if fits_broadcast(known, broadcast_rows):
+        return left.join(F.broadcast(slim(known)), condition).select(*columns)
+    hot_now = F.col(rows) * hot_share > known.agg(F.sum(rows)).scalar()
+    hot, cold = slim(known.where(hot_now)), slim(known.where(~hot_now))
     from_hot = left.join(F.broadcast(hot), condition).select(*columns)
-    remaining = left.join(F.broadcast(hot), condition, "left_anti")
-    from_cold = remaining.join(cold, condition, how).select(*columns)
-    return from_hot.unionByName(from_cold)
+    others = left.join(F.broadcast(hot), condition, "left_anti")
+    return from_hot.unionByName(others.join(cold, condition).select(*columns))

@@ -14,6 +14,7 @@ from siltline.operators import scd
 from siltline.operators.allocate import apportion, sum_by
 from siltline.operators.star import Lookup, date_dimension, date_spine, first_of_year, lookup_keys
 from siltline.plans import constants as K
+from siltline.session import settle
 
 PLACE_YEAR = ["year", "province", "country"]
 HISTORY = scd.Validity("dbt_valid_from", "dbt_valid_to", "dbt_updated_at")
@@ -21,7 +22,7 @@ HISTORY = scd.Validity("dbt_valid_from", "dbt_valid_to", "dbt_updated_at")
 
 def int_exports_enriched(stg_certs: DataFrame, stg_exports: DataFrame) -> DataFrame:
     """Export value per product: the value of a place and year, spread over its products by tonnes."""
-    detail = sum_by(stg_certs, [*PLACE_YEAR, "commodity"], {"total_tn": "total_tn"})
+    detail = settle(sum_by(stg_certs, [*PLACE_YEAR, "commodity"], {"total_tn": "total_tn"}), "detail")
     return apportion(detail, stg_exports, PLACE_YEAR, "total_tn", "fob_usd", "fob_usd", "total_fob_usd")
 
 

@@ -9,12 +9,13 @@ from siltline.functions.numbers import ratio
 from siltline.operators.allocate import apportion, sum_by
 from siltline.operators.analytics import change_by_period, correlation_by, top_ranked
 from siltline.plans.gold import PLACE_YEAR
+from siltline.session import settle
 
 
 def value_by_quarter(certs: DataFrame, exports: DataFrame) -> DataFrame:
     """Value per product and quarter. ``certs``: year, quarter, province, country, commodity, total_tn;
     ``exports``: year, province, country, fob_usd. The annual value is spread over products and quarters."""
-    detail = sum_by(certs, [*PLACE_YEAR, "quarter", "commodity"], {"total_tn": "total_tn"})
+    detail = settle(sum_by(certs, [*PLACE_YEAR, "quarter", "commodity"], {"total_tn": "total_tn"}), "detail")
     spread = apportion(detail, exports, PLACE_YEAR, "total_tn", "fob_usd", "fob_usd", "total_fob_usd")
     return sum_by(spread, ["year", "quarter", "commodity"], {"fob_usd": "fob_usd", "total_tn": "total_tn"})
 

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +62,14 @@ def _local_root() -> str:
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for one job's written tables."""
     return f"{shared_root(spark)}/siltline/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str = "frame") -> DataFrame:
+    """Write a frame to the shared folder and continue from the written table.
+
+    For frames that several later steps read: they are computed once, a lost executor costs one read
+    instead of the whole lineage, and the planner knows their size.
+    """
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
