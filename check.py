@@ -37,10 +37,9 @@ def connect(sf_dir: str):
     return con
 
 
-def differences(spark, con, sf_dir: str, name: str) -> list[str]:
-    """What is different between a query and its SQL; empty when they agree."""
+def differences(df, con, name: str) -> list[str]:
+    """What is different between the frame of a query and its SQL; empty when they agree."""
     entry, found = REGISTRY[name], []
-    df = entry.run(spark, sf_dir)
     columns = sorted(df.columns)
     rows = [tuple(r[c] for c in columns) for r in df.collect()]
     if entry.sql is None:
@@ -72,7 +71,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            found = differences(spark, con, sf_dir, name)
+            found = differences(REGISTRY[name].run(spark, sf_dir), con, name)
         except Exception as e:  # noqa: BLE001
             found = [f"{type(e).__name__}: {str(e)[:900]}"]
             if len(names) == 1:

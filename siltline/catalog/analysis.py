@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltline.catalog.base import Inputs, query
+from siltline.catalog.derived import RAW_ORDERS
 from siltline.operators import analytics, dedup, profile
 
 # Orders with gaps: the first rows in key order have no priority, and no row has a comment.
@@ -33,6 +34,27 @@ def table_profile(t: Inputs):
     return profile.profile(t.derive(PROFILED), ["o_orderkey"])
 
 
+TEXTS = ["order_id", "customer_id", "day_text", "amount_text", "label_text"]
+
+
+@query(
+    "g4_profile_raw",
+    f"with raw as ({RAW_ORDERS}) " + " union all ".join(
+        f"""
+        select '{c}' as "column", case when count(*) filter (where {c} is not null and try_cast({c} as bigint) is null) = 0 then 'bigint'
+          when count(*) filter (where {c} is not null and try_cast({c} as double) is null) = 0 then 'double' else 'string' end as dtype,
+          round((count(*) - count({c})) * 100.0 / count(*), 1)::double as null_pct,
+          arg_min({c}, cast(order_id as bigint)) filter (where {c} is not null) as sample from raw
+        """
+        for c in TEXTS
+    ),
+)
+def raw_profile(t: Inputs):
+    raw = t.derive(RAW_ORDERS).withColumn("seq", F.col("order_id").cast("bigint"))
+    found = profile.profile(raw, ["seq"], infer_text=True)
+    return found.where(F.col("column") != "seq").select("column", "dtype", "null_pct", "sample")
+
+
 @query(
     "g4_head",
     "select o_orderkey, o_custkey, o_orderpriority from {orders} order by o_custkey, o_orderkey limit 3",

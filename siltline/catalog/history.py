@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siltline.catalog.base import Inputs, query
 from siltline.operators import scd, star
 from siltline.session import settle
+from siltline.sources import history as store
 from siltline.sources import landing, payload
 
 # The same customers at three moments. At the second, those in debt changed their segment, one region's
@@ -66,6 +67,24 @@ def snapshot(t: Inputs):
     return customer_history(t)
 
 
+@query("i1_history_store", HISTORY + "select id, segment, nation, valid_from, valid_to, updated_at from history")
+def history_store(t: Inputs):
+    """The same three runs against stored history, the last of them twice."""
+    root, checked = t.folder("i1_store"), ["segment", "nation"]
+    deliveries = [t.derive(FIRST), t.derive(SECOND), t.derive(FIRST)]
+    for rows, run_ts in [*zip(deliveries, RUNS), (deliveries[2], RUNS[2])]:
+        store.advance(t.spark, root, rows, "id", checked, run_ts)
+    return store.read_history(t.spark, root)
+
+
+@query("i2_current_from_store", HISTORY + "select id, segment, nation, valid_from from history where valid_to is null")
+def current_from_store(t: Inputs):
+    root = t.folder("i2_store")
+    for rows, run_ts in zip([FIRST, SECOND, FIRST], RUNS):
+        store.advance(t.spark, root, t.derive(rows), "id", ["segment", "nation"], run_ts)
+    return store.read_current(t.spark, root).select("id", "segment", "nation", "valid_from")
+
+
 @query(
     "i1_snapshot_rerun",
     f"""with rows as ({FIRST})

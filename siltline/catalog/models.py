@@ -261,7 +261,8 @@ class Mart:
 
 @query("m6_int_exports_enriched", f"with {ENRICHED} select * from enriched")
 def int_exports_enriched(t: Inputs):
-    return Mart(t).enriched()
+    certs, exports = staging.stg_senasa_certs(certs_frame(t)), staging.stg_indec_exports(exports_frame(t))
+    return gold.int_exports_enriched(certs, exports)
 
 
 @query(

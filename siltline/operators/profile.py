@@ -11,32 +11,44 @@ NO_SAMPLE = "—"
 SAMPLE_WIDTH = 80
 
 
-def profile(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def _parses(value: Column, kind: str) -> Column:
+    return F.count(value.try_cast(kind))
+
+
+def profile(df: DataFrame, order_by: Sequence[str], infer_text: bool = False) -> DataFrame:
     """(column, position, dtype, rows, columns, null_pct, sample) per column.
 
-    ``sample`` is the first non-null value in ``order_by`` order, or a dash. All figures come from one
-    aggregation, whatever the number of columns.
+    ``sample`` is the first non-null value in ``order_by`` order, or a dash. With ``infer_text`` a text
+    column whose values all parse as whole or decimal numbers is reported as bigint or double, which is
+    what raw files are profiled for. All figures come from one aggregation, whatever the number of columns.
     """
     fields = df.dtypes
     order = F.struct(*[F.col(f"`{c}`") for c in order_by])
     measures = [F.count("*").alias("_rows")]
-    for i, (name, _) in enumerate(fields):
+    for i, (name, dtype) in enumerate(fields):
         value = F.col(f"`{name}`")
         measures.append(F.count(value).alias(f"_n{i}"))
         measures.append(F.min_by(value.cast("string"), F.when(value.isNotNull(), order)).alias(f"_s{i}"))
+        if infer_text and dtype == "string":
+            measures.append(_parses(value, "bigint").alias(f"_b{i}"))
+            measures.append(_parses(value, "double").alias(f"_d{i}"))
     totals = df.agg(*measures)
-    lines = [
-        F.struct(
+    lines = []
+    for i, (name, dtype) in enumerate(fields):
+        filled, rows = F.col(f"_n{i}"), F.col("_rows")
+        kind = F.lit(dtype)
+        if infer_text and dtype == "string":
+            numeric = F.when(filled == F.col(f"_b{i}"), "bigint").when(filled == F.col(f"_d{i}"), "double")
+            kind = F.when(filled > 0, numeric.otherwise("string")).otherwise("string")
+        lines.append(F.struct(
             F.lit(name).alias("column"),
             F.lit(i + 1).alias("position"),
-            F.lit(dtype).alias("dtype"),
-            F.col("_rows").alias("rows"),
+            kind.alias("dtype"),
+            rows.alias("rows"),
             F.lit(len(fields)).alias("columns"),
-            F.when(F.col("_rows") > 0, F.round((F.col("_rows") - F.col(f"_n{i}")) * 100.0 / F.col("_rows"), 1)).alias("null_pct"),
+            F.when(rows > 0, F.round((rows - filled) * 100.0 / rows, 1)).alias("null_pct"),
             F.coalesce(F.col(f"_s{i}"), F.lit(NO_SAMPLE)).alias("sample"),
-        )
-        for i, (name, dtype) in enumerate(fields)
-    ]
+        ))
     return totals.select(F.inline(F.array(*lines)))
 
 

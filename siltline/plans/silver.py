@@ -73,9 +73,11 @@ def typed_certs(raw: DataFrame) -> DataFrame:
 
 
 def senasa_certs(raw: DataFrame) -> DataFrame:
-    """Equal rows are merged after the cast, so ``5000`` and ``5000.0`` are the same certificate."""
-    valid = with_year_month(keep_valid(typed_certs(raw), CERT_RULES), "fecha")
-    return dedup.exact(project(valid, silver_table("senasa_certs").schema.names))
+    """Equal rows are merged after the cast, so ``5000`` and ``5000.0`` are the same certificate. Year and
+    month follow from the date and are added after the merge, to keep them out of its shuffle."""
+    valid = keep_valid(typed_certs(raw), CERT_RULES)
+    merged = dedup.exact(project(valid, RAW_COLUMNS["senasa_certs"]))
+    return project(with_year_month(merged, "fecha"), silver_table("senasa_certs").schema.names)
 
 
 def worldbank_indicators(raw: DataFrame, order_by: Sequence[str | Column] = POSITION) -> DataFrame:

@@ -23,7 +23,8 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     position: bool = False,
 ) -> DataFrame:
-    """All files below ``path``, uncast. Directory names are not turned into columns.
+    """All files below ``path``, uncast. Directory names are not turned into columns, and a field without
+    text is NULL.
 
     With ``columns`` the schema is stated and no file is opened for it; without, the header of the
     first file gives the names. ``position`` adds the columns that say where a row stood: file, block

@@ -19,21 +19,25 @@ RAW_COLUMNS = {
     ],
 }
 
-SILVER_DDL = {
-    "indec_exports": "year int, province string, country string, fob_usd decimal(18,4)",
-    "senasa_certs": (
-        "fecha date, oficina_cf string, provincia string, provincia_id int, pais_destino string, "
-        "pais_destino_id int, pais_destino_id_iso_3166_1 string, continente string, "
-        "mercaderia_certificada string, transporte string, tn decimal(18,4), year int, month int"
-    ),
-    "worldbank_indicators": (
-        "country string, country_code string, indicator string, indicator_code string, year int, value decimal(18,6)"
-    ),
-    "weather_daily_readings": (
-        "date date, province string, latitude decimal(8,5), longitude decimal(8,5), temp_max_c decimal(6,2), "
-        "temp_min_c decimal(6,2), precipitation_mm decimal(8,2), wind_speed_max_kmh decimal(6,2), "
-        "evapotranspiration_mm decimal(8,2), year int, month int"
-    ),
+TEXT, WHOLE, DATE, MONEY = T.StringType(), T.IntegerType(), T.DateType(), T.DecimalType(18, 4)
+
+SILVER_COLUMNS = {
+    "indec_exports": [("year", WHOLE), ("province", TEXT), ("country", TEXT), ("fob_usd", MONEY)],
+    "senasa_certs": [
+        ("fecha", DATE), ("oficina_cf", TEXT), ("provincia", TEXT), ("provincia_id", WHOLE), ("pais_destino", TEXT),
+        ("pais_destino_id", WHOLE), ("pais_destino_id_iso_3166_1", TEXT), ("continente", TEXT),
+        ("mercaderia_certificada", TEXT), ("transporte", TEXT), ("tn", MONEY), ("year", WHOLE), ("month", WHOLE),
+    ],
+    "worldbank_indicators": [
+        ("country", TEXT), ("country_code", TEXT), ("indicator", TEXT), ("indicator_code", TEXT),
+        ("year", WHOLE), ("value", T.DecimalType(18, 6)),
+    ],
+    "weather_daily_readings": [
+        ("date", DATE), ("province", TEXT), ("latitude", T.DecimalType(8, 5)), ("longitude", T.DecimalType(8, 5)),
+        ("temp_max_c", T.DecimalType(6, 2)), ("temp_min_c", T.DecimalType(6, 2)),
+        ("precipitation_mm", T.DecimalType(8, 2)), ("wind_speed_max_kmh", T.DecimalType(6, 2)),
+        ("evapotranspiration_mm", T.DecimalType(8, 2)), ("year", WHOLE), ("month", WHOLE),
+    ],
 }
 
 PARTITIONS = {
@@ -52,4 +56,5 @@ class TableSpec:
 
 
 def silver_table(name: str) -> TableSpec:
-    return TableSpec(name, T.StructType.fromDDL(SILVER_DDL[name]), PARTITIONS[name])
+    schema = T.StructType([T.StructField(column, kind) for column, kind in SILVER_COLUMNS[name]])
+    return TableSpec(name, schema, PARTITIONS[name])

@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltline.operators.dedup import first_per_key
+from siltline.session import settle
 from siltline.sources.tables import overwrite_partitions, read_or_empty
 
 
+def _partition_name(columns: Sequence[str]) -> Column:
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
+
+
 def merge_first(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
     """The stored rows of the partitions the batch touches, with the batch rows of unknown keys added.
 
-    Only touched partitions are read: the batch's partition values reach the scan as a partition filter.
-    Both sides hold a key once, so a stored row and a new row are the most that meet.
+    The touched partitions are a filter on partition columns alone, so no other partition is read; their
+    number is that of folders, not of rows. Both sides hold a key once, so at most two rows of a key meet.
     """
-    touched = batch.select(*partition_by).distinct()
-    old = stored.join(touched, list(partition_by), "left_semi").select(*stored.columns)
-    aged = old.withColumn("_age", F.lit(0)).unionByName(batch.withColumn("_age", F.lit(1)))
+    name = _partition_name(partition_by)
+    touched = [r.p for r in batch.select(name.alias("p")).distinct().collect()]
+    aged = stored.where(name.isin(touched)).withColumn("_age", F.lit(0)).unionByName(batch.withColumn("_age", F.lit(1)))
     return first_per_key(aged, keys, ["_age"]).drop("_age")
 
 
@@ -38,7 +43,8 @@ def upsert_first(
     The merged partitions are written to ``staging`` first: a job that is run again after a loss never
     reads partitions it has half replaced. Running the same batch twice changes nothing.
     """
-    merged = merge_first(read_or_empty(spark, target, schema), batch, keys, partition_by)
+    new_rows = settle(batch, "batch")
+    merged = merge_first(read_or_empty(spark, target, schema), new_rows, keys, partition_by)
     merged.write.mode("overwrite").parquet(staging)
     overwrite_partitions(spark.read.schema(schema).parquet(staging), target, partition_by)
 
