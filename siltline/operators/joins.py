@@ -18,10 +18,11 @@ HOT_SHARE = 1000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Counts the rows of a frame and the bytes of their text."""
+    """Counts the rows of a settled frame and, if they are few, the bytes of their text."""
+    if df.count() > rows:
+        return False
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    seen = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return seen.n <= rows and seen.b <= size
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0] <= size
 
 
 def _on(keys: Sequence[str], null_safe: bool) -> Column:

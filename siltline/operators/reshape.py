@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltline.session import settle
+
 
 def drop_marked(df: DataFrame, marker: str) -> DataFrame:
     """Drop the columns whose name holds ``marker``. Looks at the schema only."""
@@ -76,17 +78,19 @@ def split_by_prefix(
     """Cut ``column`` after its longest known prefix, where the prefixes are data.
 
     Each distinct name offers the strings that end at one of its separators, and these meet the prefix
-    table in an equi-join. Nothing is compared pair by pair, and repeated names are resolved once.
+    table in an equi-join. Nothing is compared pair by pair, and repeated names are resolved once. The
+    resolved names are settled: joined as a table of known size they are broadcast, or adaptive execution
+    splits the rows of a frequent name.
     """
     names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_name")).distinct()
-    words = F.split("_name", f"\\Q{separator}\\E")
-    heads = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1),
-        lambda n: F.array_join(F.slice(words, F.lit(1), n), separator),
-    )
-    offers = names.where(F.size(words) > 1).select("_name", F.explode(heads).alias("_prefix"))
+    mark = F.lit(separator)
+    without = F.replace(F.col("_name"), mark, F.lit(""))
+    marks = ((F.length("_name") - F.length(without)) / len(separator)).cast("int")
+    heads = F.transform(F.sequence(F.lit(1), marks), lambda n: F.call_function("substring_index", F.col("_name"), mark, n))
+    offers = names.where(F.contains("_name", mark)).select("_name", F.explode(heads).alias("_prefix"))
     known = prefixes.select(F.col(prefix_column).alias("_prefix")).distinct()
-    best = offers.join(known, "_prefix").groupBy("_name").agg(F.max(F.length("_prefix")).alias("_cut"))
+    cuts = offers.join(known, "_prefix").groupBy("_name").agg(F.max(F.length("_prefix")).alias("_cut"))
+    best = settle(cuts, "prefixes")
     cut = F.col("_cut")
     name = F.col(column)
     return df.join(best, name == F.col("_name"), "left").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siltline.functions.dates import calendar_columns
 from siltline.operators.dedup import first_per_key
+from siltline.session import settle
 
 
 def date_spine(spark: SparkSession, start: date, end: date, out: str = "date_day") -> DataFrame:
@@ -59,12 +60,14 @@ def _unique(lookup: Lookup) -> DataFrame:
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Left-join the surrogate keys of several dimensions; a miss gives a NULL key.
 
-    No side is hinted. Spark broadcasts a dimension whose measured size is below the threshold; a larger
-    one takes a sort-merge join, whose hot fact keys adaptive execution splits over several tasks.
+    Each dimension's (natural value, key) pairs are settled, so that a repeated value is found before the
+    fact is touched and the planner knows their size. No side is hinted: a table below Spark's threshold is
+    broadcast; a larger one takes a sort-merge join of two plain shuffles, in which adaptive execution splits
+    the rows of a frequent fact value over several tasks.
     """
     result = fact
     for lookup in lookups:
-        side = _unique(lookup)
+        side = settle(_unique(lookup), "lookup")
         joined = result.join(side, F.col(lookup.fact_column) == F.col("_natural"), "left")
         result = joined.drop("_natural")
     return result

@@ -22,8 +22,8 @@ def value_by_quarter(certs: DataFrame, exports: DataFrame) -> DataFrame:
 
 def volume_vs_indicator(fact: DataFrame, product: DataFrame, indicators: DataFrame) -> DataFrame:
     """Correlation of each product's yearly tonnes with each indicator."""
-    named = fact.join(product.select("product_key", "commodity"), "product_key")
-    volume = sum_by(named, ["commodity", "year"], {"total_tn": "total_tn"})
+    yearly = sum_by(fact, ["product_key", "year"], {"total_tn": "total_tn"})
+    volume = yearly.join(product.select("product_key", "commodity"), "product_key")
     paired = volume.join(indicators.select("indicator_code", "year", "indicator_value"), "year")
     return correlation_by(paired, ["commodity", "indicator_code"], "total_tn", "indicator_value")
 

@@ -170,11 +170,11 @@ def test_lookup(frame):
 def test_lookup_with_repeated_names(frame):
     fact = frame("c string", ("x",))
     dim = frame("name string, key string", ("x", "k2"), ("x", "k1"))
-    modes = {m: star.lookup_keys(fact, [star.Lookup(dim, "c", "name", "key", m)]) for m in ("fan_out", "first", "error")}
-    assert tuples(modes["fan_out"]) == [("x", "k1"), ("x", "k2")]
-    assert tuples(modes["first"]) == [("x", "k1")]
+    keyed = lambda mode: tuples(star.lookup_keys(fact, [star.Lookup(dim, "c", "name", "key", mode)]))
+    assert keyed("fan_out") == [("x", "k1"), ("x", "k2")]
+    assert keyed("first") == [("x", "k1")]
     with pytest.raises(PySparkException, match="not unique"):
-        modes["error"].collect()
+        keyed("error")
 
 
 # ---------------------------------------------------------------- history
