@@ -35,11 +35,11 @@ def unaccepted(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """(value, n) of the child values without a parent row, with the number of child rows.
 
-    The child is counted per value before it is joined, so a frequent value crosses the network once
-    per map task. NULL child values are not looked at.
+    Both sides are reduced to one row per value before they are joined, so a frequent value crosses the
+    network once per map task. NULL child values are not looked at.
     """
     counted = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(parent_column).alias("value"))
+    known = parent.select(F.col(parent_column).alias("value")).distinct()
     return counted.join(known, "value", "left_anti")
 
 

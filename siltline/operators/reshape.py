@@ -79,8 +79,8 @@ def split_by_prefix(
 
     Each distinct name offers the strings that end at one of its separators, and these meet the prefix
     table in an equi-join. Nothing is compared pair by pair, and repeated names are resolved once. The
-    resolved names are settled: joined as a table of known size they are broadcast, or adaptive execution
-    splits the rows of a frequent name.
+    prefixes and the resolved names are settled: joined as a table of known size they are broadcast, or
+    adaptive execution splits the rows of a frequent prefix or name.
     """
     names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_name")).distinct()
     mark = F.lit(separator)
@@ -88,9 +88,9 @@ def split_by_prefix(
     marks = ((F.length("_name") - F.length(without)) / len(separator)).cast("int")
     heads = F.transform(F.sequence(F.lit(1), marks), lambda n: F.call_function("substring_index", F.col("_name"), mark, n))
     offers = names.where(F.contains("_name", mark)).select("_name", F.explode(heads).alias("_prefix"))
-    known = prefixes.select(F.col(prefix_column).alias("_prefix")).distinct()
+    known = settle(prefixes.select(F.col(prefix_column).alias("_prefix")).distinct(), "prefixes")
     cuts = offers.join(known, "_prefix").groupBy("_name").agg(F.max(F.length("_prefix")).alias("_cut"))
-    best = settle(cuts, "prefixes")
+    best = settle(cuts, "cuts")
     cut = F.col("_cut")
     name = F.col(column)
     return df.join(best, name == F.col("_name"), "left").select(

@@ -16,7 +16,7 @@ from siltline.operators.analytics import top_ranked
 from siltline.operators.reshape import project, unpivot_matrix
 from siltline.operators.validate import in_range, keep_valid, non_negative_or_null, not_blank, positive, required
 from siltline.plans.constants import EXPORT_YEARS, INDICATOR_YEARS
-from siltline.sources.raw_csv import POSITION, read_raw_csv
+from siltline.sources.raw_csv import POSITION, read_drifting_csv, read_raw_csv
 from siltline.sources.schemas import RAW_COLUMNS, silver_table
 from siltline.sources.tables import create_table, overwrite_partitions, overwrite_table
 
@@ -113,10 +113,12 @@ def silver_of(name: str, raw: DataFrame) -> DataFrame:
 def refresh(spark: SparkSession, name: str, bronze: str, target: str, table: str | None = None, using: str = "parquet") -> DataFrame:
     """Read the raw tree, build the silver table, overwrite its partitions and return it as stored.
 
-    ``table`` is a catalog name; without it the files below ``target`` are the table.
+    ``table`` is a catalog name; without it the files below ``target`` are the table. The wide matrix has
+    no fixed columns, so its landings are matched by their headers.
     """
     spec = silver_table(name)
-    raw = read_raw_csv(spark, bronze, RAW_COLUMNS.get(name), position=True)
+    known = RAW_COLUMNS.get(name)
+    raw = read_raw_csv(spark, bronze, known, position=True) if known else read_drifting_csv(spark, bronze)
     rows = silver_of(name, raw)
     if table:
         create_table(spark, table, spec.schema, spec.partition_by, target, using)

@@ -52,7 +52,7 @@ def landing_folders(spark: SparkSession, root: str) -> list[str]:
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.csv*")
         .load(root)
         .select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
     )
@@ -62,8 +62,8 @@ def landing_folders(spark: SparkSession, root: str) -> list[str]:
 def read_drifting_csv(spark: SparkSession, root: str) -> DataFrame:
     """A tree whose landings have different headers, matched by column name.
 
-    One reader over several headers would match by position. Folders are grouped by header instead, and
-    there is one scan per distinct header. Columns that a landing lacks are NULL.
+    One reader over several headers would match by position. The first line of each landing folder is
+    looked at, and there is one scan per distinct header. Columns that a landing lacks are NULL.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for folder in landing_folders(spark, root):

@@ -42,14 +42,26 @@ def create_table(
     )
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str], using: str = "parquet") -> None:
-    """Partition overwrite by table name. Catalogs of a table format have their own writer."""
+    """Partition overwrite by table name. Catalogs of a table format have their own writer.
+
+    ``insertInto`` looks at the session for the overwrite mode and not at writer options, so the mode is
+    set for the time of the write.
+    """
     if using == "iceberg":
         df.writeTo(name).overwritePartitions()
         return
-    order = df.sparkSession.table(name).columns
-    spread = _spread(df.select(*order), partition_by)
-    spread.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    spark = df.sparkSession
+    spread = _spread(df.select(*spark.table(name).columns), partition_by)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        spread.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

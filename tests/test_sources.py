@@ -34,7 +34,7 @@ def test_drifting_headers(spark, tmp_path):
     put(tmp_path / "m=1/f.csv", "a,b\n1,2\n")
     put(tmp_path / "m=2/f.csv", "b,a\n4,3\n")
     put(tmp_path / "m=3/f.csv", "a,c\n5,6\n")
-    put(tmp_path / "m=4/f.csv", "a,b\n7,8\n")
+    put(tmp_path / "m 4/f.csv", "a,b\n7,8\n")
     assert tuples(raw_csv.read_drifting_csv(spark, str(tmp_path)), "a", "b", "c") == [
         ("1", "2", None), ("3", "4", None), ("5", None, "6"), ("7", "8", None)]
 
@@ -190,3 +190,13 @@ def test_quality(frame):
     assert tuples(suite.run({"c": child, "p": parent})) == [
         ("c", "id", "not_null", 1, "fail"), ("c", "id", "unique", 1, "fail"), ("c", "p", "relationships", 2, "fail"),
         ("c", "s", "accepted_values", 2, "fail"), ("p", "k", "not_null", 0, "pass"), ("p", "k", "unique", 0, "pass")]
+
+
+def test_table_overwrite_keeps_other_partitions(spark, frame, tmp_path):
+    name, schema = f"t_{abs(hash(str(tmp_path)))}", T.StructType.fromDDL("v string, y int")
+    tables.create_table(spark, name, schema, ["y"], str(tmp_path / "t"))
+    tables.overwrite_table(frame("y int, v string", (1, "a"), (2, "b")), name, ["y"])
+    tables.create_table(spark, name, schema, ["y"], str(tmp_path / "t"))
+    tables.overwrite_table(frame("y int, v string", (2, "c")), name, ["y"])
+    assert tuples(spark.table(name)) == [("a", 1), ("c", 2)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
