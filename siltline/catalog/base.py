@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.session import tune, workspace
@@ -89,3 +89,8 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         columns.append(c.alias(field.name))
     return df.select(*columns)
+
+
+def nullable_number(c: str | Column) -> Column:
+    """Whole numbers with gaps leave as doubles, the only number type in which client libraries agree on gaps."""
+    return (F.col(c) if isinstance(c, str) else c).cast("double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltline.catalog.base import Inputs, query
+from siltline.catalog.base import Inputs, nullable_number, query
 from siltline.catalog.derived import RAW_ORDERS
 from siltline.functions import casts, dates, keys, labels, numbers, text
 from siltline.operators import dedup, validate
@@ -41,12 +41,13 @@ from {lineitem}
 @query(
     "c3_safe_cast_int",
     f"""
-    select l_orderkey, l_linenumber, case when isnan(d) then null else try_cast(trunc(d) as int) end as number
+    select l_orderkey, l_linenumber, cast(case when isnan(d) then null else try_cast(trunc(d) as int) end as double) as number
     from (select l_orderkey, l_linenumber, try_cast(number_text as double) as d from ({NUMBER_TEXT}) as x) as y
     """,
 )
 def safe_cast_int(t: Inputs):
-    return t.derive(NUMBER_TEXT).select("l_orderkey", "l_linenumber", casts.to_int_or_null("number_text").alias("number"))
+    number = nullable_number(casts.to_int_or_null("number_text"))
+    return t.derive(NUMBER_TEXT).select("l_orderkey", "l_linenumber", number.alias("number"))
 
 
 @query(
@@ -159,7 +160,7 @@ with typed as (
          cast(year(try_cast(day_text as date)) as int) as year
   from ({RAW_ORDERS}) as raw)
 """
-TYPED_COLUMNS = "order_id, cast(day as string) as day, cast(amount as double) as amount, label_text, year"
+TYPED_COLUMNS = "order_id, cast(day as string) as day, cast(amount as double) as amount, label_text, cast(year as double) as year"
 
 
 def typed_orders(t: Inputs):
@@ -175,7 +176,7 @@ def typed_orders(t: Inputs):
 def _rule_query(name, rule, where):
     @query(name, f"{TYPED} select {TYPED_COLUMNS} from typed where {where}")
     def run(t: Inputs):
-        return validate.keep_valid(typed_orders(t), [rule()])
+        return validate.keep_valid(typed_orders(t), [rule()]).withColumn("year", nullable_number("year"))
 
     return run
 
@@ -193,7 +194,7 @@ _rule_query("d5_range", lambda: validate.in_range("year", 1996, 1999), "year bet
 )
 def model_filters(t: Inputs):
     keep = (F.col("label_text") == "4-NOT SPECIFIED") & F.col("day").isNotNull() & (F.month("day") == 1)
-    return typed_orders(t).where(keep)
+    return typed_orders(t).where(keep).withColumn("year", nullable_number("year"))
 
 
 def order_rules():

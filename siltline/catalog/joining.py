@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltline.catalog.base import Inputs, query
+from siltline.catalog.base import Inputs, nullable_number, query
 from siltline.catalog.derived import LINE_DETAIL, NATION_TOTALS
 from siltline.functions.keys import surrogate_key
 from siltline.operators import allocate, quality, star
@@ -195,7 +195,8 @@ def sum_by_three_keys(t: Inputs):
 
 @query(
     "h2_partition_total",
-    f"select l_orderkey, l_linenumber, l_partkey, supplier, weight, cast(sum(weight) over (partition by supplier) as bigint) as total from ({WEIGHTED}) as w",
+    f"select l_orderkey, l_linenumber, l_partkey, cast(supplier as double) as supplier, weight, cast(sum(weight) over (partition by supplier) as bigint) as total from ({WEIGHTED}) as w",
 )
 def partition_total(t: Inputs):
-    return allocate.partition_total(t.derive(WEIGHTED), ["supplier"], "weight", "total")
+    totals = allocate.partition_total(t.derive(WEIGHTED), ["supplier"], "weight", "total")
+    return totals.withColumn("supplier", nullable_number("supplier"))

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from siltline.catalog.base import Inputs, query
+from siltline.catalog.base import Inputs, nullable_number, query
 from siltline.catalog.derived import CERTS_RAW, INDICATOR_VALUES, MATRIX_CELLS, WEATHER_RAW
 from siltline.catalog.ingest import indicator_payloads
 from siltline.catalog.shapes import NATIONAL, wide_matrix
@@ -88,14 +88,15 @@ def latest_landing(t: Inputs):
 
 @query(
     "m2_senasa_certs",
-    f"""with {CERTS} select cast(fecha as string) as fecha, oficina_cf, provincia, provincia_id, pais_destino, pais_destino_id,
+    f"""with {CERTS} select cast(fecha as string) as fecha, oficina_cf, provincia, cast(provincia_id as double) as provincia_id, pais_destino, cast(pais_destino_id as double) as pais_destino_id,
       pais_destino_id_iso_3166_1, continente, mercaderia_certificada, transporte, cast(tn as double) as tn,
       cast(year(fecha) as int) as year, cast(month(fecha) as int) as month from certs""",
 )
 def senasa_certs(t: Inputs):
     bronze, target = t.folder("m2_bronze"), t.folder("m2_silver")
     landing.land(t.derive(CERTS_RAW), bronze, "senasa", date(2024, 1, 1))
-    return silver.refresh(t.spark, "senasa_certs", bronze, target)
+    stored = silver.refresh(t.spark, "senasa_certs", bronze, target)
+    return stored.withColumns({c: nullable_number(c) for c in ("provincia_id", "pais_destino_id")})
 
 
 @query("m3_weather_daily_readings", READINGS)
