@@ -13,5 +13,47 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import weighted_sampling
+
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import suffix_array
+
+    return suffix_array.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import pieces
+
+    return pieces.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import substrings
+
+    return substrings.remove(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import sharding
+
+    return sharding.interleave(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import language
+
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import mixing
+
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op4_passages, op5_pieces, op6_substrings, op7_sharding, op9_language, op10_mixture)}
 ORACLES: dict[str, str] = {}
