@@ -19,6 +19,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import licences
+
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltline.llm import suffix_array
 
@@ -43,6 +49,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import vectors
+
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltline.llm import language
 
@@ -55,5 +67,5 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op4_passages, op5_pieces, op6_substrings, op7_sharding, op9_language, op10_mixture)}
+QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op3_licences, op4_passages, op5_pieces, op6_substrings, op7_sharding, op8_vectors, op9_language, op10_mixture)}
 ORACLES: dict[str, str] = {}
