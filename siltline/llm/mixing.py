@@ -150,6 +150,7 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
                                 F.slice(words, F.lit(1), F.col("s.tail").cast("int"))), " ")
     whole = F.array_repeat(F.col("row.text"), F.col("s.passes").cast("int"))
     texts = F.when((F.col("s.head_to") > F.col("s.head")) | (F.col("s.tail") > 0), F.concat(whole, F.array(cut))).otherwise(whole)
-    return joined.select("row", F.explode(texts).alias("new")).select(
-        *(F.col("new").alias(c) if c.lower() == "text" else F.length("new").cast("long").alias(c) if c.lower() == "n_chars"
-          else F.col("row").getField(c).alias(c) for c in columns))
+    row = lambda new: F.struct(*(
+        new.alias(c) if c.lower() == "text" else F.length(new).cast("long").alias(c) if c.lower() == "n_chars"
+        else F.col("row").getField(c).alias(c) for c in columns))
+    return joined.select(F.explode(F.transform(texts, row)).alias("new")).select("new.*")
