@@ -77,7 +77,7 @@ class Marks:
         self.second = second[self.first] if len(second) else second
         group = ((self.kinds >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
         self.groups, self.start = np.unique(group, return_index=True)
-        self.stop = np.r_[self.start[1:], len(self.kinds)]
+        self.stop = np.r_[self.start, len(self.kinds)][1:]
 
     def ask(self, chunk: int, width: int) -> pa.RecordBatch:
         """Rows (part, chunk, low bytes of the hashes, bits of those found twice here)."""
