@@ -1,6 +1,6 @@
 """Jobs for spark-submit.
 
-    silver TABLE --bronze PATH --target PATH [--table NAME] [--using FORMAT]
+    silver TABLE --bronze PATH --target PATH [--table NAME] [--using FORMAT] [--exclude-prefix P] [--newest-landing]
     gold --silver PATH --gold PATH --run-ts 2024-03-01T00:00:00
     check --silver PATH --gold PATH
 """
@@ -27,6 +27,8 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("--target", required=True)
     one.add_argument("--table")
     one.add_argument("--using", default="parquet")
+    one.add_argument("--exclude-prefix", action="append", default=[], help="a block of the wide matrix that is no province")
+    one.add_argument("--newest-landing", action="store_true", help="of repeated cells of the wide matrix the newest counts")
     for job in ("gold", "check"):
         sub = jobs.add_parser(job)
         sub.add_argument("--silver", required=True)
@@ -41,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     args = arguments().parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"siltline-{args.job}").getOrCreate())
     if args.job == "silver":
-        silver.refresh(spark, args.name, args.bronze, args.target, args.table, args.using)
+        silver.refresh(spark, args.name, args.bronze, args.target, args.table, args.using, args.exclude_prefix, args.newest_landing)
         return 0
     if args.job == "gold":
         warehouse.build(spark, args.silver, args.gold, args.run_ts)

@@ -77,6 +77,20 @@ def history_store(t: Inputs):
     return store.read_history(t.spark, root)
 
 
+@query("i1_corrected_rerun", f"""with rows as ({FIRST})
+    select id, segment, nation, '2024-01-01 00:00:00' as valid_from, cast(null as string) as valid_to, '2024-01-01 00:00:00' as updated_at from rows""")
+def corrected_rerun(t: Inputs):
+    """The second run is repeated with the input of the first, which changes nothing; a late run is refused."""
+    root, checked = t.folder("i1_corrected"), ["segment", "nation"]
+    for rows, run_ts in ((FIRST, RUNS[0]), (SECOND, RUNS[1]), (FIRST, RUNS[1])):
+        store.advance(t.spark, root, t.derive(rows), "id", checked, run_ts)
+    try:
+        store.advance(t.spark, root, t.derive(SECOND), "id", checked, RUNS[0])
+    except ValueError:
+        return store.read_history(t.spark, root)
+    raise AssertionError("a run older than the last one was taken")
+
+
 @query("i2_current_from_store", HISTORY + "select id, segment, nation, valid_from from history where valid_to is null")
 def current_from_store(t: Inputs):
     root = t.folder("i2_store")

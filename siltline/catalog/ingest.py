@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltline.catalog.base import Inputs, query
 from siltline.catalog.derived import INDICATOR_VALUES, RAW_ORDERS
+from siltline.session import hadoop_path
 from siltline.sources import landing, payload, raw_csv, tables
 
 RAW_COLUMNS = ["order_id", "customer_id", "day_text", "amount_text", "label_text"]
@@ -118,6 +119,36 @@ def landing_metadata(t: Inputs):
     )
 
 
+@query("a3_land_twice", "select 'uploaded,skipped,uploaded' as statuses, cast(2 * count(*) as bigint) as n, cast(2 * count(*) as bigint) as in_ledger from {part}")
+def land_twice(t: Inputs):
+    """The same key twice and another one: what is landed once is not landed again."""
+    root, ledger = t.folder("a3_landed"), t.folder("a3_ledger")
+    rows = t.part.select("p_partkey", "p_type")
+    days = [date(2024, 3, 1), date(2024, 3, 9), date(2024, 4, 1)]
+    statuses = [landing.land_once(rows, root, "parts", d, "parts.csv", ledger, datetime(2024, 3, 1, 6)) for d in days]
+    landed = raw_csv.read_raw_csv(t.spark, root, ["p_partkey"]).agg(F.count("*").alias("n"))
+    known = landing.read_ledger(t.spark, ledger).agg(F.sum("rows").alias("in_ledger"))
+    return landed.select(F.lit(",".join(statuses)).alias("statuses"), "n").join(known, how="left")
+
+
+@query(
+    "a4_metadata_from_ledger",
+    """
+    select p_partkey, p_type, '2024-03-01 06:00:00' as ingested_at, 'http://example.com/parts.csv' as source_url from {part}
+    """,
+)
+def metadata_from_ledger(t: Inputs):
+    """A later reader finds the facts of a landing by the key that its files lie under."""
+    root, ledger = t.folder("a4_landed"), t.folder("a4_ledger")
+    rows = t.part.select("p_partkey", "p_type")
+    landing.land_once(rows, root, "parts", date(2024, 3, 1), "parts.csv", ledger, datetime(2024, 3, 1, 6), source_url="http://example.com/parts.csv")
+    read = raw_csv.read_raw_csv(t.spark, root, ["p_partkey", "p_type"], position=True)
+    key = F.regexp_extract(raw_csv.FILE, "(source=[^/]+/year=[^/]+/month=[^/]+/[^/]+)/", 1)
+    facts = landing.read_ledger(t.spark, ledger).select("key", "ingested_at", F.col("details")["source_url"].alias("source_url"))
+    return read.withColumn("key", key).join(facts, "key").select(
+        F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_type", F.col("ingested_at").cast("string").alias("ingested_at"), "source_url")
+
+
 @query(
     "a5_partition_overwrite",
     """
@@ -254,6 +285,34 @@ def concat_sorted(t: Inputs):
     return payload.concat_sorted(named, ["indicator", "year"])
 
 
+REORDERED = [["p_partkey", "p_type", "p_size"], ["p_size", "p_partkey", "p_type"], ["p_type", "p_size", "p_partkey"]]
+
+
+def _reordered(t: Inputs, label: str) -> str:
+    """Parts in three files of one tree: other column orders, an upper-case name, none at all, one in a deeper folder."""
+    root = t.folder(label)
+    for k, columns in enumerate(REORDERED):
+        staged = t.folder(f"{label}_{k}")
+        landing.write_csv(t.part.where(F.col("p_partkey") % 3 == k).select(*columns).coalesce(1), staged)
+        fs, folder = hadoop_path(t.spark, staged)
+        written = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+        _, goal = hadoop_path(t.spark, f"{root}/{['F.CSV', 'download', 'deeper/G.csv'][k]}")
+        fs.mkdirs(goal.getParent())
+        fs.rename(written, goal)
+    return root
+
+
+@query("a1_reordered_header", "select cast(p_size as string) as p_size, p_type, cast(p_partkey as string) as p_partkey from {part}")
+def reordered_header(t: Inputs):
+    return raw_csv.read_raw_csv(t.spark, _reordered(t, "a1_reordered"), ["p_size", "p_type", "p_partkey"])
+
+
+@query("a11_mixed_folder", "select cast(p_size as string) as p_size, p_type, cast(p_partkey as string) as p_partkey from {part}")
+def mixed_folder(t: Inputs):
+    """Files of different headers in one folder and in a folder below it; no file comes twice or goes by its name."""
+    return raw_csv.read_drifting_csv(t.spark, _reordered(t, "a11_mixed"))
+
+
 @query(
     "a11_drifting_headers",
     """

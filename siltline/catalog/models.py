@@ -86,6 +86,25 @@ def latest_landing(t: Inputs):
     return silver.indec_exports(dated, exclude_prefixes=[NATIONAL], landing="landing")
 
 
+@query(
+    "m1_refresh_newest_landing",
+    f"""
+    select y as year, province, country, cast(case when y >= 1998 then v * 2 else v end as double) as fob_usd
+    from ({MATRIX_CELLS}) as c where v > 0
+    """,
+)
+def refresh_newest_landing(t: Inputs):
+    """The job over two landings with headers in different orders; the second revises the years from 1998 on."""
+    bronze, target = t.folder("m1_newest"), t.folder("m1_newest_silver")
+    matrix = settle(wide_matrix(t), "m1_matrix")
+    landing.land(matrix, bronze, "indec", date(2024, 1, 1))
+    cells = [c for c in matrix.columns if c != "indice_tiempo"]
+    twice = [(F.col(f"`{c}`").cast("decimal(18,2)") * 2).cast("string").alias(c) for c in reversed(cells)]
+    revised = matrix.where(F.year(F.col("indice_tiempo").cast("date")) >= 1998).select(*twice, "indice_tiempo")
+    landing.land(revised, bronze, "indec", date(2024, 2, 1))
+    return silver.refresh(t.spark, "indec_exports", bronze, target, exclude_prefixes=[NATIONAL], newest_landing=True)
+
+
 @query(
     "m2_senasa_certs",
     f"""with {CERTS} select cast(fecha as string) as fecha, oficina_cf, provincia, cast(provincia_id as double) as provincia_id, pais_destino, cast(pais_destino_id as double) as pais_destino_id,
@@ -320,14 +339,14 @@ def dim_destination(t: Inputs):
     f"""with {STG_CERTS}, days as (select cast(d as date) as d from range(date '1993-01-01', date '2031-01-01', interval 1 day) as r(d)),
     issued as (select fecha, count(*) as n from certs group by 1)
     select cast(d as string) as date_key, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month,
-      cast(week(d) as int) as week, concat(cast(year(d) as string), '-Q', cast(quarter(d) as string)) as year_quarter, n as certificates
-    from issued join days on fecha = d
+      cast(week(d) as int) as week, concat(cast(year(d) as string), '-Q', cast(quarter(d) as string)) as year_quarter, coalesce(n, 0) as certificates
+    from days left join issued on fecha = d
     """,
 )
 def dim_date(t: Inputs):
-    """The days on which certificates were issued, with the calendar columns of the dimension."""
+    """All days of the dimension, with the certificates issued on each."""
     issued = certs_frame(t).groupBy(F.col("fecha").alias("date_key")).agg(F.count("*").alias("certificates"))
-    return gold.dim_date(t.spark).join(issued, "date_key")
+    return gold.dim_date(t.spark).join(issued, "date_key", "left").fillna(0, ["certificates"])
 
 
 @query("m10_fct_exports", f"with {FACT} select * from fact")

@@ -45,11 +45,11 @@ def renamed_value(c: str | Column, names: Mapping[str, str]) -> Column:
 def label_from_table(
     df: DataFrame, column: str, mapping: DataFrame, value: str, label: str, out: str, default: str
 ) -> DataFrame:
-    """Label taken from a mapping table that is unique on ``value``.
+    """Label taken from a mapping table; of several labels of a value the smallest counts, so no row is repeated.
 
     The table may be of any size: no hint is set, so its measured size decides between a broadcast
     and a shuffled join.
     """
-    side = mapping.select(F.col(value).alias("_value"), F.col(label).alias("_label"))
+    side = mapping.groupBy(F.col(value).alias("_value")).agg(F.min(label).alias("_label"))
     joined = df.join(side, F.col(column) == F.col("_value"), "left")
     return joined.select(*df.columns, F.coalesce("_label", F.lit(default)).alias(out))

@@ -15,16 +15,17 @@ def drop_marked(df: DataFrame, marker: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if marker in c])
 
 
-def marked_prefixes(columns: Sequence[str], marker: str) -> list[str]:
-    """The names that stand before ``marker``, longest first."""
-    found = {c.split(marker)[0] for c in columns if marker in c}
-    return sorted(found, key=lambda p: (-len(p), p))
+def subtotal_heads(columns: Sequence[str], marker: str) -> set[str]:
+    """What stands before the marker in the names of subtotal columns."""
+    return {head for head, mark, _ in (c.partition(marker) for c in columns) if mark}
 
 
-def split_name(name: str, prefixes: Sequence[str], unknown: str = "unknown") -> tuple[str, str]:
-    """Cut a column name after the longest prefix; ``prefixes`` must be sorted longest first."""
-    owner = next((p for p in prefixes if name.startswith(f"{p}_")), None)
-    return (unknown, name) if owner is None else (owner, name[len(owner) + 1 :])
+def cut_at_head(name: str, heads: set[str], unknown: str = "unknown") -> tuple[str, str]:
+    """Walk the separators of a name from the right until what stands before one is a head."""
+    at = name.rfind("_")
+    while at > 0 and name[:at] not in heads:
+        at = name.rfind("_", 0, at)
+    return (name[:at], name[at + 1:]) if at > 0 else (unknown, name)
 
 
 def to_long(df: DataFrame, ids: Sequence[str], name: str = "col", value: str = "raw_value") -> DataFrame:
@@ -47,13 +48,13 @@ def unpivot_matrix(
     The prefixes are learned from the subtotal columns, which are then dropped. The name table that is
     broadcast has one row per column of the matrix, so the schema bounds its size.
     """
-    prefixes = marked_prefixes(df.columns, marker)
+    heads = subtotal_heads(df.columns, marker)
     detail = drop_marked(df, marker)
     names = []
     for c in detail.columns:
         if c in ids:
             continue
-        owner, remainder = split_name(c, prefixes)
+        owner, remainder = cut_at_head(c, heads)
         if owner not in exclude_prefixes:
             names.append((c, owner, remainder))
     if not names:

@@ -16,7 +16,7 @@ from siltline.operators.analytics import top_ranked
 from siltline.operators.reshape import project, unpivot_matrix
 from siltline.operators.validate import in_range, keep_valid, non_negative_or_null, not_blank, positive, required
 from siltline.plans.constants import EXPORT_YEARS, INDICATOR_YEARS
-from siltline.sources.raw_csv import POSITION, read_drifting_csv, read_raw_csv
+from siltline.sources.raw_csv import FILE, POSITION, read_raw_csv
 from siltline.sources.schemas import RAW_COLUMNS, silver_table
 from siltline.sources.tables import create_table, overwrite_partitions, overwrite_table
 
@@ -99,10 +99,15 @@ def weather_daily_readings(raw: DataFrame, order_by: Sequence[str | Column] = PO
     return project(with_year_month(first, "date"), spec.schema.names)
 
 
-def silver_of(name: str, raw: DataFrame) -> DataFrame:
-    """Silver form of a frame that was read with positions."""
+def silver_of(name: str, raw: DataFrame, exclude_prefixes: Sequence[str] = (), newest_landing: bool = False) -> DataFrame:
+    """Silver form of a frame that was read with positions. The options are for the wide matrix: prefixes that are no
+    province, and whether only the newest landing of each cell counts (by the folder ``year=/month=`` of its file)."""
+    def matrix() -> DataFrame:
+        landed = raw.withColumn("landing", F.regexp_extract(FILE, "(year=[^/]+/month=[^/]+)/", 1)) if newest_landing else raw
+        return indec_exports(landed.drop(*POSITION), exclude_prefixes, "landing" if newest_landing else None)
+
     plans = {
-        "indec_exports": lambda: indec_exports(raw.drop(*POSITION)),
+        "indec_exports": matrix,
         "senasa_certs": lambda: senasa_certs(raw.drop(*POSITION)),
         "worldbank_indicators": lambda: worldbank_indicators(raw),
         "weather_daily_readings": lambda: weather_daily_readings(raw),
@@ -110,16 +115,17 @@ def silver_of(name: str, raw: DataFrame) -> DataFrame:
     return plans[name]()
 
 
-def refresh(spark: SparkSession, name: str, bronze: str, target: str, table: str | None = None, using: str = "parquet") -> DataFrame:
+def refresh(
+    spark: SparkSession, name: str, bronze: str, target: str, table: str | None = None, using: str = "parquet",
+    exclude_prefixes: Sequence[str] = (), newest_landing: bool = False,
+) -> DataFrame:
     """Read the raw tree, build the silver table, overwrite its partitions and return it as stored.
 
-    ``table`` is a catalog name; without it the files below ``target`` are the table. The wide matrix has
-    no fixed columns, so its landings are matched by their headers.
+    ``table`` is a catalog name; without it the files below ``target`` are the table. Columns are bound by the header
+    of each file; the wide matrix has no fixed columns, so all that its landings have are taken.
     """
     spec = silver_table(name)
-    known = RAW_COLUMNS.get(name)
-    raw = read_raw_csv(spark, bronze, known, position=True) if known else read_drifting_csv(spark, bronze)
-    rows = silver_of(name, raw)
+    rows = silver_of(name, read_raw_csv(spark, bronze, RAW_COLUMNS.get(name), position=True), exclude_prefixes, newest_landing)
     if table:
         create_table(spark, table, spec.schema, spec.partition_by, target, using)
         overwrite_table(rows, table, spec.partition_by, using)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from siltline.plans import gold, staging, suite
+from siltline.session import scope
 from siltline.sources import history
 from siltline.sources.schemas import SILVER_COLUMNS, silver_table
 
@@ -36,24 +37,25 @@ def build(spark: SparkSession, silver_root: str, gold_root: str, run_ts: datetim
 
     A run that is repeated with the same ``run_ts`` gives the same tables and the same history.
     """
-    silver = silver_tables(spark, silver_root)
-    views = staging_views(silver)
-    snap, key = f"{gold_root}/snap_destination", "country_iso2"
-    incoming = gold.destinations(silver["senasa_certs"])
-    history.advance(spark, snap, incoming, key, ["country", "continent"], run_ts, gold.HISTORY)
-    certs = views["stg_senasa_certs"]
-    tables = {
-        "dim_date": _write(gold.dim_date(spark), gold_root, "dim_date"),
-        "dim_product": _write(gold.dim_product(certs), gold_root, "dim_product"),
-        "dim_province": _write(gold.dim_province(certs), gold_root, "dim_province"),
-        "dim_destination": _write(gold.dim_destination(history.read_current(spark, snap)), gold_root, "dim_destination"),
-    }
-    enriched = gold.int_exports_enriched(certs, views["stg_indec_exports"])
-    fact = gold.fct_exports(
-        enriched, tables["dim_date"], tables["dim_destination"], tables["dim_product"], tables["dim_province"]
-    )
-    tables["fct_exports"] = _write(fact, gold_root, "fct_exports")
-    return silver | views | tables
+    with scope(spark):  # what steps settle on the way goes when all models are written
+        silver = silver_tables(spark, silver_root)
+        views = staging_views(silver)
+        snap, key = f"{gold_root}/snap_destination", "country_iso2"
+        incoming = gold.destinations(silver["senasa_certs"])
+        history.advance(spark, snap, incoming, key, ["country", "continent"], run_ts, gold.HISTORY)
+        certs = views["stg_senasa_certs"]
+        tables = {
+            "dim_date": _write(gold.dim_date(spark), gold_root, "dim_date"),
+            "dim_product": _write(gold.dim_product(certs), gold_root, "dim_product"),
+            "dim_province": _write(gold.dim_province(certs), gold_root, "dim_province"),
+            "dim_destination": _write(gold.dim_destination(history.read_current(spark, snap)), gold_root, "dim_destination"),
+        }
+        enriched = gold.int_exports_enriched(certs, views["stg_indec_exports"])
+        fact = gold.fct_exports(
+            enriched, tables["dim_date"], tables["dim_destination"], tables["dim_product"], tables["dim_province"]
+        )
+        tables["fct_exports"] = _write(fact, gold_root, "fct_exports")
+        return silver | views | tables
 
 
 def check(spark: SparkSession, silver_root: str, gold_root: str) -> DataFrame:

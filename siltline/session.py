@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +46,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a folder of its own; a cluster session is refused, because
-    a driver-local folder would not be visible to its executors.
+    Where it is unset, a session with all its threads in one process (``local`` or ``local[n]``) gets a folder of its
+    own; any other is refused, because its executors would not see a folder of the driver.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root, one_process = spark.conf.get("spark.checkpoint.dir", None), re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", ""))
     if root:
+        if not one_process and "://" not in root and not root.startswith(("file:", "hdfs:")):
+            raise RuntimeError(f"spark.checkpoint.dir has to name its file system: {root}")
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not one_process:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
     return _local_root()
 
@@ -64,6 +69,32 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/siltline/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = hadoop_path(spark, path)
+    fs.delete(where, True)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes what was settled inside when a job ends. For jobs that write their results, not for frames that are
+    returned and read later."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
 def settle(df: DataFrame, label: str = "frame") -> DataFrame:
     """Write a frame to the shared folder and continue from the written table.
 
@@ -72,4 +103,6 @@ def settle(df: DataFrame, label: str = "frame") -> DataFrame:
     """
     path = workspace(df.sparkSession, label)
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltline.sources.tables import read_or_empty
+
 UPLOADED, SKIPPED, ERROR = "uploaded", "skipped", "error"
 
 
@@ -55,6 +57,32 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: l
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
+LEDGER = "key string, status string, ingested_at timestamp, rows long, details map<string,string>"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each landing: key, status, time, rows and free details such as source_url or date_range."""
+    return read_or_empty(spark, path, spark.createDataFrame([], LEDGER).schema)
+
+
+def land_once(
+    df: DataFrame, root: str, source: str, day: date, file_name: str, ledger: str, ingested_at: datetime, **details: str
+) -> str:
+    """Land a frame under its key unless the ledger at ``ledger`` has the key; returns the status.
+
+    The data come first, in a folder named by the key, and then one row of the ledger. A run that breaks off between
+    the two leaves no row, and its repeat overwrites the folder.
+    """
+    spark, key = df.sparkSession, f"source={source}/year={day:%Y}/month={day:%m}/{file_name}"
+    if not read_ledger(spark, ledger).where(F.col("key") == key).isEmpty():
+        return SKIPPED
+    counted = Observation()
+    write_csv(df.observe(counted, F.count(F.lit(1)).alias("rows")), f"{root}/{key}")
+    row = [(key, UPLOADED, ingested_at, counted.get["rows"], details)]
+    spark.createDataFrame(row, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
+    return UPLOADED
+
+
 def pending(candidates: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """Candidates that were not landed yet. Both sides hold a key once, so no key is hot."""
     return candidates.join(ledger.select(key).distinct(), key, "left_anti")

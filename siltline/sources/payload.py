@@ -77,8 +77,10 @@ def pick_resource(df: DataFrame, body: str, default_name: str, wanted: str = "CS
 
 
 def concat_sorted(frames: Sequence[DataFrame], order_by: Sequence[str]) -> DataFrame:
-    """All frames one below the other, in a stated order; empty frames add nothing."""
-    return reduce(lambda a, b: a.unionByName(b), frames).orderBy(*order_by)
+    """All frames one below the other, in a stated order; empty frames add nothing. The other columns break ties, so
+    the order is total and many rows of one ``order_by`` value are spread over the range partitions."""
+    whole = reduce(lambda a, b: a.unionByName(b), frames)
+    return whole.orderBy(*order_by, *(c for c in whole.columns if c not in order_by))
 
 
 def rolling_requests(stations: DataFrame, end: date | Column, months: int = 12) -> DataFrame:

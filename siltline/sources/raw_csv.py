@@ -1,7 +1,8 @@
-"""Raw CSV trees, every column a string."""
+"""Raw CSV trees, every column a string, matched by the header of each file."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,8 +14,22 @@ FILE, BLOCK, ROW = "_file", "_block", "_row"
 POSITION = [FILE, BLOCK, ROW]
 
 
-def _reader(spark: SparkSession):
-    return spark.read.option("header", True).option("inferSchema", False).option("recursiveFileLookup", True)
+def headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header. One pass over the first blocks for all files, whatever their names;
+    what reaches the driver is the list of files, which a scan holds there anyway. Files without a line are left out."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path if isinstance(path, str) else list(path))
+    first = lines.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    found = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    rows = found.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    uri, hadoop = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(rows, key=lambda r: r["files"][0]):
+        names = tuple(next(csv.reader([r["header"]]), []))
+        if len(set(names)) < len(names):
+            raise ValueError(f"a header names a column twice: {r['header']!r} in {r['files'][0]}")
+        out.setdefault(names, []).extend(hadoop(uri(f)).toString() for f in r["files"])
+    return out
 
 
 def read_raw_csv(
@@ -23,18 +38,29 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     position: bool = False,
 ) -> DataFrame:
-    """All files below ``path``, uncast. Directory names are not turned into columns, and a field without
-    text is NULL.
+    """All files below ``path``, uncast, columns bound by name through the header of each file. Directory names are not
+    turned into columns, and a field without text is NULL.
 
-    With ``columns`` the schema is stated and no file is opened for it; without, the header of the
-    first file gives the names. ``position`` adds the columns that say where a row stood: file, block
-    and a number that grows within the block. Ordered by the three, rows come as they are in the files.
+    With ``columns`` these are returned, and a file that lacks one of them is an error; without, all columns of all
+    files are, NULL where a file has none. There is one scan for each distinct header, and a file whose header is not
+    the one it was listed with fails. ``position`` adds the columns that say where a row stood: file, block and a
+    number that grows within the block. Ordered by the three, rows come as they are in the files.
     """
-    reader = _reader(spark)
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    return with_position(df) if position else df
+    groups = headers(spark, path)
+    if not groups:
+        if columns is None:
+            raise ValueError(f"no file with a header below {path}")
+        kinds = [*((c, T.StringType()) for c in columns), *(zip(POSITION, (T.StringType(), T.LongType(), T.LongType()), strict=True) if position else ())]
+        return spark.createDataFrame([], T.StructType([T.StructField(c, k) for c, k in kinds]))
+    frames = []
+    for names, files in groups.items():
+        if lacking := [c for c in columns or () if c not in names]:
+            raise ValueError(f"no column {', '.join(lacking)} in {files[0]}")
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        scan = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(files)
+        kept = [f"`{c}`" for c in columns or names]
+        frames.append(with_position(scan).select(*kept, *POSITION) if position else scan.select(*kept))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def with_position(scan: DataFrame) -> DataFrame:
@@ -47,27 +73,6 @@ def with_position(scan: DataFrame) -> DataFrame:
     )
 
 
-def landing_folders(spark: SparkSession, root: str) -> list[str]:
-    """The folders below ``root`` that hold CSV files. File contents are not read, only the listing."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*")
-        .load(root)
-        .select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
-    )
-    return sorted(r.folder for r in files.distinct().collect())
-
-
-def read_drifting_csv(spark: SparkSession, root: str) -> DataFrame:
-    """A tree whose landings have different headers, matched by column name.
-
-    One reader over several headers would match by position. The first line of each landing folder is
-    looked at, and there is one scan per distinct header. Columns that a landing lacks are NULL.
-    """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for folder in landing_folders(spark, root):
-        header = tuple(_reader(spark).csv(folder).columns)
-        groups.setdefault(header, []).append(folder)
-    frames = [read_raw_csv(spark, folders, header) for header, folders in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def read_drifting_csv(spark: SparkSession, root: str, position: bool = False) -> DataFrame:
+    """A tree whose files have different headers, matched by column name; columns that a file lacks are NULL."""
+    return read_raw_csv(spark, root, position=position)

@@ -20,7 +20,7 @@ def first_seen(stream: DataFrame, keys: Sequence[str], event_time: str, delay: s
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def append_available(df: DataFrame, target: str, checkpoint: str, timeout: int = 3600) -> None:
+def append_available(df: DataFrame, target: str, checkpoint: str, timeout: int | None = None) -> None:
     """Write what is there as Parquet, exactly once per checkpoint, then stop."""
     query = (
         df.writeStream.format("parquet")

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltline.operators.dedup import first_per_key
-from siltline.session import settle
+from siltline.session import delete, scope, settle
+from siltline.sources.raw_csv import read_raw_csv, with_position
 from siltline.sources.tables import overwrite_partitions, read_or_empty
 
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
 def _partition_name(columns: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
 
@@ -20,13 +24,14 @@ def _partition_name(columns: Sequence[str]) -> Column:
 def merge_first(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
     """The stored rows of the partitions the batch touches, with the batch rows of unknown keys added.
 
-    The touched partitions are a filter on partition columns alone, so no other partition is read; their
-    number is that of folders, not of rows. Both sides hold a key once, so at most two rows of a key meet.
+    A key counts as known in whatever partition it is stored; for that only the key columns of the table are read.
+    The touched partitions are a filter on partition columns alone; their number is that of folders, not of rows.
+    Both sides hold a key once, so at most two rows of a key meet.
     """
+    new = settle(batch.join(stored.select(*keys), list(keys), "left_anti").select(*batch.columns), "new")
     name = _partition_name(partition_by)
-    touched = [r.p for r in batch.select(name.alias("p")).distinct().collect()]
-    aged = stored.where(name.isin(touched)).withColumn("_age", F.lit(0)).unionByName(batch.withColumn("_age", F.lit(1)))
-    return first_per_key(aged, keys, ["_age"]).drop("_age")
+    touched = [r.p for r in new.select(name.alias("p")).distinct().collect()]
+    return stored.where(name.isin(touched)).unionByName(first_per_key(new, keys, list(keys)))
 
 
 def upsert_first(
@@ -41,12 +46,14 @@ def upsert_first(
     """Add a batch to the table at ``target``; a key that is stored already keeps its stored row.
 
     The merged partitions are written to ``staging`` first: a job that is run again after a loss never
-    reads partitions it has half replaced. Running the same batch twice changes nothing.
+    reads partitions it has half replaced. Running the same batch twice changes nothing, and nothing but the table
+    stays behind.
     """
-    new_rows = settle(batch, "batch")
-    merged = merge_first(read_or_empty(spark, target, schema), new_rows, keys, partition_by)
-    merged.write.mode("overwrite").parquet(staging)
-    overwrite_partitions(spark.read.schema(schema).parquet(staging), target, partition_by)
+    with scope(spark):
+        merged = merge_first(read_or_empty(spark, target, schema), batch, keys, partition_by)
+        merged.write.mode("overwrite").parquet(staging)
+        overwrite_partitions(spark.read.schema(schema).parquet(staging), target, partition_by)
+        delete(spark, staging)
 
 
 def run_available(
@@ -60,26 +67,30 @@ def run_available(
     partition_by: Sequence[str],
     checkpoint: str,
     max_files_per_batch: int | None = None,
-    timeout: int = 3600,
+    timeout: int | None = None,
     file_format: str = "csv",
 ) -> None:
     """Process the files that arrived since the last run, then stop.
 
-    The checkpoint remembers processed files, so nothing is read twice. ``transform`` is the plain batch
+    The checkpoint remembers processed files, so nothing is read twice. The stream is one of file names; each
+    micro-batch reads its files as a batch job would, CSV by the header of each file. ``transform`` is the plain batch
     function of the silver table; it gets each micro-batch with its position columns.
     """
-    reader = spark.readStream.format(file_format).schema(raw_schema).option("recursiveFileLookup", True)
-    if file_format == "csv":
-        reader = reader.option("header", True)
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    files = reader.load(source).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    files = reader.load(source).select("path")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("_row", F.monotonically_increasing_id())
-        upsert_first(
-            batch.sparkSession, transform(numbered), target, f"{checkpoint}/merged/{batch_id}", schema, keys, partition_by
-        )
+        own = batch.sparkSession
+        paths = sorted(r.path for r in batch.collect())
+        if not paths:
+            return
+        if file_format == "csv":
+            rows = read_raw_csv(own, paths, raw_schema.names, position=True)
+        else:
+            rows = with_position(own.read.format(file_format).schema(raw_schema).load(paths))
+        upsert_first(own, transform(rows), target, f"{checkpoint}/merged", schema, keys, partition_by)
 
     query = (
         files.writeStream.foreachBatch(handle)
@@ -90,7 +101,11 @@ def run_available(
     finish(query, timeout)
 
 
-def finish(query, timeout: int) -> None:
+def finish(query, timeout: int | None) -> None:
+    """Waits until all is done, or for so many seconds if a bound is given."""
+    if timeout is None:
+        query.awaitTermination()
+        return
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout} s")

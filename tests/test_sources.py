@@ -1,4 +1,6 @@
 import json
+
+import pytest
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -39,6 +41,19 @@ def test_drifting_headers(spark, tmp_path):
         ("1", "2", None), ("3", "4", None), ("5", None, "6"), ("7", "8", None)]
 
 
+def test_no_file_is_left_out_or_read_by_another_header(spark, tmp_path):
+    put(tmp_path / "m/f.csv", "a,b\n1,2\n")
+    put(tmp_path / "m/g.CSV", "b,a\n4,3\n")
+    put(tmp_path / "m/deep/download", "b,a\n6,5\n")
+    put(tmp_path / "m/_hidden.csv", "z\n1\n")
+    assert tuples(raw_csv.read_raw_csv(spark, str(tmp_path), ["a", "b"])) == [("1", "2"), ("3", "4"), ("5", "6")]
+    with pytest.raises(ValueError, match="no column c"):
+        raw_csv.read_raw_csv(spark, str(tmp_path), ["a", "c"])
+    put(tmp_path / "n/f.csv", "a,a\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        raw_csv.read_raw_csv(spark, str(tmp_path / "n"))
+
+
 # ---------------------------------------------------------------- landing
 
 def test_landing_key(spark):
@@ -89,40 +104,37 @@ def test_read_or_empty(spark, tmp_path):
 
 # ---------------------------------------------------------------- payloads
 
-def records(*entries):
-    return json.dumps([{}, list(entries)])
+def answer(*rows):
+    """A two-part answer: paging facts, then the rows."""
+    return json.dumps([{"page": 1}, list(rows)])
 
 
 def test_flatten_records(frame):
-    entry = {"country": {"value": "Argentina"}, "countryiso3code": "ARG", "date": "2023", "value": 100.5, "indicator": {"id": "X"}}
-    bodies = [records(entry, {**entry, "date": "2022", "value": None}), records(), '{"error":"bad"}', "junk", "[{}]", "[{},null]", None]
+    row = lambda year, value: {"country": {"value": "Kenya"}, "countryiso3code": "KEN", "date": year, "value": value, "indicator": {"id": "T"}}
+    bodies = [answer(row("1999", 7.25), row("1998", None)), answer(), '{"message":1}', "<html>", "[{}]", "[{},null]", None]
     df = frame("n string, c string, body string", *[("name", f"C{i}", b) for i, b in enumerate(bodies)])
     assert tuples(payload.flatten_records(df, "body", "n", "c")) == [
-        ("Argentina", "ARG", "name", "C0", "2022", None), ("Argentina", "ARG", "name", "C0", "2023", "100.5")]
-
-
-def weather(n, **changes):
-    daily = {"time": [f"2024-01-0{i + 1}" for i in range(n)], "temperature_2m_max": [30.0 + i for i in range(n)], "precipitation_sum": [None, 2.5, 10.1][:n]}
-    return json.dumps({"latitude": -31.4, "daily": {**daily, **changes}})
+        ("Kenya", "KEN", "name", "C0", "1998", None), ("Kenya", "KEN", "name", "C0", "1999", "7.25")]
 
 
 def test_zip_columns(frame):
-    bodies = [weather(2), json.dumps({"latitude": 1}), weather(0), "junk"]
-    df = frame("province string, lat double, body string", *[(f"p{i}", -31.4, b) for i, b in enumerate(bodies)])
-    fields = {"temperature_2m_max": "temp_max_c", "precipitation_sum": "rain", "wind": "wind"}
+    series = {"time": ["2019-06-30", "2019-07-01"], "high": [4.5, 6.0], "rain": [None, 0.25]}
+    bodies = [json.dumps({"daily": series}), json.dumps({"elevation": 9}), json.dumps({"daily": {"time": []}}), "<html>"]
+    df = frame("province string, lat double, body string", *[(f"p{i}", 51.5, b) for i, b in enumerate(bodies)])
+    fields = {"high": "temp_max_c", "rain": "rain", "wind": "wind"}
     assert tuples(payload.zip_columns(df, "body", fields, ["province", "lat"])) == [
-        ("2024-01-01", "p0", -31.4, "30.0", None, None), ("2024-01-02", "p0", -31.4, "31.0", "2.5", None)]
+        ("2019-06-30", "p0", 51.5, "4.5", None, None), ("2019-07-01", "p0", 51.5, "6.0", "0.25", None)]
 
 
 def catalogue(*formats, success=True):
-    return json.dumps({"success": success, "result": {"resources": [{"format": f, "url": f"http://e.com/{i}.{f}?v=1", "name": f} for i, f in enumerate(formats)]}})
+    return json.dumps({"success": success, "result": {"resources": [{"format": f, "url": f"ftp://files.test/set{i}/data_{f}#x", "name": f"n{i}"} for i, f in enumerate(formats)]}})
 
 
 def test_pick_resource(frame):
     bodies = [catalogue("PDF", "csv", "CSV"), catalogue("PDF"), catalogue("CSV", success=False), catalogue(), "junk"]
     df = frame("id int, body string", *list(enumerate(bodies)))
     assert tuples(payload.pick_resource(df, "body", "d.csv")) == [
-        (0, "ok", "http://e.com/1.csv?v=1", "csv", "1.csv"), (1, "no_resource", None, None, None),
+        (0, "ok", "ftp://files.test/set1/data_csv#x", "n1", "data_csv#x"), (1, "no_resource", None, None, None),
         (2, "api_error", None, None, None), (3, "no_resource", None, None, None), (4, "api_error", None, None, None)]
 
 

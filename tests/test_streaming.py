@@ -62,6 +62,22 @@ def test_only_touched_partitions_are_read(spark, frame, tmp_path):
     assert "PartitionFilters: [(concat_ws" in plan or "PartitionFilters: [cast(year" in plan
 
 
+def test_a_key_stored_under_another_partition_is_known(spark, frame, tmp_path):
+    target, staging = str(tmp_path / "silver"), str(tmp_path / "staging")
+    for rows in ([(1, 2024)], [(1, 2025), (2, 2025)]):
+        batch = frame("k int, year int", *rows)
+        incremental.upsert_first(spark, batch, target, staging, batch.schema, ["k"], ["year"])
+    assert tuples(spark.read.schema("k int, year int").parquet(target)) == [(1, 2024), (2, 2025)]
+    assert not (tmp_path / "staging").exists()
+
+
+def test_a_stream_binds_columns_by_header(spark, frame, tmp_path):
+    root, target, checkpoint = (str(tmp_path / n) for n in ("raw", "silver", "checkpoint"))
+    rows = readings(frame, ("2024-01-01", "a", "1"))
+    landing.write_csv(rows.select(*reversed(rows.columns)), root)
+    assert run(spark, root, target, checkpoint) == [(date(2024, 1, 1), "a", Decimal("1"))]
+
+
 def test_stream_dedup(spark, frame, tmp_path):
     root, target, checkpoint = (str(tmp_path / n) for n in ("events", "out", "checkpoint"))
     rows = spark.range(300).selectExpr("id % 50 as k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts")
