@@ -67,5 +67,46 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+#: Needs the md5 that both engines have; the checksum of a text is folded byte by byte.
+OP7 = """
+with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)) as t),
+rows as (select doc_id, coalesce(source_name, 't') as grp, coalesce(text, '') as text,
+    md5('shards-1:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key
+  from (select *, 's' || source as source_name from documents)),
+placed as (select *, row_number() over (partition by grp order by key) - 1 as place, count(*) over (partition by grp) as n,
+    cast(('0x' || substr(md5('shards-1:' || grp), 1, 8))::bigint as double) / 4294967296.0 as shift from rows),
+ranked as (select *, row_number() over (order by (place + shift) / n, grp, key) - 1 as spot, count(*) over () as total from placed),
+cut as (select *, spot * 24 // total as shard from ranked)
+select doc_id, cast(octet_length(encode(text)) + 8 as bigint) as size,
+  cast(xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::bigint)),
+    lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) as bigint) as text_crc32,
+  'rows' as law, cast(shard as int) as shard, cast(spot - (shard * total + 23) // 24 as bigint) as slot, cast(null as int) as grown_shard
+from cut, tab
+"""
+#: Seats go to the highest quotients, one row for each block that a source may bid for.
+OP10 = """
+with rows as (select doc_id, coalesce('s' || source, 't') as grp, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size,
+    md5('mixture-1:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key from documents),
+groups as (select grp, cast(sum(size) as bigint) as s, case row_number() over (order by encode(grp)) % 3 when 1 then 5 when 2 then 2 else 1 end as w from rows group by 1),
+level as (select *, sum(3 * s) over o as capped, sum(w) over o as gone, sum(s) over () as total, sum(w) over () as weights
+  from groups window o as (order by 3.0 * s / w, encode(grp) rows between unbounded preceding and 1 preceding)),
+free as (select *, 3 * s * (weights - coalesce(gone, 0)) > w * (total - coalesce(capped, 0)) as over from level),
+rate as (select any_value(total) as total, any_value(total) - coalesce(sum(case when not over then 3 * s end), 0) as words,
+    any_value(weights) - coalesce(sum(case when not over then w end), 0) as parts from free),
+goals as (select grp, s, case when over then cast(w * words as double) / cast(parts as double) else cast(3 * s as double) end as target, free.total from free, rate),
+blocked as (select *, greatest(1, least(1024, cast(floor((select min(target) from goals where target > 0) / 400) as bigint))) as b from goals),
+sized as (select *, cast(ceil(s / b) as bigint) as own, cast(ceil(total / b) as bigint) as seats_all from blocked),
+bids as (select grp, round(target / (2 * k + 1), 6) as bid, seats_all from (select *, unnest(range(3 * own)) as k from sized)),
+won as (select grp, count(*) as seats from (select *, row_number() over (order by bid desc, encode(grp)) as r from bids) where r <= seats_all group by 1),
+plan as (select sized.*, coalesce(seats, 0) as seats, cast(floor(cast(('0x' || substr(md5('mixture-1:' || grp), 1, 8))::bigint as double) / 4294967296.0 * own) as bigint) as first
+  from sized left join won using (grp)),
+runs as (select *, case when own = 0 then 0 else seats // own end as passes, first * b as low, least(s, (first + seats % greatest(own, 1)) * b) as high,
+    greatest(0, first + seats % greatest(own, 1) - own) * b as round_to from plan),
+placed as (select rows.*, coalesce(sum(size) over (partition by grp order by key rows between unbounded preceding and 1 preceding), 0) as start from rows)
+select doc_id, size, s as source_size, target, cast(passes * size + greatest(0, least(start + size, high) - greatest(start, low))
+  + greatest(0, least(start + size, round_to) - start) as bigint) as taken
+from placed join runs using (grp)
+"""
+
 QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op3_licences, op4_passages, op5_pieces, op6_substrings, op7_sharding, op8_vectors, op9_language, op10_mixture)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_sharding": OP7, "op10_mixture": OP10}
