@@ -19,6 +19,8 @@ RADIUS = 3
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: Buckets up to this many fingerprints are compared as a small matrix, larger ones by lookups.
 SMALL = 256
+#: Rows that a task looks at together, about, and links that it holds before it thins them out.
+ROWS, HELD = 1 << 16, 1 << 20
 #: Seeds of the word fingerprints that ``keep_one`` looks up, and differing bits of the five-word fingerprint that stand
 #: for a similarity of 0.8 (9.8 bits on average there, 14.6 at 0.6).
 SEEDS = (42, 43, 44)
@@ -116,13 +118,16 @@ def _lookup(prints: np.ndarray, block: int, key: np.uint64) -> tuple[np.ndarray,
 def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The columns of ordered rows (block, key, ...), cut between buckets: the last one of a batch waits for the next."""
     held: list[list[np.ndarray]] = []
+    waiting = 0
     for batch in batches:
         rows = [batch.column(0).to_numpy(), *(batch.column(i).to_numpy().view(np.uint64) for i in range(1, batch.num_columns))]
         if not len(rows[0]):
             continue
         held.append(rows)
-        if held[0][0][-1] == rows[0][-1] and held[0][1][-1] == rows[1][-1]:
-            continue  # one bucket so far
+        waiting += len(rows[0])
+        if waiting < ROWS or held[0][0][-1] == rows[0][-1] and held[0][1][-1] == rows[1][-1]:
+            continue  # few rows, or one bucket so far
+        waiting = 0
         rows = [np.concatenate(x) for x in zip(*held, strict=True)]
         cut = int(np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))[-1]) + 1
         held = [[x[cut:] for x in rows]]
@@ -136,13 +141,39 @@ def _sizes(block: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge, np.diff(np.r_[edge, len(key)])
 
 
-def _links(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    a, b = np.concatenate(a), np.concatenate(b)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b], axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in pairs], names=["a", "b"])
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the links and the smallest one of its component, loops left out: a tree in the place of many links."""
+    nodes, back = np.unique(np.r_[a, b], return_inverse=True)
+    i, j, label = back[:len(a)], back[len(a):], np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    own = label != np.arange(len(nodes))
+    return nodes[own], nodes[label[own]]
+
+
+def _thinned(links: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """What a task has found, as trees: at most one link for each node, however many buckets its pairs met in."""
+    a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for x, y in links:
+        a.append(x)
+        b.append(y)
+        if sum(map(len, a)) > HELD + 2 * len(a[0]):
+            a, b = ([x] for x in _forest(np.concatenate(a), np.concatenate(b)))
+    pair = _forest(np.concatenate(a), np.concatenate(b))
+    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in pair], names=["a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _thinned(_verified(batches))
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links of fingerprints within the radius, from buckets that arrive in order."""
     for block, key, fp in _whole_buckets(batches):
         edge, size = _sizes(block, key)
@@ -153,10 +184,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = _close(fp[at:at + n]) if n <= SMALL else _lookup(fp[at:at + n], int(block[at]), key[at])
             a.append(x)
             b.append(y)
-        yield _links(a, b)
+        yield np.concatenate(a), np.concatenate(b)
 
 
 def _verify_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _thinned(_verified_texts(batches))
+
+
+def _verified_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links of nodes that are close in both fingerprints; rows are (block, key, words, shingles, node)."""
     for block, key, fp, print5, node in _whole_buckets(batches):
         near = lambda i, j: (np.bitwise_count(fp[i] ^ fp[j]) <= RADIUS) & (np.bitwise_count(print5[i] ^ print5[j]) <= TOLERANCE)  # noqa: B023, E731
@@ -177,24 +212,9 @@ def _verify_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 i, j = np.concatenate(i), np.concatenate(j)
             hit = near(i, j)
             i, j = i[hit], j[hit]
-            if 2 < n <= SMALL:  # a tree of each component is enough
-                i, j = _tree(i, j, n, at)
             a.append(node[i])
             b.append(node[j])
-        yield _links(a, b)
-
-
-def _tree(i: np.ndarray, j: np.ndarray, n: int, at: int) -> tuple[np.ndarray, np.ndarray]:
-    label = np.arange(n)
-    while len(i):
-        new = label.copy()
-        np.minimum.at(new, i - at, label[j - at])
-        np.minimum.at(new, j - at, label[i - at])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return np.arange(n) + at, label + at
+        yield np.concatenate(a), np.concatenate(b)
 
 
 def fingerprint_links(prints: DataFrame, scratch: Scratch) -> DataFrame:

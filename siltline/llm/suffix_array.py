@@ -148,7 +148,8 @@ def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours, _MATCH)  # two rows for each partition
     found = scratch.save(matches.unionByName(across).where("side is null").select("chunk", "item", "doc_id", "start", "stop", "key", "place"))
     spot = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "chunk", "item", "place")
-    leading = found.groupBy("key").agg(F.min(spot).alias("lead"))
+    # written, so that the join has plain shuffles on both sides and a frequent key can be split
+    leading = scratch.save(found.groupBy("key").agg(F.min(spot).alias("lead")))
     spans = found.join(leading, "key").select("chunk", F.struct("item", "start", "stop", (F.col("lead") == spot).alias("first")).alias("span"))
     return chunks, scratch.save(spans.groupBy("chunk").agg(F.collect_list("span").alias("spans")))
 
