@@ -16,11 +16,13 @@ from siltline.llm.common import prepare
 
 MODEL = os.environ.get("SILTLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Part of the candidate merges that are skipped, the seed of the choice, and the number of ways to segment a word.
-DROPOUT, SEED, WAYS = 0.1, 20240229, 4
+DROPOUT, SEED, WAYS = 0.1, 20240229, 2
 #: Segmented words that a worker remembers.
-CACHE = 300_000
+CACHE = 600_000
+#: Words up to this length are merged along a list, longer ones with a heap; both give the same pieces.
+SHORT = 48
 _SPACE = "▁"
-_MASK = (1 << 64) - 1
+_NEVER = 1 << 30
 
 
 class Pieces:
@@ -48,19 +50,50 @@ class Pieces:
                 self.raw.append(piece.replace(_SPACE, " ").encode())
                 merged.append((-sp.get_score(i), i, piece))
         self.rank = {p: n for n, (_, _, p) in enumerate(sorted(merged)) if len(p) > 1}
-        self.limit, self.seed = int(dropout * (1 << 32)), seed
-        self._words: dict[tuple[str, int], bytes] = {}
+        self.limit, self.seed = round(dropout * 1024), seed
+        self._words: list[dict[str, bytes]] = [{} for _ in range(WAYS)]
+        self._packed = [i.to_bytes(4, "little") for i in range(len(self.raw))]
+        self._spelled = [self._packed[i] for i in self.byte]
         self._unit = re.compile(f"\n|{_SPACE}+[^{_SPACE}\n]*|[^{_SPACE}\n]+")
 
     def _skips(self, base: int, left: int, right: int) -> bool:
-        """Whether the merge of the symbols that start at these characters is skipped: a hash keyed by seed and word."""
-        x = ((base ^ (left << 32 | right)) * 0x9E3779B97F4A7C15) & _MASK
-        return ((x ^ x >> 29) * 0xBF58476D1CE4E5B9 & _MASK) >> 32 < self.limit
+        """Whether the merge of the symbols that start at these characters is skipped: ten bits, chosen by the places,
+        of a 128-bit hash of the word that is keyed by the seed and the way."""
+        return (base >> (left * 29 + right * 47) % 118) & 1023 < self.limit
 
     def _segment(self, unit: str, way: int) -> bytes:
-        """Merges from an agenda ordered by score and place, as packed ids."""
+        """Packed ids of the symbols that are left when no candidate merge is."""
+        base = xxhash.xxh3_128_intdigest(unit.encode(), self.seed * WAYS + way) if self.limit else 0
+        symbols = self._merge_short(unit, base) if len(unit) <= SHORT else self._merge_long(unit, base)
+        out, ids, packed = [], self.ids, self._packed
+        for s in symbols:
+            if (i := ids.get(s)) is not None:
+                out.append(packed[i])
+            else:
+                out += [self._spelled[b] for b in s.encode()]
+        return b"".join(out)
+
+    def _merge_short(self, unit: str, base: int) -> list[str]:
+        """The agenda as a list of ranks, one for each pair of neighbours; its least entry is next, the leftmost first."""
+        get, limit = self.rank.get, self.limit
+        symbols, start = list(unit), list(range(len(unit)))
+        agenda = [get(unit[i:i + 2], _NEVER) for i in range(len(unit) - 1)]
+        while agenda and (r := min(agenda)) < _NEVER:
+            k = agenda.index(r)
+            if limit and self._skips(base, start[k], start[k + 1]):
+                agenda[k] = _NEVER
+                continue
+            symbols[k] += symbols.pop(k + 1)
+            del start[k + 1], agenda[k]
+            if k < len(agenda):
+                agenda[k] = get(symbols[k] + symbols[k + 1], _NEVER)
+            if k:
+                agenda[k - 1] = get(symbols[k - 1] + symbols[k], _NEVER)
+        return symbols
+
+    def _merge_long(self, unit: str, base: int) -> list[str]:
+        """The agenda as a heap ordered by rank and place."""
         rank, n = self.rank, len(unit)
-        base = xxhash.xxh64_intdigest(unit.encode(), self.seed * WAYS + way) if self.limit else 0
         text: list[str | None] = list(unit)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -83,32 +116,25 @@ class Pieces:
                     heapq.heappush(agenda, (r, i, k, size + len(text[k])))
             if (h := before[i]) >= 0 and (r := rank.get(text[h] + text[i])) is not None:
                 heapq.heappush(agenda, (r, h, i, size + len(text[h])))
-        out = []
-        for s in text:
-            if s is not None:
-                if (i := self.ids.get(s)) is not None:
-                    out.append(i)
-                else:
-                    out += [self.byte[b] for b in s.encode()]
-        return b"".join(i.to_bytes(4, "little") for i in out)
+        return [s for s in text if s is not None]
 
     def encode(self, text: str, way: int = 0) -> bytes:
         """Ids of a text, four bytes each. A literal word mark is spelled in bytes, so that decoding restores it."""
-        known, out = self._words, []
+        known, out = self._words[way], []
         for k, part in enumerate(text.split(_SPACE)):
             if k:
-                out.append(b"".join(self.byte[b].to_bytes(4, "little") for b in _SPACE.encode()))
+                out.append(b"".join(self._spelled[b] for b in _SPACE.encode()))
             elif not part:
                 out.append(self._segment(_SPACE, way) if text else b"")
             marked = part.replace(" ", _SPACE)
             for unit in self._unit.findall(_SPACE + marked if part and not k else marked):
-                ids = known.get((unit, way))
+                ids = known.get(unit)
                 if ids is None:
                     ids = self._segment(unit, way)
-                    if len(known) >= CACHE:
+                    if len(known) * WAYS >= CACHE:
                         known.clear()
                     if len(unit) < 64:
-                        known[unit, way] = ids
+                        known[unit] = ids
                 out.append(ids)
         return b"".join(out)
 
