@@ -15,7 +15,7 @@ from siltline.catalog import REGISTRY
 from siltline.session import local_session
 
 #: Timed runs of a query after an untimed one; the median counts.
-RUNS = 3
+RUNS = 2
 HEADLINES = [
     "f4_apportion", "a1_read_raw_csv", "a5_partition_overwrite", "a8_zip_columns", "b1_unpivot",
     "b3_split_by_prefix_table", "c2_safe_cast_decimal", "c9_surrogate_key", "d7_reject_counts",
