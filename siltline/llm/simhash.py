@@ -19,8 +19,8 @@ RADIUS = 3
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: Buckets up to this many fingerprints are compared as a small matrix, larger ones by lookups.
 SMALL = 256
-#: Rows that a task looks at together, about, and links that it holds before it thins them out.
-ROWS, HELD = 1 << 16, 1 << 20
+#: Rows that a task looks at together, about, links that it holds before it thins them out, and pairs compared at once.
+ROWS, HELD, PAIRS = 1 << 16, 1 << 20, 1 << 20
 #: Seeds of the word fingerprints that ``keep_one`` looks up, and differing bits of the five-word fingerprint that stand
 #: for a similarity of 0.8 (9.8 bits on average there, 14.6 at 0.6).
 SEEDS = (42, 43, 44)
@@ -187,6 +187,24 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
         yield np.concatenate(a), np.concatenate(b)
 
 
+def _reached(fp: np.ndarray, print5: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a large bucket that tie up each of its components, by walking them: those just reached are compared
+    with all that are not reached yet. No pair within both limits is left apart, and one large component costs about
+    one comparison for each member; only a bucket of many small components costs one for each pair."""
+    rest, a, b = np.arange(len(fp)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(rest) > 1:
+        front, rest = rest[:1], rest[1:]
+        while len(front) and len(rest):
+            width = max(1, PAIRS // len(rest))
+            now, front = front[:width, None], front[width:]
+            near = (np.bitwise_count(fp[now] ^ fp[rest]) <= RADIUS) & (np.bitwise_count(print5[now] ^ print5[rest]) <= TOLERANCE)
+            hit = near.any(0)
+            a.append(now[near.argmax(0)[hit], 0])
+            b.append(rest[hit])
+            front, rest = np.concatenate([front, rest[hit]]), rest[~hit]
+    return np.concatenate(a), np.concatenate(b)
+
+
 def _verify_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _thinned(_verified_texts(batches))
 
@@ -202,14 +220,11 @@ def _verified_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndar
                 i, j = at, at + 1
             elif n <= SMALL:
                 i, j = (x + at for x in np.triu_indices(n, 1))
-            else:  # neighbours in four orders of the shingle fingerprints
-                i, j = [], []
-                for turn in (0, 16, 32, 48):
-                    order = at + np.argsort((print5[at:at + n] << np.uint64(turn)) | (print5[at:at + n] >> np.uint64((64 - turn) % 64)))
-                    for step in range(1, 17):
-                        i.append(order[:-step])
-                        j.append(order[step:])
-                i, j = np.concatenate(i), np.concatenate(j)
+            else:
+                i, j = _reached(fp[at:at + n], print5[at:at + n])
+                a.append(node[at + i])
+                b.append(node[at + j])
+                continue
             hit = near(i, j)
             i, j = i[hit], j[hit]
             a.append(node[i])
@@ -261,8 +276,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     without a word are one group. Documents are linked when the SimHash fingerprints of their words differ in three
     bits at most under one of three seeds, and those of their five-word shingles in ``TOLERANCE`` bits at most, the
     distance that a Jaccard similarity of 0.8 gives. (Of five-word shingles alone, three bits would find next to none
-    of the pairs at 0.8: there they differ in about ten.) Buckets of more than ``SMALL`` texts are not compared pair by
-    pair but along four orders of their shingle fingerprints.
+    of the pairs at 0.8: there they differ in about ten.) In buckets of more than ``SMALL`` texts the components are
+    walked, which loses no link.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
     text = F.coalesce(F.col("text"), F.lit(""))

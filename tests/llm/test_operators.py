@@ -66,6 +66,27 @@ def test_simhash(docs):
     assert Counter(tuple(r)[:3] for r in simhash.near_duplicates(docs).collect()) == want
 
 
+@pytest.mark.parametrize("groups", [1, 40, 700])
+def test_simhash_walk_of_a_large_bucket_loses_no_link(groups):
+    r, n = np.random.default_rng(groups), 700
+    which = r.integers(0, groups, n)
+    fp, five = (r.integers(0, 1 << 63, groups, dtype=np.uint64)[which] for _ in range(2))
+    for _ in range(2):
+        fp = fp ^ (np.uint64(1) << r.integers(0, 64, n).astype(np.uint64))
+    for _ in range(8):
+        five = five ^ (np.uint64(1) << r.integers(0, 64, n).astype(np.uint64))
+    near = (np.bitwise_count(fp[:, None] ^ fp) <= simhash.RADIUS) & (np.bitwise_count(five[:, None] ^ five) <= simhash.TOLERANCE)
+    want = np.arange(n)
+    for _ in range(n):
+        want = np.where(near, want[None], n).min(1)
+    i, j = simhash._reached(fp, five)
+    assert near[i, j].all()
+    got = np.arange(n)
+    nodes, least = simhash._forest(i.astype(np.uint64), j.astype(np.uint64))
+    got[nodes.astype(int)] = least.astype(int)
+    assert (got == want).all()
+
+
 def test_simhash_large_buckets_link_like_small_ones():
     r = np.random.default_rng(1)
     for block, (shift, width) in enumerate(simhash.BLOCKS):
