@@ -197,17 +197,21 @@ def stg_weather_readings(t: Inputs):
 
 # ---------------------------------------------------------------- gold, as SQL
 
-ENRICHED = f"""{STG_CERTS}, {STG_EXPORTS},
-detail as (select year, province, country, commodity, sum(total_tn) as total_tn from stg_certs group by 1, 2, 3, 4),
-weights as (select year, province, country, sum(total_tn) as group_tn from detail group by 1, 2, 3),
-totals as (select year, province, country, sum(fob_usd) as total from stg_exports group by 1, 2, 3),
+
+def spread_sql(rows: str, totals: str, more: str = "") -> str:
+    """Rows with the weight of their group by a window, and the group's value."""
+    return f"""
+weighed as (
+  select year, province, country, commodity{more}, sum(total_tn) as total_tn, sum(sum(total_tn)) over (partition by year, province, country) as group_tn
+  from {rows} where year is not null and province is not null and country is not null group by year, province, country, commodity{more}),
+worth as (select year, province, country, sum(fob_usd) as total from {totals} group by 1, 2, 3),
 enriched as (
-  select detail.year, detail.province, detail.country, commodity, total_tn,
-    total_tn / nullif(group_tn, 0) * coalesce(total, 0) as fob_usd, coalesce(total, 0) as total_fob_usd
-  from detail
-  join weights on detail.year = weights.year and detail.province = weights.province and detail.country = weights.country
-  left join totals on detail.year = totals.year and detail.province = totals.province and detail.country = totals.country)
+  select year, province, country, commodity{more}, total_tn, total_tn / nullif(group_tn, 0) * coalesce(total, 0) as fob_usd, coalesce(total, 0) as total_fob_usd
+  from weighed left join worth using (year, province, country))
 """
+
+
+ENRICHED = f"{STG_CERTS}, {STG_EXPORTS}, {spread_sql('stg_certs', 'stg_exports')}"
 PRODUCTS = """
 products as (
   select md5(commodity) as product_key, commodity,
@@ -264,7 +268,8 @@ class Mart:
         self.dates = gold.dim_date(t.spark)
 
     def enriched(self):
-        return gold.int_exports_enriched(self.stg_certs, self.stg_exports)
+        return gold.int_exports_enriched(
+            staging.stg_senasa_certs(self.certs, measure=staging.EXACT), staging.stg_indec_exports(self.exports, measure=staging.EXACT))
 
     def history(self):
         first = settle(gold.snap_destination(self.certs, datetime(2024, 1, 1)), "snap")
@@ -281,27 +286,21 @@ class Mart:
 
 @query("m6_int_exports_enriched", f"with {ENRICHED} select * from enriched")
 def int_exports_enriched(t: Inputs):
-    certs, exports = staging.stg_senasa_certs(certs_frame(t)), staging.stg_indec_exports(exports_frame(t))
-    return gold.int_exports_enriched(certs, exports)
+    certs = staging.stg_senasa_certs(certs_frame(t), measure=staging.EXACT)
+    return gold.int_exports_enriched(certs, staging.stg_indec_exports(exports_frame(t), measure=staging.EXACT))
 
 
 @query(
     "m6_enriched_canonical",
     f"""with {STG_CERTS}, {EXPORTS},
-    detail as (select year, replace(province, 'ó', 'o') as province, replace(country, '_', ' ') as country, commodity, sum(total_tn) as total_tn from stg_certs group by 1, 2, 3, 4),
-    weights as (select year, province, country, sum(total_tn) as group_tn from detail group by 1, 2, 3),
-    totals as (select year, replace(province, '_', ' ') as province, replace(country, '_', ' ') as country, sum(fob_usd) as total from exports group by 1, 2, 3)
-    select detail.year, detail.province, detail.country, commodity, total_tn,
-      total_tn / nullif(group_tn, 0) * coalesce(total, 0) as fob_usd, coalesce(total, 0) as total_fob_usd
-    from detail
-    join weights on detail.year = weights.year and detail.province = weights.province and detail.country = weights.country
-    left join totals on detail.year = totals.year and detail.province = totals.province and detail.country = totals.country
-    """,
+    canon_certs as (select year, replace(province, 'ó', 'o') as province, replace(country, '_', ' ') as country, commodity, total_tn from stg_certs),
+    canon_exports as (select year, replace(province, '_', ' ') as province, replace(country, '_', ' ') as country, fob_usd from exports),
+    {spread_sql('canon_certs', 'canon_exports')} select * from enriched""",
 )
 def enriched_canonical(t: Inputs):
     """With canonical place keys the two sources meet in all provinces, not only in those spelled alike."""
-    certs = staging.stg_senasa_certs(certs_frame(t), staging.place_key)
-    exports = staging.stg_indec_exports(exports_frame(t), staging.place_key)
+    certs = staging.stg_senasa_certs(certs_frame(t), staging.place_key, staging.EXACT)
+    exports = staging.stg_indec_exports(exports_frame(t), staging.place_key, staging.EXACT)
     return gold.int_exports_enriched(certs, exports)
 
 
@@ -402,24 +401,19 @@ def quality_suite(t: Inputs):
 @query(
     "k1_value_by_quarter",
     f"""with {STG_EXPORTS}, {CERTS},
-    detail as (select cast(year(fecha) as int) as year, cast(quarter(fecha) as int) as quarter, lower(provincia) as province, lower(pais_destino) as country,
-      lower(mercaderia_certificada) as commodity, cast(sum(tn) as double) as total_tn from certs group by 1, 2, 3, 4, 5),
-    weights as (select year, province, country, sum(total_tn) as group_tn from detail group by 1, 2, 3),
-    totals as (select year, province, country, sum(fob_usd) as total from stg_exports group by 1, 2, 3)
-    select detail.year, quarter, commodity, round(sum(total_tn / nullif(group_tn, 0) * coalesce(total, 0)), 2) as fob_usd, sum(total_tn) as total_tn
-    from detail
-    join weights on detail.year = weights.year and detail.province = weights.province and detail.country = weights.country
-    left join totals on detail.year = totals.year and detail.province = totals.province and detail.country = totals.country
-    group by 1, 2, 3
+    quarterly as (select cast(year(fecha) as int) as year, cast(quarter(fecha) as int) as quarter, lower(provincia) as province,
+      lower(pais_destino) as country, lower(mercaderia_certificada) as commodity, cast(tn as double) as total_tn from certs),
+    {spread_sql('quarterly', 'stg_exports', ', quarter')}
+    select year, quarter, commodity, round(sum(fob_usd), 2) as fob_usd, sum(total_tn) as total_tn from enriched group by 1, 2, 3
     """,
 )
 def value_by_quarter(t: Inputs):
     certs = certs_frame(t).select(
         "year", F.quarter("fecha").alias("quarter"), normal_key("provincia").alias("province"),
         normal_key("pais_destino").alias("country"), normal_key("mercaderia_certificada").alias("commodity"),
-        F.col("tn").cast("double").alias("total_tn"),
+        F.col("tn").alias("total_tn"),
     )
-    values = questions.value_by_quarter(certs, staging.stg_indec_exports(exports_frame(t)))
+    values = questions.value_by_quarter(certs, staging.stg_indec_exports(exports_frame(t), measure=staging.EXACT))
     return values.withColumn("fob_usd", F.round("fob_usd", 2))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltline.functions.numbers import or_default, ratio
@@ -21,6 +21,11 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
+def _part(weight: str, total: str) -> Column:
+    """Exact sums are divided as doubles: a quotient of decimals keeps fewer digits."""
+    return ratio(F.col(weight).cast("double"), F.col(total).cast("double"))
+
+
 def partition_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Every row with the sum of ``value`` over its key; rows with a NULL key form a group of their own.
 
@@ -37,7 +42,7 @@ def share_of_total(
     inner join of the detail with its totals drops them; the share of a zero total is NULL."""
     kept = _keyed(df, keys)
     totals = kept.groupBy(*keys).agg(F.sum(weight).alias(total), F.count("*").alias("_rows"))
-    return group_join(kept, totals, keys, "_rows").withColumn(share, ratio(weight, total))
+    return group_join(kept, totals, keys, "_rows").withColumn(share, _part(weight, total))
 
 
 def left_with_default(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: Mapping[str, object]) -> DataFrame:
@@ -67,7 +72,7 @@ def apportion(
     coarse = totals.groupBy(*keys).agg(F.sum(measure).alias(total_out))
     groups = left_with_default(weights, coarse, keys, {total_out: 0})
     joined = group_join(kept, groups, keys, "_rows")
-    part = ratio(weight, "_weight") * F.col(total_out)
+    part = _part(weight, "_weight") * F.col(total_out).cast("double")
     return joined.select(*detail.columns, part.alias(out), total_out)
 
 

@@ -21,9 +21,13 @@ HISTORY = scd.Validity("dbt_valid_from", "dbt_valid_to", "dbt_updated_at")
 
 
 def int_exports_enriched(stg_certs: DataFrame, stg_exports: DataFrame) -> DataFrame:
-    """Export value per product: the value of a place and year, spread over its products by tonnes."""
+    """Export value per product: the value of a place and year, spread over its products by tonnes.
+
+    Staging rows with ``measure=staging.EXACT`` are added up as decimals and leave as doubles.
+    """
     detail = settle(sum_by(stg_certs, [*PLACE_YEAR, "commodity"], {"total_tn": "total_tn"}), "detail")
-    return apportion(detail, stg_exports, PLACE_YEAR, "total_tn", "fob_usd", "fob_usd", "total_fob_usd")
+    spread = apportion(detail, stg_exports, PLACE_YEAR, "total_tn", "fob_usd", "fob_usd", "total_fob_usd")
+    return spread.withColumns({c: F.col(c).cast("double") for c in ("total_tn", "total_fob_usd")})
 
 
 def dim_product(stg_certs: DataFrame, keyword_match: bool = False) -> DataFrame:

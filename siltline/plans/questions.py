@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.functions.numbers import ratio
-from siltline.operators.allocate import apportion, sum_by
+from siltline.operators.allocate import apportion, share_of_total, sum_by
 from siltline.operators.analytics import change_by_period, correlation_by, top_ranked
+from siltline.operators.joins import fits_broadcast
 from siltline.plans.gold import PLACE_YEAR
 from siltline.session import settle
 
@@ -21,10 +21,12 @@ def value_by_quarter(certs: DataFrame, exports: DataFrame) -> DataFrame:
 
 
 def volume_vs_indicator(fact: DataFrame, product: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Correlation of each product's yearly tonnes with each indicator."""
+    """Correlation of each product's yearly tonnes with each indicator. A year is a coarse key: the indicators are measured
+    and, if they are few, broadcast, so that the yearly tonnes stay where they are and sums combine in the map tasks."""
     yearly = sum_by(fact, ["product_key", "year"], {"total_tn": "total_tn"})
     volume = yearly.join(product.select("product_key", "commodity"), "product_key")
-    paired = volume.join(indicators.select("indicator_code", "year", "indicator_value"), "year")
+    known = settle(indicators.select("indicator_code", "year", "indicator_value"), "indicators")
+    paired = volume.join(F.broadcast(known) if fits_broadcast(known) else known, "year")
     return correlation_by(paired, ["commodity", "indicator_code"], "total_tn", "indicator_value")
 
 
@@ -40,9 +42,8 @@ def leading_provinces(fact: DataFrame, product: DataFrame, province: DataFrame,
 
 def share_by_year(fact: DataFrame, destination: DataFrame) -> DataFrame:
     """Each destination's share of the year's value and its change against the year before."""
-    yearly = sum_by(fact, ["year", "destination_key"], {"fob_usd": "fob_usd"})
-    totals = sum_by(yearly, ["year"], {"year_total": "fob_usd"})
-    shares = yearly.join(totals, "year").withColumn("share", ratio("fob_usd", "year_total"))
+    yearly = settle(sum_by(fact, ["year", "destination_key"], {"fob_usd": "fob_usd"}), "yearly")
+    shares = share_of_total(yearly, ["year"], "fob_usd", "share", "year_total")
     moved = change_by_period(shares, ["destination_key"], "year", "share", "share_change")
     return moved.join(destination.select("destination_key", "country"), "destination_key").select(
         "country", "year", "share", "share_change"

@@ -10,29 +10,32 @@ from pyspark.sql import functions as F
 from siltline.functions.text import canonical_key, normal_key
 from siltline.plans.constants import INDICATOR_COUNTRY, PLACE_ALIASES
 
+#: The views show doubles; what adds measures up takes them exact, so that no order of the rows shows in a sum.
+EXACT = "decimal(18,4)"
+
 
 def place_key(c: str) -> Column:
     """Key under which both export sources meet although they spell places differently."""
     return canonical_key(c, PLACE_ALIASES)
 
 
-def stg_indec_exports(silver: DataFrame, place: Callable[[str], Column] = normal_key) -> DataFrame:
+def stg_indec_exports(silver: DataFrame, place: Callable[[str], Column] = normal_key, measure: str = "double") -> DataFrame:
     return silver.select(
         F.col("year").cast("int").alias("year"),
         place("province").alias("province"),
         place("country").alias("country"),
-        F.col("fob_usd").cast("double").alias("fob_usd"),
+        F.col("fob_usd").cast(measure).alias("fob_usd"),
     )
 
 
-def stg_senasa_certs(silver: DataFrame, place: Callable[[str], Column] = normal_key) -> DataFrame:
+def stg_senasa_certs(silver: DataFrame, place: Callable[[str], Column] = normal_key, measure: str = "double") -> DataFrame:
     return silver.select(
         F.col("year").cast("int").alias("year"),
         place("provincia").alias("province"),
         place("pais_destino").alias("country"),
         F.col("pais_destino_id_iso_3166_1").alias("country_iso2"),
         normal_key("mercaderia_certificada").alias("commodity"),
-        F.col("tn").cast("double").alias("total_tn"),
+        F.col("tn").cast(measure).alias("total_tn"),
     )
 
 

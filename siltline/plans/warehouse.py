@@ -50,7 +50,10 @@ def build(spark: SparkSession, silver_root: str, gold_root: str, run_ts: datetim
             "dim_province": _write(gold.dim_province(certs), gold_root, "dim_province"),
             "dim_destination": _write(gold.dim_destination(history.read_current(spark, snap)), gold_root, "dim_destination"),
         }
-        enriched = gold.int_exports_enriched(certs, views["stg_indec_exports"])
+        enriched = gold.int_exports_enriched(
+            staging.stg_senasa_certs(silver["senasa_certs"], measure=staging.EXACT),
+            staging.stg_indec_exports(silver["indec_exports"], measure=staging.EXACT),
+        )
         fact = gold.fct_exports(
             enriched, tables["dim_date"], tables["dim_destination"], tables["dim_product"], tables["dim_province"]
         )

@@ -73,3 +73,19 @@ def test_fixed_values():
     assert len(PRODUCT_NAMES) == 23 and len(STATIONS) == 7
     kinds = [c.kind for c in suite.export_suite().checks]
     assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("accepted_values"), kinds.count("relationships")) == (48, 7, 2, 3)
+
+
+@pytest.mark.parametrize("partitions", ["1", "8"])
+def test_sums_are_exact_in_any_order(spark, frame, partitions):
+    from datetime import date
+    from decimal import Decimal as D
+
+    certs = frame(CERTS, *((date(2020, 1, 1 + i), "Salta", "Peru", "PE", "America", ("soja", "trigo")[i % 2], D("0.1"), 2020, 1) for i in range(6)))
+    exports = frame("year int, province string, country string, fob_usd decimal(18,4)", *[(2020, "salta", "peru", D("0.1"))] * 3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        enriched = gold.int_exports_enriched(staging.stg_senasa_certs(certs.repartition(3), measure=staging.EXACT), staging.stg_indec_exports(exports, measure=staging.EXACT))
+        assert tuples(enriched, "commodity", "total_tn", "fob_usd", "total_fob_usd") == [("soja", 0.3, 0.15, 0.3), ("trigo", 0.3, 0.15, 0.3)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
