@@ -214,21 +214,23 @@ def _verified_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndar
     for block, key, fp, print5, node in _whole_buckets(batches):
         near = lambda i, j: (np.bitwise_count(fp[i] ^ fp[j]) <= RADIUS) & (np.bitwise_count(print5[i] ^ print5[j]) <= TOLERANCE)  # noqa: B023, E731
         edge, size = _sizes(block, key)
-        a, b = [], []
-        for at, n in [(edge[size == 2], 2), *zip(edge[size > 2], size[size > 2], strict=True)]:
-            if n == 2:
-                i, j = at, at + 1
-            elif n <= SMALL:
-                i, j = (x + at for x in np.triu_indices(n, 1))
-            else:
-                i, j = _reached(fp[at:at + n], print5[at:at + n])
-                a.append(node[at + i])
-                b.append(node[at + j])
+        a, b = [node[:0]], [node[:0]]
+        for n in np.unique(size[size > 1]).tolist():
+            at = edge[size == n]
+            if n > SMALL:
+                for start in at.tolist():
+                    i, j = _reached(fp[start:start + n], print5[start:start + n])
+                    a.append(node[start + i])
+                    b.append(node[start + j])
                 continue
-            hit = near(i, j)
-            i, j = i[hit], j[hit]
-            a.append(node[i])
-            b.append(node[j])
+            p, q = np.triu_indices(n, 1)  # many buckets of one size together
+            step = max(1, PAIRS // len(p))
+            for k in range(0, len(at), step):
+                start = at[k:k + step, None]
+                i, j = (start + p).ravel(), (start + q).ravel()
+                hit = near(i, j)
+                a.append(node[i[hit]])
+                b.append(node[j[hit]])
         yield np.concatenate(a), np.concatenate(b)
 
 
