@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import Scratch, words_of
+from siltline.llm.common import Scratch, mix, window_hash, words_of
 from siltline.llm.components import components
 
 RADIUS = 3
@@ -265,9 +265,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
         F.lower(F.lpad(F.hex("label"), 16, "0")).alias("component"))
 
 
+def _majority(hashes: np.ndarray, times: np.ndarray | None = None) -> int:
+    """The bits that are set in over half of the hashes, each counted as often as ``times`` says."""
+    ones, n = np.zeros(64, np.int64), len(hashes) if times is None else int(times.sum())
+    for at in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int32) if times is None else (times[at:at + (1 << 16)] @ bits).astype(np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+
+
+def word_fingerprints(text: str | None) -> list[int]:
+    """SimHash of the lower-cased words under each of ``SEEDS``, then that of their five-word shingles; zeros if there
+    is no word. Each word is hashed once; the families of hashes are mixed from that."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return [0] * (len(SEEDS) + 1)
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    kinds, times = np.unique(codes, return_counts=True)
+    times = times.astype(np.float64)  # exact for counts, and multiplied by BLAS
+    return [*(_majority(mix(kinds ^ np.uint64(seed << 32)), times) for seed in SEEDS), _majority(window_hash(codes, min(5, len(codes))))]
+
+
 def _four(texts: pa.Array) -> pa.Array:
-    rows = [[*(fingerprint(t, 1, seed) for seed in SEEDS), fingerprint(t, 5)] for t in (x.as_py() for x in texts)]
-    columns = np.array(rows, np.uint64).reshape(-1, 4).view(np.int64).T
+    columns = np.array([word_fingerprints(t.as_py()) for t in texts], np.uint64).reshape(-1, 4).view(np.int64).T
     return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["p0", "p1", "p2", "five"])
 
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 from siltline.llm import components, language, licences, mixing, pieces, sharding, simhash, substrings, suffix_array, vectors, weighted_sampling
-from siltline.llm.common import Scratch
+from siltline.llm.common import Scratch, mix, window_hash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id int, size string"
 
@@ -103,6 +103,18 @@ def test_simhash_large_buckets_link_like_small_ones():
         assert small.keys() >= set() and len(large) <= len(prints)
 
 
+def test_word_fingerprints(texts):
+    for t in [*texts, "A b a B c", "é É x", "one two three four"]:
+        words = (t or "").encode().lower().split()
+        if not words:
+            assert simhash.word_fingerprints(t) == [0] * 4
+            continue
+        codes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        families = [mix(codes ^ np.uint64(seed << 32)) for seed in simhash.SEEDS] + [window_hash(codes, min(5, len(codes)))]
+        want = [sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h.tolist()) > len(h)) for h in families]
+        assert simhash.word_fingerprints(t) == want
+
+
 def test_keep_one(docs, texts):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
