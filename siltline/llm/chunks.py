@@ -17,6 +17,8 @@ from siltline.llm.common import Scratch, partitions, words_of
 CHARS = 1_000_000
 #: Hashes that meet in one group of a count, at most about.
 GROUP = 2_000_000
+#: Bytes of a hash that are compared where first occurrences are chosen.
+LEAD_WIDTH = 12
 
 
 def packed(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -90,14 +92,23 @@ class Marks:
             pa.array([np.ascontiguousarray(low[a:b]).tobytes() for a, b in spans], pa.binary()),
             pa.array([np.packbits(self.n[a:b] > 1).tobytes() for a, b in spans], pa.binary())], names=["part", "chunk", "low", "twice"])
 
-    def answer(self, replies: list[dict] | None) -> np.ndarray:
-        """For each hash that was given, whether it is repeated."""
+    def _found(self, replies: list[dict] | None, field: str) -> np.ndarray:
         found = np.zeros(len(self.kinds), bool)
         place = {int(g): (a, b) for g, a, b in zip(self.groups, self.start, self.stop, strict=True)}
         for r in replies or ():
             a, b = place[r["part"]]
-            found[a:b] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=b - a)
-        return found[self.back]
+            found[a:b] = np.unpackbits(np.frombuffer(r[field], np.uint8), count=b - a)
+        return found
+
+    def answer(self, replies: list[dict] | None) -> np.ndarray:
+        """For each hash that was given, whether it is repeated."""
+        return self._found(replies, "bits")[self.back]
+
+    def leads(self, replies: list[dict] | None) -> np.ndarray:
+        """For each hash that was given, whether it is the first occurrence of all."""
+        out = np.zeros(len(self.back), bool)
+        out[self.first[self._found(replies, "lead")]] = True
+        return out
 
 
 def _count(width: int) -> Callable[[pa.Table], pa.Table]:
@@ -149,6 +160,54 @@ def repeated(chunks: DataFrame, replies: DataFrame | None, hashes: Callable, gro
     return scratch.save(found.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("replies")))
 
 
+def _count_places(rows: pa.Table) -> pa.Table:
+    """Like ``_count`` with LEAD_WIDTH bytes, and which chunk has the least place of each hash."""
+    sizes = [len(x) // LEAD_WIDTH for x in rows["low"].to_pylist()]
+    wide = np.zeros((sum(sizes), 16), np.uint8)
+    wide[:, :LEAD_WIDTH] = np.frombuffer(b"".join(rows["low"].to_pylist()), np.uint8).reshape(-1, LEAD_WIDTH)
+    a, b = (np.ascontiguousarray(wide[:, i:i + 8]).view(np.uint64).ravel() for i in (0, 8))
+    bits = lambda name: np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows[name].to_pylist(), sizes, strict=True)])
+    ids, chunk = np.frombuffer(b"".join(rows["ids"].to_pylist()), np.int64), rows["chunk"].to_numpy()
+    order = np.lexsort((np.repeat(chunk, sizes), ids, bits("void"), b, a))
+    same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+    again, lead = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    again[order] = np.r_[False, same] | np.r_[same, False]
+    again |= bits("twice").astype(bool)
+    lead[order] = np.r_[True, ~same]
+    lead &= again
+    cut = np.cumsum(sizes)[:-1]
+    own = [(c, p, np.packbits(x).tobytes(), np.packbits(y).tobytes()) for c, p, x, y in zip(
+        chunk.tolist(), rows["part"].to_pylist(), np.split(again, cut), np.split(lead, cut), strict=True) if x.any()]
+    kinds = {"chunk": pa.int64(), "part": pa.int64(), "bits": pa.binary(), "lead": pa.binary()}
+    return pa.table({k: pa.array([x[i] for x in own], t) for i, (k, t) in enumerate(kinds.items())})
+
+
+def first_places(texts: DataFrame, places: Callable, groups: int, scratch: Scratch) -> DataFrame:
+    """``(chunk, replies)``: like ``repeated`` with LEAD_WIDTH bytes, and which hashes have their first occurrence in the chunk.
+
+    ``places`` gives for the columns of ``texts`` after the chunk the hashes in the order of their places, a second word
+    of each, and of its document the id and whether that is null. A chunk sends the least place of each of its hashes.
+    The first occurrence is the one with the smallest id, nulls last; of equal ids the one in the first chunk.
+    """
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk, *given = batch.columns
+            for i in range(batch.num_rows):
+                hashes, second, ids, void = places(*(g[i] for g in given))
+                if not len(hashes):
+                    continue
+                marks = Marks(hashes, second, groups)
+                asked, ids, void = marks.ask(chunk[i].as_py(), LEAD_WIDTH), ids[marks.first], void[marks.first]
+                spans = list(zip(marks.start, marks.stop, strict=True))
+                yield pa.RecordBatch.from_arrays([*asked.columns, pa.array([ids[a:b].tobytes() for a, b in spans], pa.binary()),
+                                                  pa.array([np.packbits(void[a:b]).tobytes() for a, b in spans], pa.binary())],
+                                                 names=[*asked.schema.names, "ids", "void"])
+
+    asked = texts.mapInArrow(ask, "part long, chunk long, low binary, twice binary, ids binary, void binary")
+    found = asked.groupBy("part").applyInArrow(_count_places, "chunk long, part long, bits binary, lead binary")
+    return scratch.save(found.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits", "lead")).alias("firsts")))
+
+
 def with_replies(chunks: DataFrame, replies: DataFrame | None) -> DataFrame:
     """The chunks with what is known about each; one of them is much smaller, so nothing is sorted."""
     return chunks if replies is None else chunks.join(replies.hint("shuffle_hash"), "chunk", "left")

@@ -12,7 +12,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.chunks import Marks, Words, group_count, packed, repeated, with_replies
+from siltline.llm.chunks import Marks, Words, first_places, group_count, packed, repeated, with_replies
 from siltline.llm.common import Scratch, mix, partitions, window_hash
 
 #: A passage has so many words at least. Suffixes start at minimisers: of any REACH word runs of GRAM words in a row the
@@ -100,10 +100,40 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(held, place - before[0], place + before[1], last, False)
 
 
-def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The chunks of ``docs``, and ``(chunk, spans)``: spans ``(item, start, stop, first)`` of words in passages of at
-    least ``PASSAGE`` words that also occur elsewhere; ``first`` where it is the first occurrence (smallest doc_id,
-    nulls last, then place).
+def _windows(words: Words, spans: list[dict] | None) -> np.ndarray:
+    """Starts of the windows of PASSAGE words in the spans."""
+    step = np.zeros(len(words.codes) + 1, np.int64)
+    for s in spans or ():
+        step[words.edge[s["item"]] + s["start"]] += 1
+        step[words.edge[s["item"]] + s["stop"] - PASSAGE + 1] -= 1
+    return np.flatnonzero(np.cumsum(step)[:-1] > 0)
+
+
+def _places(words: Words, ids: pa.Array, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts in the order of their documents (smallest id, nulls last, then place); two hashes of each window, and the
+    ids of the documents and whether they are null."""
+    void, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.cast(pa.int64()).fill_null(0).to_numpy()
+    rank = np.empty(len(ids), np.int64)
+    rank[np.lexsort((ids, void))] = np.arange(len(ids))
+    item = np.searchsorted(words.edge, starts, "right") - 1
+    order = np.argsort(rank[item], kind="stable")
+    starts, item = starts[order], item[order]
+    return starts, window_hash(words.codes, PASSAGE)[starts], window_hash(words.codes, PASSAGE, 1)[starts], ids[item], void[item]
+
+
+def _covering(n: int, starts: np.ndarray) -> np.ndarray:
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, starts, 1)
+    np.add.at(step, starts + PASSAGE, -1)
+    return np.cumsum(step)[:-1] > 0
+
+
+def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """The chunks of ``docs``, ``(chunk, spans, firsts)`` with spans ``(item, start, stop)`` of words in passages of at
+    least ``PASSAGE`` words that also occur elsewhere and what is known of their windows, and the groups of the hashes.
+
+    Which occurrence is the first (smallest doc_id, nulls last, then place) is decided for each window of ``PASSAGE``
+    words in the spans, by 96 bits of its hash: a run of ``GRAM`` words may lie in many different passages.
 
     Suffixes whose first ``GRAM`` words occur once are left out before the sort. The others are sorted by their words,
     what lies before them, and their place, so that even a passage of a third of all documents is spread over
@@ -147,18 +177,14 @@ def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     edges = matches.where("side is not null").select("key", "side", "room", "doc_id", "chunk", "item", "place")
     across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours, _MATCH)  # two rows for each partition
     found = scratch.save(matches.unionByName(across).where("side is null").select("chunk", "item", "doc_id", "start", "stop", "key", "place"))
-    spot = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "chunk", "item", "place")
-    # written, so that the join has plain shuffles on both sides and a frequent key can be split
-    leading = scratch.save(found.groupBy("key").agg(F.min(spot).alias("lead")))
-    spans = found.join(leading, "key").select("chunk", F.struct("item", "start", "stop", (F.col("lead") == spot).alias("first")).alias("span"))
-    return chunks, scratch.save(spans.groupBy("chunk").agg(F.collect_list("span").alias("spans")))
+    spans = scratch.save(found.groupBy("chunk").agg(F.collect_list(F.struct("item", "start", "stop")).alias("spans")))
 
+    def places(texts, ids, spans):
+        words = Words(texts.as_py())
+        return _places(words, ids.values, _windows(words, spans.as_py()))[1:]
 
-def _covered(n: int, spans: list[dict]) -> np.ndarray:
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, np.fromiter((s["start"] for s in spans), np.int64, len(spans)), 1)
-    np.add.at(step, np.fromiter((s["stop"] for s in spans), np.int64, len(spans)), -1)
-    return np.cumsum(step)[:n] > 0
+    firsts = first_places(texts.join(spans.hint("shuffle_hash"), "chunk"), places, groups, scratch)
+    return chunks, spans.join(firsts, "chunk"), groups
 
 
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -177,27 +203,35 @@ def _without(text: str, mask: np.ndarray) -> str:
     return b"".join([*out, raw[last:]]).decode()
 
 
-def _by_document(texts: list[str | None], spans: list[dict] | None) -> Iterator[tuple[str | None, int, np.ndarray, np.ndarray]]:
-    """Text, words, words in repeated passages and words of later occurrences."""
-    own: dict[int, list[dict]] = {}
-    for s in spans or ():
-        own.setdefault(s["item"], []).append(s)
-    for i, text in enumerate(texts):
-        n = len((text or "").encode().split())
-        mine = own.get(i, [])
-        yield text, n, _covered(n, mine), _covered(n, [s for s in mine if not s["first"]])
+def _by_document(texts: list[str | None], ids: pa.Array, known: list[dict] | None, firsts: list[dict] | None, groups: int) -> Iterator[tuple[str | None, int, np.ndarray, np.ndarray]]:
+    """Text, words, words in repeated passages and words to remove: those of later windows, unless they are words of a
+    first one too. So each window that is repeated stays whole where it occurs first."""
+    if not firsts:
+        for text in texts:
+            n = len((text or "").encode().split())
+            yield text, n, np.zeros(n, bool), np.zeros(n, bool)
+        return
+    words = Words(texts)
+    starts, value, second, *_ = _places(words, ids, _windows(words, known))
+    marks = Marks(value, second, groups)
+    again, lead = marks.answer(firsts), marks.leads(firsts)
+    inside = _covering(len(words.codes), starts[again])
+    gone = _covering(len(words.codes), starts[again & ~lead]) & ~_covering(len(words.codes), starts[lead])
+    for text, a, b in zip(texts, words.edge[:-1], words.edge[1:], strict=True):
+        yield text, int(b - a), inside[a:b], gone[a:b]
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_words, n_repeated, n_removed, repeated, removed, kept_sha256``.
 
     ``repeated`` lists the ranges ``(start, stop)`` of words that lie in a passage of at least ``PASSAGE`` words found
-    elsewhere too; ``removed`` those of which an earlier occurrence stays; the digest is of the words that stay, joined
+    elsewhere too; ``removed`` those in a window of ``PASSAGE`` words of which an earlier occurrence stays, and in none
+    that occurs here first; the digest is of the words that stay, joined
     by one space. Null and short texts have no passage; repeated rows are occurrences like all others; other columns
     are not read.
     """
     scratch = Scratch(docs.sparkSession, "passages")
-    chunks, spans = passages(docs.select("doc_id", "text"), scratch)
+    chunks, known, groups = passages(docs.select("doc_id", "text"), scratch)
     ranges = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +239,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 rows = batch.column(0)[i].values
                 out = []
-                for text, n, again, gone in _by_document(rows.field(1).to_pylist(), batch.column(1)[i].as_py()):
+                for text, n, again, gone in _by_document(rows.field(1).to_pylist(), rows.field(0), *(c[i].as_py() for c in batch.columns[1:]), groups):
                     words = (text or "").encode().split()
                     kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words
                     out.append((n, int(again.sum()), int(gone.sum()), *([{"start": a, "stop": b} for a, b in _runs(x)] for x in (again, gone)),
@@ -215,23 +249,23 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                                                  names=["doc_id", "n_words", "n_repeated", "n_removed", "repeated", "removed", "kept_sha256"])
 
     kind = "array<struct<start:int,stop:int>>"
-    return with_replies(chunks.select("chunk", "rows"), spans).select("rows", "spans").mapInArrow(
+    return with_replies(chunks.select("chunk", "rows"), known).drop("chunk").mapInArrow(
         finish, f"doc_id long, n_words long, n_repeated long, n_removed long, repeated {kind}, removed {kind}, kept_sha256 string")
 
 
 def drop_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` without the later occurrences of repeated passages, in the columns of ``docs``; ``n_chars`` is counted
+    """``docs`` without the words of later occurrences of repeated passages, in the columns of ``docs``; ``n_chars`` is counted
     anew. Texts without such a passage stay as they are; a document of which no word is left is dropped."""
     scratch = Scratch(docs.sparkSession, "passages-drop")
-    chunks, spans = passages(docs, scratch)
+    chunks, known, groups = passages(docs, scratch)
     names = [c.lower() for c in docs.columns]
-    at, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    at, own_id, length = names.index("text"), names.index("doc_id"), names.index("n_chars") if "n_chars" in names else None
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, texts, keep = batch.column(0)[i].values, [], []
-                for text, n, _again, gone in _by_document(batch.column(0)[i].values.field(at).to_pylist(), batch.column(1)[i].as_py()):
+                for text, n, _again, gone in _by_document(rows.field(at).to_pylist(), rows.field(own_id), *(c[i].as_py() for c in batch.columns[1:]), groups):
                     keep.append(not n or not gone.all())
                     texts.append(_without(text, gone) if gone.any() else text)
                 columns = rows.flatten()
@@ -242,4 +276,4 @@ def drop_passages(docs: DataFrame) -> DataFrame:
                     columns[length] = pa.compute.if_else(changed, sizes, columns[length])
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in rows.type]).filter(pa.array(keep))
 
-    return with_replies(chunks.select("chunk", "rows"), spans).select("rows", "spans").mapInArrow(finish, docs.schema)
+    return with_replies(chunks.select("chunk", "rows"), known).drop("chunk").mapInArrow(finish, docs.schema)

@@ -191,6 +191,21 @@ def test_drop_passages_keeps_the_first_and_the_layout(docs, texts):
     assert by_id[15] == texts[15] and by_id[17].split() == texts[17].split()[:5] and 13 not in by_id and by_id[21] == texts[21]
 
 
+def test_passages_around_one_frequent_line_stay_where_they_are_first(spark):
+    r = random.Random(11)
+    prose = lambda n: [f"v{r.randrange(10 ** 6)}" for _ in range(n)]
+    line = prose(30)
+    rows = [prose(25) + line + prose(20) for _ in range(40)]
+    rows = [w for p in rows for w in (p, prose(10) + p)] + [[w for _ in range(3) for w in (*rows[0][:60], *prose(7))]]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "a", 0, 7, "s") for i, w in enumerate(rows)], SCHEMA)
+    count = Counter(tuple(w[i:i + 50]) for w in rows for i in range(len(w) - 49))
+    out = {x.doc_id: x for x in suffix_array.repeated_passages(docs).collect()}
+    assert [out[i].n_removed for i in range(80)] == [0, 75] * 40 and out[80].n_removed == 3 * 60
+    kept = {x.doc_id: x.text.split() for x in suffix_array.drop_passages(docs).collect()}
+    left = Counter(tuple(w[i:i + 50]) for w in kept.values() for i in range(len(w) - 49))
+    assert all(left[w] == 1 for w, n in count.items() if n > 1)
+
+
 def test_pieces(docs):
     import sentencepiece
 
