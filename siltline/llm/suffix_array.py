@@ -1,4 +1,4 @@
-"""Repeated passages from a sparse suffix array over minimiser positions."""
+"""Repeated passages from sparse suffixes at minimiser positions."""
 
 from __future__ import annotations
 
@@ -13,14 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.llm.chunks import Marks, Words, first_places, group_count, packed, repeated, with_replies
-from siltline.llm.common import Scratch, mix, partitions, window_hash
+from siltline.llm.common import Scratch, mix, window_hash
 
 #: A passage has so many words at least. Suffixes start at minimisers: of any REACH word runs of GRAM words in a row the
 #: one with the smallest hash; a passage holds REACH such runs, so its occurrences have a minimiser in common.
 PASSAGE, GRAM = 50, 20
 REACH = PASSAGE - GRAM + 1
-#: Words that are compared on either side of the first GRAM words of a suffix, and bytes of a word in the comparison.
-SIDE, CODE = PASSAGE - GRAM, 3
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -41,71 +39,15 @@ def minimisers(words: Words) -> np.ndarray:
     return np.unique(np.where(value[far] < value[near], far, near))
 
 
-def _suffixes(words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For chosen positions the codes of SIDE words after the first GRAM and of SIDE words before, nearest first.
-    Beyond a document's ends there are codes that no other position has in common with it."""
-    code = (mix(words.codes) >> np.uint64(64 - 8 * CODE)).astype(np.uint32)
-    begin = words.edge[np.searchsorted(words.edge, at, "right") - 1]
-    end = at + words.left[at]
-    after, before = at[:, None] + GRAM + np.arange(SIDE), at[:, None] - 1 - np.arange(SIDE)
-    most = len(code) - 1
-    right = np.where(after < end[:, None], code[np.minimum(after, most)], 0)
-    left = np.where(before >= begin[:, None], code[np.maximum(before, 0)], 0)
-    both = np.concatenate([right, left], 1)
-    big = np.ascontiguousarray(both.astype(">u4")).view(np.uint8).reshape(len(at), 2 * SIDE, 4)[:, :, 4 - CODE:]
-    return np.ascontiguousarray(big).reshape(len(at), -1), np.minimum(end - at, PASSAGE)
-
-
-_MATCH = "chunk long, item int, doc_id long, start int, stop int, key long, place int, side binary, room int"
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (key, side, room, doc_id, chunk, item, place): each with what it shares with the rows around it.
-
-    The first and the last row of a partition also come out with their words, to be compared across partitions.
-    """
-    def out(rows: pa.RecordBatch, start, stop, keep: np.ndarray, words: bool) -> pa.RecordBatch:
-        r = rows.take(pa.array(np.flatnonzero(keep)))
-        side = r["side"] if words else pa.nulls(len(r["side"]), pa.binary())
-        return pa.RecordBatch.from_arrays([r["chunk"], r["item"], r["doc_id"], pa.array(start[keep].astype(np.int32)), pa.array(stop[keep].astype(np.int32)),
-                                           r["key"], r["place"], side, r["room"]], names=[f.split()[0] for f in _MATCH.split(", ")])
-
-    held, before, first = None, (0, 0), True
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
-        n, place = rows.num_rows, rows["place"].to_numpy()
-        key, room = rows["key"].to_numpy(), rows["room"].to_numpy()
-        side = np.frombuffer(b"".join(rows["side"].to_pylist()), np.uint8).reshape(n, 2 * SIDE, CODE)
-        same = (side[1:] == side[:-1]).all(2) & (side[1:] != 0).any(2)
-        right = np.where(same[:, :SIDE].all(1), SIDE, same[:, :SIDE].argmin(1)) + GRAM
-        left = np.where(same[:, SIDE:].all(1), SIDE, same[:, SIDE:].argmin(1))
-        right = np.minimum(right, np.minimum(room[1:], room[:-1]))
-        good = (key[1:] == key[:-1]) & (left + right >= PASSAGE)
-        left, right = np.where(good, left, 0), np.where(good, right, 0)
-        reach_l, reach_r = np.maximum(np.r_[before[0], left], np.r_[left, 0]), np.maximum(np.r_[before[1], right], np.r_[right, 0])
-        hit = (reach_r > 0)
-        hit[-1] = False  # the last row waits for the next batch
-        if first:
-            yield out(rows, place, place, np.arange(n) == 0, True)
-            first = False
-        if hit.any():
-            yield out(rows, place - reach_l, place + reach_r, hit, False)
-        held, before = rows.slice(n - 1), (int(left[-1]), int(right[-1])) if n > 1 else before
-    if held is not None:
-        place, last = held["place"].to_numpy(), np.array([True])
-        yield out(held, place, place, last, True)
-        if before[1]:
-            yield out(held, place - before[0], place + before[1], last, False)
-
-
-def _windows(words: Words, spans: list[dict] | None) -> np.ndarray:
-    """Starts of the windows of PASSAGE words in the spans."""
+def _windows(words: Words, known: list[dict] | None, groups: int) -> np.ndarray:
+    """Starts of the windows of PASSAGE words around the minimisers whose first GRAM words are repeated."""
+    spots = minimisers(words)
+    spots = spots[Marks(window_hash(words.codes, GRAM)[spots], np.zeros(0, np.uint64), groups).answer(known)]
+    begin = words.edge[np.searchsorted(words.edge, spots, "right") - 1]
+    first, last = np.maximum(begin, spots - REACH + 1), np.minimum(spots, spots + words.left[spots] - PASSAGE)
     step = np.zeros(len(words.codes) + 1, np.int64)
-    for s in spans or ():
-        step[words.edge[s["item"]] + s["start"]] += 1
-        step[words.edge[s["item"]] + s["stop"] - PASSAGE + 1] -= 1
+    np.add.at(step, first, 1)
+    np.add.at(step, last + 1, -1)
     return np.flatnonzero(np.cumsum(step)[:-1] > 0)
 
 
@@ -129,18 +71,15 @@ def _covering(n: int, starts: np.ndarray) -> np.ndarray:
 
 
 def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
-    """The chunks of ``docs``, ``(chunk, spans, firsts)`` with spans ``(item, start, stop)`` of words in passages of at
-    least ``PASSAGE`` words that also occur elsewhere and what is known of their windows, and the groups of the hashes.
-
-    Which occurrence is the first (smallest doc_id, nulls last, then place) is decided for each window of ``PASSAGE``
-    words in the spans, by 96 bits of its hash: a run of ``GRAM`` words may lie in many different passages.
-
-    Suffixes whose first ``GRAM`` words occur once are left out before the sort. The others are sorted by their words,
-    what lies before them, and their place, so that even a passage of a third of all documents is spread over
-    partitions; each is compared with its neighbours and extended to both sides. Matches across the cut between two
-    partitions come from their first and last rows.
+    """The chunks of ``docs``, ``(chunk, replies, firsts)`` with what is known of their 20-word runs and of their windows,
+    and the groups of the hashes.
+
+    Suffixes whose first ``GRAM`` words occur once are left out. Two occurrences of a window of ``PASSAGE`` words have
+    the same minimiser, so all repeated windows lie around the suffixes that are left, at most ``REACH`` around each.
+    Those are counted by 96 bits of their hash, and the first occurrence (smallest doc_id, nulls last, then place) is
+    chosen for each window: a run of ``GRAM`` words may lie in many different passages. A window that a third of all
+    documents have adds one entry for each chunk.
     """
-    spark = docs.sparkSession
     at = [c.lower() for c in docs.columns].index("doc_id")
     chunks = packed(docs, scratch)
     groups, _ = group_count(chunks)
@@ -151,40 +90,13 @@ def passages(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, i
 
     replies = repeated(chunks, None, hashes, groups, 8, scratch)
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                words = Words(batch.column(1)[i].as_py())
-                spots = minimisers(words)
-                key = window_hash(words.codes, GRAM)[spots]
-                spots = spots[Marks(key, np.zeros(0, np.uint64), groups).answer(batch.column(3)[i].as_py())]
-                if not len(spots):
-                    continue
-                key = window_hash(words.codes, GRAM)[spots].view(np.int64)
-                item = np.searchsorted(words.edge, spots, "right") - 1
-                side, room = _suffixes(words, spots)
-                ids = batch.column(2)[i].values.take(pa.array(item)).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key), pa.array([x.tobytes() for x in side], pa.binary()), pa.array(room.astype(np.int32)), ids,
-                    pa.array([batch.column(0)[i].as_py()] * len(spots), pa.int64()), pa.array(item.astype(np.int32)),
-                    pa.array((spots - words.edge[item]).astype(np.int32))], names=["key", "side", "room", "doc_id", "chunk", "item", "place"])
-
-    texts = chunks.select("chunk", F.col("rows.text").alias("texts"), F.col("rows").getField(docs.columns[at]).alias("ids"))
-    table = scratch.save(with_replies(texts, replies).mapInArrow(
-        suffixes, "key long, side binary, room int, doc_id long, chunk long, item int, place int"))
-    order = ["key", "side", "doc_id", "chunk", "item", "place"]
-    matches = scratch.save(table.repartitionByRange(max(1, partitions(spark)), *order).sortWithinPartitions(*order).mapInArrow(_neighbours, _MATCH))
-    edges = matches.where("side is not null").select("key", "side", "room", "doc_id", "chunk", "item", "place")
-    across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours, _MATCH)  # two rows for each partition
-    found = scratch.save(matches.unionByName(across).where("side is null").select("chunk", "item", "doc_id", "start", "stop", "key", "place"))
-    spans = scratch.save(found.groupBy("chunk").agg(F.collect_list(F.struct("item", "start", "stop")).alias("spans")))
-
-    def places(texts, ids, spans):
+    def places(texts, ids, known):
         words = Words(texts.as_py())
-        return _places(words, ids.values, _windows(words, spans.as_py()))[1:]
+        return _places(words, ids.values, _windows(words, known.as_py(), groups))[1:]
 
-    firsts = first_places(texts.join(spans.hint("shuffle_hash"), "chunk"), places, groups, scratch)
-    return chunks, spans.join(firsts, "chunk"), groups
+    texts = chunks.select("chunk", F.col("rows.text").alias("texts"), F.col("rows").getField(docs.columns[at]).alias("ids"))
+    firsts = first_places(texts.join(replies.hint("shuffle_hash"), "chunk"), places, groups, scratch)
+    return chunks, replies.join(firsts, "chunk"), groups
 
 
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -212,7 +124,7 @@ def _by_document(texts: list[str | None], ids: pa.Array, known: list[dict] | Non
             yield text, n, np.zeros(n, bool), np.zeros(n, bool)
         return
     words = Words(texts)
-    starts, value, second, *_ = _places(words, ids, _windows(words, known))
+    starts, value, second, *_ = _places(words, ids, _windows(words, known, groups))
     marks = Marks(value, second, groups)
     again, lead = marks.answer(firsts), marks.leads(firsts)
     inside = _covering(len(words.codes), starts[again])

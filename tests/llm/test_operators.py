@@ -206,6 +206,17 @@ def test_passages_around_one_frequent_line_stay_where_they_are_first(spark):
     assert all(left[w] == 1 for w, n in count.items() if n > 1)
 
 
+def test_passages_are_found_that_end_after_a_frequent_run(spark):
+    r = random.Random(12)
+    prose = lambda n: [f"v{r.randrange(10 ** 6)}" for _ in range(n)]
+    low = lambda w: int(mix(window_hash(np.array([xxhash.xxh64_intdigest(x.encode(), 7) for x in w], np.uint64), 20) ^ np.uint64(0x5EED))[0])
+    run, left = min((prose(20) for _ in range(2000)), key=low), [prose(30) for _ in range(30)]  # the minimiser of each passage
+    rows = [x + run + prose(40) for x in left for _ in range(2)]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "a", 0, 7, "s") for i, w in enumerate(rows)], SCHEMA)
+    out = {x.doc_id: x.n_repeated for x in suffix_array.repeated_passages(docs).collect()}
+    assert out == {i: sum(m) for i, m in enumerate(covered(rows, 50))} and min(out.values()) == 50
+
+
 def test_pieces(docs):
     import sentencepiece
 
