@@ -7,18 +7,21 @@ import heapq
 import os
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import prepare
+from siltline.llm.common import mix, prepare
 
 MODEL = os.environ.get("SILTLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
-#: Part of the candidate merges that are skipped, the seed of the choice, and the number of ways to segment a word.
-DROPOUT, SEED, WAYS = 0.1, 20240229, 2
-#: Segmented words that a worker remembers.
+#: Part of the candidate merges that are skipped, and the seed of the choice.
+DROPOUT, SEED = 0.1, 20240229
+#: Results that a worker remembers: words with the choices that were made for them.
 CACHE = 600_000
+#: Choices of an occurrence that are drawn at once, two bytes each; further ones are hashed where a long word needs them.
+DRAWN = 32
 #: Words up to this length are merged along a list, longer ones with a heap; both give the same pieces.
 SHORT = 48
 _SPACE = "▁"
@@ -50,21 +53,33 @@ class Pieces:
                 self.raw.append(piece.replace(_SPACE, " ").encode())
                 merged.append((-sp.get_score(i), i, piece))
         self.rank = {p: n for n, (_, _, p) in enumerate(sorted(merged)) if len(p) > 1}
-        self.limit, self.seed = round(dropout * 1024), seed
-        self._words: list[dict[str, bytes]] = [{} for _ in range(WAYS)]
+        self.limit, self.seed = round(dropout * 65536), seed
+        self._plain: dict[str, bytes] = {}
+        self._varied: dict[tuple[str, int], bytes] = {}
         self._packed = [i.to_bytes(4, "little") for i in range(len(self.raw))]
         self._spelled = [self._packed[i] for i in self.byte]
         self._unit = re.compile(f"\n|{_SPACE}+[^{_SPACE}\n]*|[^{_SPACE}\n]+")
 
-    def _skips(self, base: int, left: int, right: int) -> bool:
-        """Whether the merge of the symbols that start at these characters is skipped: ten bits, chosen by the places,
-        of a 128-bit hash of the word that is keyed by the seed and the way."""
-        return (base >> (left * 29 + right * 47) % 118) & 1023 < self.limit
-
-    def _segment(self, unit: str, way: int) -> bytes:
+    def _draws(self, key: int, n: int) -> list[int]:
+        """For each of ``n`` words of a document a number whose bit k says whether its k-th candidate merge is skipped."""
+        if not self.limit:
+            return [0] * n
+        out = []
+        for at in range(0, n, 1 << 14):
+            places = np.arange(at * DRAWN // 4, min(n, at + (1 << 14)) * DRAWN // 4, dtype=np.uint64)
+            draws = mix(mix(places ^ np.uint64(key)) ^ np.uint64(self.seed)).view(np.uint16).reshape(-1, DRAWN)
+            out += np.packbits(draws < self.limit, axis=1, bitorder="little").view("<u4").ravel().tolist()
+        return out
+
+    def _more(self, unit: str, key: int, place: int, mask: int) -> int:
+        """The choices of a word that may need more than are drawn at once: four for each character."""
+        k = np.arange(len(unit), dtype=np.uint64)
+        draws = mix(mix(mix(k ^ np.uint64(key)) + np.uint64(place)) ^ np.uint64(self.seed)).view(np.uint16)
+        return mask | int.from_bytes(np.packbits(draws < self.limit, bitorder="little").tobytes(), "little") << DRAWN
+
+    def _segment(self, unit: str, mask: int) -> bytes:
         """Packed ids of the symbols that are left when no candidate merge is."""
-        base = xxhash.xxh3_128_intdigest(unit.encode(), self.seed * WAYS + way) if self.limit else 0
-        symbols = self._merge_short(unit, base) if len(unit) <= SHORT else self._merge_long(unit, base)
+        symbols = self._merge_short(unit, mask) if len(unit) <= SHORT else self._merge_long(unit, mask)
         out, ids, packed = [], self.ids, self._packed
         for s in symbols:
             if (i := ids.get(s)) is not None:
@@ -73,27 +88,29 @@ class Pieces:
                 out += [self._spelled[b] for b in s.encode()]
         return b"".join(out)
 
-    def _merge_short(self, unit: str, base: int) -> list[str]:
+    def _merge_short(self, unit: str, mask: int) -> list[str]:
         """The agenda as a list of ranks, one for each pair of neighbours; its least entry is next, the leftmost first."""
-        get, limit = self.rank.get, self.limit
-        symbols, start = list(unit), list(range(len(unit)))
+        get = self.rank.get
+        symbols = list(unit)
         agenda = [get(unit[i:i + 2], _NEVER) for i in range(len(unit) - 1)]
         while agenda and (r := min(agenda)) < _NEVER:
             k = agenda.index(r)
-            if limit and self._skips(base, start[k], start[k + 1]):
+            skipped, mask = mask & 1, mask >> 1
+            if skipped:
                 agenda[k] = _NEVER
                 continue
             symbols[k] += symbols.pop(k + 1)
-            del start[k + 1], agenda[k]
+            del agenda[k]
             if k < len(agenda):
                 agenda[k] = get(symbols[k] + symbols[k + 1], _NEVER)
             if k:
                 agenda[k - 1] = get(symbols[k - 1] + symbols[k], _NEVER)
         return symbols
 
-    def _merge_long(self, unit: str, base: int) -> list[str]:
+    def _merge_long(self, unit: str, mask: int) -> list[str]:
         """The agenda as a heap ordered by rank and place."""
-        rank, n = self.rank, len(unit)
+        rank, n, turn = self.rank, len(unit), 0
+        bits = np.unpackbits(np.frombuffer(mask.to_bytes(mask.bit_length() // 8 + 1, "little"), np.uint8), bitorder="little").tolist()
         text: list[str | None] = list(unit)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -105,7 +122,8 @@ class Pieces:
             r, i, j, size = heapq.heappop(agenda)
             if text[i] is None or j >= n or text[j] is None or after[i] != j or len(text[i]) + len(text[j]) != size:
                 continue  # one of its symbols has gone into another merge
-            if self.limit and self._skips(base, i, j):
+            turn += 1
+            if turn <= len(bits) and bits[turn - 1]:
                 continue
             text[i] += text[j]
             text[j] = None
@@ -118,33 +136,63 @@ class Pieces:
                 heapq.heappush(agenda, (r, h, i, size + len(text[h])))
         return [s for s in text if s is not None]
 
-    def encode(self, text: str, way: int = 0) -> bytes:
-        """Ids of a text, four bytes each. A literal word mark is spelled in bytes, so that decoding restores it."""
-        known, out = self._words[way], []
+    def _choices(self, unit: str, key: int, place: int, mask: int) -> int:
+        """The choices that can count for a word: at most one for each merge and for each one skipped before."""
+        least = n = len(unit) - 1
+        while (more := least + (mask & ((1 << n) - 1)).bit_count()) > n:
+            n = more
+            if n > DRAWN:
+                break
+        if n > DRAWN and mask.bit_length() <= DRAWN:
+            mask = self._more(unit, key, place, mask)
+            n = least
+            while (more := least + (mask & ((1 << n) - 1)).bit_count()) > n:
+                n = more
+        return mask & ((1 << n) - 1)
+
+    def encode(self, text: str, key: int = 0) -> bytes:
+        """Ids of a text, four bytes each. A literal word mark is spelled in bytes, so that decoding restores it.
+
+        Every occurrence of a word has choices of its own, by the key and its place; what is remembered is the result of
+        a word for given choices, which depends on nothing else.
+        """
+        out, units = [], []
         for k, part in enumerate(text.split(_SPACE)):
             if k:
-                out.append(b"".join(self._spelled[b] for b in _SPACE.encode()))
+                units.append(None)
             elif not part:
-                out.append(self._segment(_SPACE, way) if text else b"")
+                units += [_SPACE] if text else []
             marked = part.replace(" ", _SPACE)
-            for unit in self._unit.findall(_SPACE + marked if part and not k else marked):
-                ids = known.get(unit)
-                if ids is None:
-                    ids = self._segment(unit, way)
-                    if len(known) * WAYS >= CACHE:
-                        known.clear()
-                    if len(unit) < 64:
-                        known[unit] = ids
-                out.append(ids)
+            units += self._unit.findall(_SPACE + marked if part and not k else marked)
+        mark = b"".join(self._spelled[b] for b in _SPACE.encode())
+        plain, varied = self._plain, self._varied
+        for place, (unit, mask) in enumerate(zip(units, self._draws(key, len(units)), strict=True)):
+            if unit is None:
+                out.append(mark)
+                continue
+            if mask or len(unit) > DRAWN and self.limit:
+                mask = self._choices(unit, key, place, mask)
+            ids = varied.get((unit, mask)) if mask else plain.get(unit)
+            if ids is None:
+                ids = self._segment(unit, mask)
+                if len(unit) < 64:
+                    if len(varied) + len(plain) >= CACHE:
+                        varied.clear()
+                        plain.clear()
+                    if mask:
+                        varied[unit, mask] = ids
+                    else:
+                        plain[unit] = ids
+            out.append(ids)
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
         raw = self.raw
         return b"".join([raw[i] for i in memoryview(ids).cast("I")]).decode()[1:]
 
-    def way(self, doc_id: int | None) -> int:
-        """Which of the ways to segment its words a document uses."""
-        return xxhash.xxh64_intdigest(str(doc_id).encode(), self.seed) % WAYS if self.limit else 0
+    def key(self, doc_id: int | None) -> int:
+        """What the choices of a document are keyed by."""
+        return xxhash.xxh64_intdigest(str(doc_id).encode(), self.seed)
 
 
 def _with_pieces(docs: DataFrame, make, kind: str, model: str, dropout: float, seed: int):
@@ -168,13 +216,13 @@ def _with_pieces(docs: DataFrame, make, kind: str, model: str, dropout: float, s
 def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``(doc_id, ids, decoded)`` for every row of ``docs(doc_id, text)``: ids of the pieces, and the text made of them.
 
-    Candidate merges come from an agenda; a hash keyed by the seed, the word, the places and the way of the document
-    says which are skipped, so segmentations vary between documents and stay the same in every run. Words of equal
-    spelling and way are segmented once for each worker. A null text gives nulls, an empty one no ids; repeated rows
+    Candidate merges come from an agenda; a hash keyed by the seed, the document, the place of the word in it and the
+    number of the candidate says which are skipped, so segmentations vary between occurrences and stay the same in every
+    run. Words of equal spelling with equal choices are segmented once for each worker, while it remembers them. A null text gives nulls, an empty one no ids; repeated rows
     give equal results; other columns are not read.
     """
     def make(pieces: Pieces, doc_id: int | None, text: str) -> dict:
-        ids = pieces.encode(text, pieces.way(doc_id))
+        ids = pieces.encode(text, pieces.key(doc_id))
         return {"ids": list(memoryview(ids).cast("i")), "decoded": pieces.decode(ids)}
 
     column = _with_pieces(docs, make, "struct<ids:array<int>,decoded:string>", model, dropout, seed)
@@ -185,7 +233,7 @@ def digests(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
     """``(doc_id, n_chars, n_ids, ids_sha256, decoded_sha256)``: of the ids as little-endian 32-bit numbers, and of the
     decoded text in UTF-8. Nulls for a null text."""
     def make(pieces: Pieces, doc_id: int | None, text: str) -> dict:
-        ids = pieces.encode(text, pieces.way(doc_id))
+        ids = pieces.encode(text, pieces.key(doc_id))
         return {"n_chars": len(text), "n_ids": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
                 "decoded_sha256": hashlib.sha256(pieces.decode(ids).encode()).hexdigest()}
 

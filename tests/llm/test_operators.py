@@ -238,6 +238,21 @@ def test_pieces(docs):
     assert Counter((r.doc_id, r.decoded) for r in out) == Counter(rows_of(docs))
 
 
+def test_pieces_vary_by_occurrence():
+    with open(pieces.MODEL, "rb") as f:
+        model = f.read()
+    varied, again = pieces.Pieces(model), pieces.Pieces(model)
+    n, word = 4000, "▁international"
+    units = [varied.encode("international " * n, varied.key(doc)) for doc in (1, 2)]
+    assert units[0] != units[1] and again.encode("international " * n, again.key(1)) == units[0]
+    draws = varied._draws(varied.key(1), n)
+    ways = Counter(varied._segment(word, x) for x in draws)
+    assert len(ways) > 4 and b"".join(varied._segment(word, x) for x in [varied._more(word, varied.key(1), i, d) for i, d in enumerate(draws)]) == units[0][:-4]
+    assert abs(sum(x.bit_count() for x in draws) / (32 * n) - 0.1) < 0.005
+    long = "unbelievablywords" * 9
+    assert all(varied._merge_short(long, m) == varied._merge_long(long, m) for m in (0, 5, *(varied._more(long, 7, i, i) for i in range(20))))
+
+
 def test_sharding(docs):
     out = sharding.interleave(docs, shards=4).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows_of(docs))
