@@ -88,7 +88,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = 1,
     """Rows ``(doc_id, mark, source, size, source_size, target, taken, passes, head, head_to, tail)``, and the plan.
 
     The words of each source, its documents in a seeded order, are a stream cut into equal blocks (the last may be
-    shorter). Sainte-Laguë gives each source a whole number of blocks for each shard. A source takes all its blocks
+    shorter). Sainte-Laguë gives each source a whole number of blocks, and there is one shard. A source takes all its blocks
     ``passes`` times and the rest as a run that starts at a seeded block and goes round: the words ``[head, head_to)``
     of a document and its first ``tail`` words, where the run has gone round. Only the sizes of the sources reach the
     driver. A null text has no words; a null source is the last source; repeated rows are documents like all others.
