@@ -15,22 +15,47 @@ from pyspark.sql import functions as F
 
 from siltline.llm.common import Scratch, mix, partitions
 
-#: Samples of a fingerprint, 16 bits each; terms are hashed to 2 ** TERM_BITS.
-SAMPLES, TERM_BITS, SEED = 64, 17, 2010
+#: Samples of a fingerprint, 16 bits each; a worker remembers what is drawn for 2 ** KEPT_BITS terms at most.
+SAMPLES, KEPT_BITS, SEED = 64, 17, 2010
 _ROWS = 4096
 
 
-@lru_cache(maxsize=2)
-def _gammas(samples: int, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and beta of every term and sample: r and c are Gamma(2, 1), beta is uniform; all from a keyed hash."""
-    def uniform(stream: int) -> np.ndarray:
+class _Gammas:
+    """r, ln c and beta of terms in every sample: r and c are Gamma(2, 1), beta is uniform; all from the 64-bit hash of
+    the term and the number of the sample. What a slot holds is used for the very same term only."""
+
+    def __init__(self, samples: int, bits: int, seed: int):
+        self.shift = np.uint64(64 - bits)
         with np.errstate(over="ignore"):
-            x = mix(np.arange(samples << bits, dtype=np.uint64) * np.uint64(8) + np.uint64(stream) + np.uint64(seed) * np.uint64(1 << 40))
-        return ((x >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
+            self.sample = mix(np.arange(samples, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 40) + np.uint64(1))
+        self.tag, self.full = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool)
+        self.held = [np.empty((1 << bits, samples), np.float32) for _ in range(3)]
+
+    def draw(self, terms: np.ndarray) -> list[np.ndarray]:
+        x = mix(mix(terms)[:, None] ^ self.sample)
+        y = mix(x ^ np.uint64(0xC0FFEE))
+        part = lambda v: (v.astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
+        low = np.uint64((1 << 24) - 1)
+        r, c = (np.maximum(-np.log(part(v >> np.uint64(40)) * part(v >> np.uint64(16) & low)), np.float32(1e-7)) for v in (x, y))
+        return [r, np.log(c), part((x & np.uint64(0xFFFF)) << np.uint64(8) | y & np.uint64(0xFF))]
+
+    def of(self, terms: np.ndarray) -> list[np.ndarray]:
+        slot = (terms >> self.shift).astype(np.int64)
+        new = np.flatnonzero(~self.full[slot] | (self.tag[slot] != terms))
+        out = [h[slot] for h in self.held]
+        if len(new):
+            drawn = self.draw(terms[new])
+            into, one = np.unique(slot[new], return_index=True)
+            self.tag[into], self.full[into] = terms[new[one]], True
+            for o, h, d in zip(out, self.held, drawn, strict=True):
+                o[new] = d
+                h[into] = d[one]
+        return out
 
-    r = -np.log(uniform(0) * uniform(1))
-    c = -np.log(uniform(2) * uniform(3))
-    return tuple(x.astype(np.float32).reshape(1 << bits, samples) for x in (r, np.log(c), uniform(4)))
+
+@lru_cache(maxsize=2)
+def _gammas(samples: int, bits: int, seed: int) -> _Gammas:
+    return _Gammas(samples, bits, seed)
 
 
 def terms(text: str) -> Counter:
@@ -39,29 +64,27 @@ def terms(text: str) -> Counter:
     return Counter(zip(words, words[1:], strict=False)) if len(words) > 1 else Counter((w,) for w in words)
 
 
-def sample(counts: Counter, samples: int = SAMPLES, bits: int = TERM_BITS, seed: int = SEED) -> np.ndarray:
+def sample(counts: Counter, samples: int = SAMPLES, bits: int = KEPT_BITS, seed: int = SEED) -> np.ndarray:
     """16 bits for each sample of a weighted set. Two sets agree in a sample with the probability of their generalised
-    Jaccard similarity (sum of smaller weights by sum of larger), up to terms that meet in a hash and 2 ** -16."""
+    Jaccard similarity (sum of smaller weights by sum of larger), up to 2 ** -16."""
     if not counts:
         return np.zeros(samples, np.uint16)
-    shift = 64 - bits
-    where = np.fromiter((xxhash.xxh64_intdigest(b" ".join(t), seed) >> shift for t in counts), np.int64, len(counts))
+    where = np.fromiter((xxhash.xxh64_intdigest(b" ".join(t), seed) for t in counts), np.uint64, len(counts))
     kinds, back = np.unique(where, return_inverse=True)
     weight = np.log(np.bincount(back, weights=np.fromiter(counts.values(), np.float64, len(counts)))).astype(np.float32)
-    r, ln_c, beta = _gammas(samples, bits, seed)
-    best, term, level = np.full(samples, np.inf, np.float32), np.zeros(samples, np.int64), np.zeros(samples, np.int64)
+    gammas = _gammas(samples, bits, seed)
+    best, term, level = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
     every = np.arange(samples)
     for at in range(0, len(kinds), _ROWS):
         k = kinds[at:at + _ROWS]
-        rk = r[k]
-        t = np.floor(weight[at:at + _ROWS, None] / rk + beta[k])
-        ln_a = ln_c[k] - rk * (t - beta[k] + 1)
+        r, ln_c, beta = gammas.of(k)
+        t = np.floor(weight[at:at + _ROWS, None] / r + beta)
+        ln_a = ln_c - r * (t - beta + 1)
         row = ln_a.argmin(0)
         low = ln_a[row, every]
         less = low < best
         best[less], term[less], level[less] = low[less], k[row[less]], t[row[less], every[less]].astype(np.int64)
-    with np.errstate(over="ignore"):
-        return (mix(term.astype(np.uint64) << np.uint64(24) ^ level.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+    return (mix(term ^ mix(level.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -150,6 +150,11 @@ def test_weighted_sampling_estimates_jaccard():
     assert abs(weighted_sampling.likeness(x, y) - true) < 0.06
 
 
+def test_weighted_sampling_of_long_unrelated_texts():
+    x, y = (weighted_sampling.sample(weighted_sampling.terms(" ".join(f"{k}{i}" for i in range(220_000)))) for k in "ab")
+    assert weighted_sampling.likeness(x, y) < 0.05
+
+
 def test_licences(docs):
     found = {r.doc_id: (r.licences, [n.place for n in r.notices]) for r in licences.scan(docs).where("doc_id > 4 or doc_id is null").collect()}
     assert found[25] == (["mit"], [0])
