@@ -274,20 +274,21 @@ def _majority(hashes: np.ndarray, times: np.ndarray | None = None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def word_fingerprints(text: str | None) -> list[int]:
-    """SimHash of the lower-cased words under each of ``SEEDS``, then that of their five-word shingles; zeros if there
-    is no word. Each word is hashed once; the families of hashes are mixed from that."""
+def word_fingerprints(text: str | None, distinct: bool = False) -> list[int]:
+    """SimHash of the lower-cased words under each of ``SEEDS``, then that of their five-word shingles, each counted
+    once if ``distinct``; zeros if there is no word. Each word is hashed once; the families of hashes are mixed from that."""
     words = text.encode().lower().split() if text else []
     if not words:
         return [0] * (len(SEEDS) + 1)
     codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     kinds, times = np.unique(codes, return_counts=True)
     times = times.astype(np.float64)  # exact for counts, and multiplied by BLAS
-    return [*(_majority(mix(kinds ^ np.uint64(seed << 32)), times) for seed in SEEDS), _majority(window_hash(codes, min(5, len(codes))))]
+    shingles = window_hash(codes, min(5, len(codes)))
+    return [*(_majority(mix(kinds ^ np.uint64(seed << 32)), times) for seed in SEEDS), _majority(np.unique(shingles) if distinct else shingles)]
 
 
 def _four(texts: pa.Array) -> pa.Array:
-    columns = np.array([word_fingerprints(t.as_py()) for t in texts], np.uint64).reshape(-1, 4).view(np.int64).T
+    columns = np.array([word_fingerprints(t.as_py(), distinct=True) for t in texts], np.uint64).reshape(-1, 4).view(np.int64).T
     return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["p0", "p1", "p2", "five"])
 
 
@@ -296,8 +297,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     All columns of ``docs`` are returned, and no others; a document that is repeated as a whole stays once. Texts
     without a word are one group. Documents are linked when the SimHash fingerprints of their words differ in three
-    bits at most under one of three seeds, and those of their five-word shingles in ``TOLERANCE`` bits at most, the
-    distance that a Jaccard similarity of 0.8 gives. (Of five-word shingles alone, three bits would find next to none
+    bits at most under one of three seeds, and those of their different five-word shingles, however often each occurs,
+    in ``TOLERANCE`` bits at most, the distance that a Jaccard similarity of 0.8 gives. (Of five-word shingles alone, three bits would find next to none
     of the pairs at 0.8: there they differ in about ten.) In buckets of more than ``SMALL`` texts the components are
     walked, which loses no link.
     """

@@ -124,6 +124,13 @@ def test_keep_one(docs, texts):
     assert set(range(12)) <= set(ids) and {15, 16, 17, 21, 23, 24} <= set(ids)
 
 
+def test_keep_one_is_not_misled_by_a_repeated_line(spark):
+    r, line = random.Random(6), " ".join(f"c{i}" for i in range(8))
+    rows = [" ".join([*(f"v{r.randrange(10 ** 7)}" for _ in range(100)), *[line] * r.randint(20, 60)]) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), 7, "s") for i, t in enumerate([*rows, *rows[:5]])], SCHEMA)
+    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == list(range(60))
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (5, 5)]
     out = components.components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "test"))
