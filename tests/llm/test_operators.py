@@ -168,6 +168,17 @@ def test_licences(docs):
     assert all(v == ([], []) for k, v in found.items() if k != 25)
 
 
+def test_licences_in_wrapped_headers(spark):
+    heads = {
+        "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+        "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"}
+    rows = [(i, f"w1 w2 w3\n\n{t}\n\nw4 w5", "en", "a", 0, 7, "s") for i, t in enumerate(heads.values())]
+    docs = spark.createDataFrame([*rows, (9, "the general\nsource of the river\nis under version", "en", "a", 0, 7, "s")], SCHEMA)
+    out = {r.doc_id: (r.licences, [n.place for n in r.notices], r.unknown) for r in licences.scan(docs).collect()}
+    assert {i: out[i][:2] for i in range(3)} == {i: ([f], [2]) for i, f in enumerate(heads)} and out[9] == ([], [], 0)
+
+
 def covered(words, n):
     count = Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
     out = []
