@@ -67,6 +67,18 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import middle
+
+    return middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import token_counts
+
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
 #: Needs the md5 that both engines have; the checksum of a text is folded byte by byte.
 OP7 = """
 with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)) as t),
@@ -107,6 +119,20 @@ select doc_id, size, s as source_size, target, cast(passes * size + greatest(0,
   + greatest(0, least(start + size, round_to) - start) as bigint) as taken
 from placed join runs using (grp)
 """
+#: Prefix and middle end after first and second code points.
+OP11 = """
+with rows as (select doc_id, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as k from documents),
+drawn as (select *, ('0x' || substr(k, 1, 8))::bigint % (n + 1) as x, ('0x' || substr(k, 9, 8))::bigint % (n + 1) as y,
+    ('0x' || substr(k, 17, 8))::bigint % 100 as chance, ('0x' || substr(k, 25, 8))::bigint % 100 as turn from rows),
+formed as (select *, least(x, y) as first, greatest(x, y) as second, case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or chance >= 90
+    then 'plain' when turn < 20 then 'spm' else 'psm' end as form from drawn),
+parts as (select *, substr(text, 1, first) as p, substr(text, first + 1, second - first) as m, substr(text, second + 1) as s from formed)
+select doc_id, n, form, case when form <> 'plain' then first end as prefix_chars, case when form <> 'plain' then second - first end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
 
-QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op3_licences, op4_passages, op5_pieces, op6_substrings, op7_sharding, op8_vectors, op9_language, op10_mixture)}
-ORACLES: dict[str, str] = {"op7_sharding": OP7, "op10_mixture": OP10}
+QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op3_licences, op4_passages, op5_pieces, op6_substrings, op7_sharding, op8_vectors, op9_language, op10_mixture,
+                                  op11_middle, op12_tokens)}
+ORACLES: dict[str, str] = {"op7_sharding": OP7, "op10_mixture": OP10, "op11_middle": OP11}
