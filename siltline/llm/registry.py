@@ -79,6 +79,12 @@ def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltline.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: Needs the md5 that both engines have; the checksum of a text is folded byte by byte.
 OP7 = """
 with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)) as t),
@@ -132,7 +138,28 @@ select doc_id, n, form, case when form <> 'plain' then first end as prefix_chars
   sha256(text) as restored_sha256
 from parts
 """
+#: All runs of one to four words as rows.
+OP13 = """
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece from documents),
+listed as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from listed group by 1),
+runs as (select lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+  from listed, range(1, 5) as s(size) where len(w) >= size),
+freq as (select lang, phrase, size, count(*) as f, string_split(phrase, ' ') as w from runs group by all having count(*) >= 30),
+cuts as (select lang, phrase, f as a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:size], ' ') as tail
+  from (select *, unnest(range(1, size)) as k from freq where size >= 2)),
+scored as (select cuts.*, h.f as l, t.f as r, cast((2000000::hugeint * a) // (h.f + t.f) as bigint) as score
+  from cuts join freq h on h.lang = cuts.lang and h.phrase = head join freq t on t.lang = cuts.lang and t.phrase = tail),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (select lang, f, array_to_string(w[i:i + s - 1], ' ') as phrase
+  from (select *, unnest(range(1, size - s + 2)) as i from (select *, unnest(range(2, size)) as s from freq where size >= 3))),
+longer as (select lang, phrase, max(f) as longer from inside group by all),
+free as (select best.* from best left join longer using (lang, phrase) where longer is null or 100::hugeint * longer < 80::hugeint * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from free)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
 
 QUERIES = {q.__name__: q for q in (op1_simhash, op2_fingerprints, op3_licences, op4_passages, op5_pieces, op6_substrings, op7_sharding, op8_vectors, op9_language, op10_mixture,
-                                  op11_middle, op12_tokens)}
-ORACLES: dict[str, str] = {"op7_sharding": OP7, "op10_mixture": OP10, "op11_middle": OP11}
+                                  op11_middle, op12_tokens, op13_collocations)}
+ORACLES: dict[str, str] = {"op7_sharding": OP7, "op10_mixture": OP10, "op11_middle": OP11, "op13_collocations": OP13}
