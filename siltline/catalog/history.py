@@ -7,7 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from siltline.catalog.base import Inputs, query
-from siltline.operators import scd, star
+from siltline.operators import fill, intervals, scd, star
+from siltline.operators.point_in_time import at_own_time
 from siltline.session import settle
 from siltline.sources import history as store
 from siltline.sources import landing, payload
@@ -53,13 +54,13 @@ history as (
 """
 
 
-def customer_history(t: Inputs):
+def customer_history(t: Inputs, runs: list[datetime] = RUNS):
     """Three runs. Each is written before the next reads it, as separate jobs would."""
     checked = ["segment", "nation"]
     first, second = t.derive(FIRST), t.derive(SECOND)
-    history = settle(scd.initial(first, "id", checked, RUNS[0]), "i1")
-    history = settle(scd.snapshot(history, second, "id", checked, RUNS[1]), "i1")
-    return scd.snapshot(history, first, "id", checked, RUNS[2])
+    history = settle(scd.initial(first, "id", checked, runs[0]), "i1")
+    history = settle(scd.snapshot(history, second, "id", checked, runs[1]), "i1")
+    return scd.snapshot(history, first, "id", checked, runs[2])
 
 
 @query("i1_snapshot", HISTORY + "select id, segment, nation, valid_from, valid_to, updated_at from history")
@@ -125,6 +126,28 @@ def as_of(t: Inputs):
     return scd.as_of(customer_history(t), datetime(2024, 2, 15)).select("id", "segment", "nation")
 
 
+#: Runs that fall among the orders; the first orders come before all history.
+ORDER_RUNS = [datetime(1995, 9, 1), datetime(1998, 2, 1, 12), datetime(2000, 3, 1)]
+
+
+def _at_order_runs(text: str) -> str:
+    for old, new in zip(RUNS, ORDER_RUNS, strict=True):
+        text = text.replace(old.isoformat(" "), new.isoformat(" "))
+    return text
+
+
+@query(
+    "i3_fact_as_of",
+    _at_order_runs(HISTORY) + """select o_orderkey, o_custkey, cast(o_orderdate as string) as o_orderdate, segment, h.nation as nation
+    from {orders} left join history h on h.id = o_custkey and cast(valid_from as timestamp) <= o_orderdate
+      and (valid_to is null or o_orderdate < cast(valid_to as timestamp))""",
+)
+def fact_as_of(t: Inputs):
+    """Each order with the customer as known on the day of the order."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return at_own_time(orders, customer_history(t, ORDER_RUNS), "o_custkey", "o_orderdate", "id", {"segment": "segment", "nation": "nation"})
+
+
 @query(
     "j1_date_spine",
     """
@@ -172,3 +195,62 @@ def rolling_requests(t: Inputs):
     requests = payload.rolling_requests(stations, F.col("last_day"))
     ledger = t.events.select(F.col("user_id").alias("o_custkey"))
     return landing.pending(requests, ledger, "o_custkey").select("o_custkey", "start_date", "end_date")
+
+
+# Landed ranges of a customer: each order brings some days, some ranges are void.
+LANDED = """
+select o_custkey, cast(o_orderdate as date) as first_day,
+  case when o_orderstatus = 'F' then cast(cast(o_orderdate as date) + interval '40' day as date) when o_orderstatus = 'O' then cast(o_orderdate as date)
+       when o_orderpriority = '1-URGENT' then cast(cast(o_orderdate as date) - interval '1' day as date)
+       when o_orderpriority = '2-HIGH' then null else cast(cast(o_orderdate as date) + interval '200' day as date) end as last_day
+from {orders}
+"""
+WINDOW = (date(1996, 3, 1), date(2000, 2, 29))
+
+
+@query(
+    "j3_missing_windows",
+    f"""
+    with days as (select c_custkey as id, cast(d as date) as day from {{customer}}, range(date '{WINDOW[0]}', date '{WINDOW[1]}' + interval 1 day, interval 1 day) as r(d)),
+    had as (select distinct o_custkey as id, cast(unnest(generate_series(first_day, last_day, interval 1 day)) as date) as day
+      from ({LANDED}) as l where last_day is not null and last_day >= first_day),
+    missed as (select id, day, day - cast(row_number() over (partition by id order by day) as int) as island from days where not exists (select 1 from had where had.id = days.id and had.day = days.day))
+    select id, cast(min(day) as string) as first_day, cast(max(day) as string) as last_day from missed group by id, island
+    """,
+)
+def missing_windows(t: Inputs):
+    """What is still to be requested of each customer in four years."""
+    landed = t.derive(LANDED).withColumnRenamed("o_custkey", "id")
+    wanted = t.customer.select(F.col("c_custkey").alias("id"))
+    return intervals.missing_ranges(wanted, landed, ["id"], "first_day", "last_day", *WINDOW)
+
+
+# The dearest order of a day by nation and segment, with days on which one of the two values is unknown.
+DEAREST = """
+select n_name as nation, c_mktsegment as segment, cast(o_orderdate as date) as day,
+  max(case when o_orderstatus <> 'P' then cast(o_totalprice as decimal(18,2)) end) as price,
+  max(case when o_orderpriority < '3' then o_orderpriority end) as priority
+from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey group by 1, 2, 3
+"""
+AGE = 9
+
+
+def _filled(value: str) -> str:
+    standing = f"last_value(case when {value} is not null then day end ignore nulls) over w"
+    return f"case when s.day - {standing} <= {AGE} then last_value({value} ignore nulls) over w end"
+
+
+@query(
+    "j1_filled_readings",
+    f"""
+    with r as ({DEAREST}),
+    spine as (select nation, segment, cast(unnest(generate_series(min(day), max(day), interval 1 day)) as date) as d from r group by 1, 2),
+    s as (select spine.nation, spine.segment, d as day, r.day as had, price, priority from spine left join r on r.nation = spine.nation and r.segment = spine.segment and r.day = d),
+    f as (select nation, segment, day, price as p, priority as q, {_filled("price").replace("s.day", "day")} as price, {_filled("priority").replace("s.day", "day")} as priority
+      from s window w as (partition by nation, segment order by day rows between unbounded preceding and current row))
+    select nation, segment, cast(day as string) as day, cast(price as double) as price, priority, p is null and price is not null as price_filled,
+      q is null and priority is not null as priority_filled from f
+    """,
+)
+def filled_readings(t: Inputs):
+    return fill.filled_days(t.derive(DEAREST), ["nation", "segment"], "day", ["price", "priority"], AGE, 60)
