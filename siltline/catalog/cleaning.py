@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siltline.catalog.base import Inputs, nullable_number, query
 from siltline.catalog.derived import RAW_ORDERS
 from siltline.functions import casts, dates, keys, labels, numbers, text
-from siltline.operators import dedup, validate
+from siltline.operators import dedup, near_keys, phrases, validate
 
 RAW = f"with raw as ({RAW_ORDERS})"
 
@@ -89,6 +89,34 @@ def canonical_key(t: Inputs):
     return t.derive(SPELLINGS).select("p_partkey", text.canonical_key("spelling", aliases).alias("k"))
 
 
+# Names of parts as they are misspelled, and kinds cut short.
+MISSPELLED = """
+select case when l_returnflag = 'A' and l_linestatus = 'F' then replace(p_name, 'i', '')
+  when l_returnflag = 'A' then concat(substr(p_name, 2), substr(p_brand, 7))
+  when l_returnflag = 'R' and l_linestatus = 'F' then concat(substr(p_name, 1, 3), 'x', substr(p_name, 4))
+  when l_returnflag = 'R' then replace(p_name, 'e', 'aa')
+  when l_linestatus = 'F' then substr(split_part(p_name, ' ', 2), 2)
+  else concat(substr(p_type, 1, 2), cast(l_linenumber as string)) end as spelling
+from {lineitem} join {part} on l_partkey = p_partkey
+"""
+KNOWN = """
+select p_name as name from {part} union all select split_part(p_name, ' ', 2) as name from {part} union all select substr(p_type, 1, 3) as name from {part}
+union all select cast(null as string) as name from {part}
+"""
+
+
+@query(
+    "c6_near_keys",
+    f"""
+    with a as (select distinct spelling as key from ({MISSPELLED}) as m where spelling is not null), b as (select distinct name from ({KNOWN}) as k where name is not null)
+    select key, name as match, cast(levenshtein(key, name) as int) as distance from a, b where levenshtein(key, name) <= 2
+    qualify row_number() over (partition by key order by levenshtein(key, name), encode(name)) = 1
+    """,
+)
+def nearest_spelling(t: Inputs):
+    return near_keys.near_keys(t.derive(MISSPELLED), "spelling", t.derive(KNOWN), "name")
+
+
 @query(
     "c7_ratio",
     "select l_orderkey, l_linenumber, l_partkey, l_quantity / nullif(l_discount, 0) as q from {lineitem}",
@@ -132,6 +160,40 @@ def category_labels(t: Inputs):
     )
 
 
+# Texts that name parts: spelled in capitals with other words, glued to other letters, after a shorter name, or only by kind.
+PHRASE_TEXTS = """
+select l_orderkey, l_linenumber,
+  case when l_returnflag = 'A' and l_linestatus = 'F' then concat(upper(p_name), '-based kit!')
+       when l_returnflag = 'R' then concat('my', p_name, 's')
+       when l_returnflag = 'N' and l_linestatus = 'F' then concat('Used ', split_part(p_name, ' ', 2), ', ', p_name, ' (', p_brand, ')')
+       when l_returnflag = 'A' then null
+       else concat('  ', split_part(p_name, ' ', 2), '?') end as note
+from {lineitem} join {part} on l_partkey = p_partkey
+"""
+# Names of two words and the kinds in them; several labels for each.
+PHRASES = """
+select p_name as phrase, p_brand as label from {part}
+union all select split_part(p_name, ' ', 2) as phrase, concat('any of ', p_type) as label from {part}
+union all select ' KIT ' as phrase, concat('kit ', p_type) as label from {part}
+union all select cast(null as string) as phrase, p_type as label from {part}
+"""
+
+
+@query(
+    "c10_phrases",
+    f"""
+    with dictionary as (select trim(lower(phrase)) as phrase, min(label) as label from ({PHRASES}) as p where phrase is not null group by 1),
+    vals as (select distinct note, concat(' ', trim(regexp_replace(lower(note), '[^a-z0-9]+', ' ', 'g')), ' ') as padded from ({PHRASE_TEXTS}) as n where note is not null),
+    hits as (select note, label, len(string_split(phrase, ' ')) as words, strpos(padded, concat(' ', phrase, ' ')) as place
+      from vals join dictionary on contains(padded, concat(' ', phrase, ' '))),
+    best as (select note, label from hits qualify row_number() over (partition by note order by words desc, place, label) = 1)
+    select l_orderkey, l_linenumber, n.note, coalesce(label, 'none') as label from ({PHRASE_TEXTS}) as n left join best on best.note = n.note
+    """,
+)
+def phrase_labels(t: Inputs):
+    return phrases.match_phrases(t.derive(PHRASE_TEXTS), "note", t.derive(PHRASES), "phrase", "label", "label", "none")
+
+
 @query(
     "c11_year_quarter",
     "select o_orderkey, concat(cast(year(o_orderdate) as string), '-Q', cast(quarter(o_orderdate) as string)) as year_quarter from {orders}",

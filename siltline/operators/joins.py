@@ -26,7 +26,7 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
 
 
 def _on(keys: Sequence[str], null_safe: bool) -> Column:
-    sides = [(F.col(k), F.col(f"_side_{k}")) for k in keys]
+    sides = [(F.col(f"`{k}`"), F.col(f"`_side_{k}`")) for k in keys]
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) if null_safe else l == r for l, r in sides])
 
 
@@ -49,8 +49,9 @@ def group_join(
     """
     known = settle(side, "groups")
     extra = [c for c in side.columns if c not in keys and c != rows]
-    columns, condition = [*left.columns, *extra], _on(keys, null_safe)
-    slim = lambda df: df.select(*[F.col(k).alias(f"_side_{k}") for k in keys], *extra)
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    columns, condition = quoted([*left.columns, *extra]), _on(keys, null_safe)
+    slim = lambda df: df.select(*[F.col(f"`{k}`").alias(f"_side_{k}") for k in keys], *quoted(extra))
     if fits_broadcast(known, broadcast_rows):
         return left.join(F.broadcast(slim(known)), condition).select(*columns)
     hot_now = F.col(rows) * hot_share > known.agg(F.sum(rows)).scalar()
