@@ -11,7 +11,7 @@ from siltline.catalog.models import READINGS, readings_columns
 from siltline.plans.silver import weather_daily_readings
 from siltline.sources import landing
 from siltline.sources.schemas import RAW_COLUMNS, silver_table
-from siltline.streaming import dedup_stream, incremental
+from siltline.streaming import dedup_stream, incremental, sums
 
 
 @query("o1_incremental", READINGS)
@@ -33,6 +33,35 @@ def incremental_readings(t: Inputs):
     return readings_columns(t.spark.read.schema(spec.schema).parquet(target))
 
 
+# Prices by month, customer and state; the second form halves the price of finished orders of 1996 and has no open ones there.
+PRICES = """
+select cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, o_custkey, o_orderstatus,
+  cast(o_totalprice as decimal(18,2)) as price, cast(1 as bigint) as orders from {orders}
+"""
+REVISED_PRICES = """
+select cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, o_custkey, o_orderstatus,
+  cast(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18,2)) - 500.25 else cast(o_totalprice as decimal(18,2)) end as decimal(18,2)) as price,
+  cast(1 as bigint) as orders from {orders} where year(o_orderdate) = 1996 and o_orderstatus <> 'O'
+"""
+
+
+@query(
+    "o1_incremental_sums",
+    f"""
+    select year, o_custkey, o_orderstatus, cast(sum(price) as double) as price, cast(sum(orders) as bigint) as orders
+    from (select * from ({PRICES}) as p where year <> 1996 union all select * from ({REVISED_PRICES}) as r) as x group by 1, 2, 3
+    """,
+)
+def incremental_sums(t: Inputs):
+    """Three batches: the years to 1997, the later ones (twice), and 1996 anew, where a third of the groups is gone."""
+    rows = t.derive(PRICES)
+    kept = sums.Sums(t.spark, t.folder("o1_prices"), t.folder("o1_sums"), rows.schema, ["year", "o_custkey", "o_orderstatus"], ["price", "orders"], ["year"])
+    early, late = rows.where("year <= 1997"), rows.where("year > 1997")
+    for batch_id, batch in ((1, early), (2, late), (2, late), (3, t.derive(REVISED_PRICES)), (2, late)):
+        kept.replace(batch, batch_id)
+    return kept.read().select("year", "o_custkey", "o_orderstatus", "price", F.col("orders").cast("bigint").alias("orders"))
+
+
 @query(
     "o1_ingest_once_stream",
     "select event_type, count(*) as n, cast(sum(event_id) as bigint) as id_sum from {events} group by 1",
