@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,36 +67,53 @@ class Suite:
     def run(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """(table_name, column, test, failures, status) of every check.
 
-        Failures are null rows, repeated values, unknown values and child rows without a parent. The
-        not-null checks of a table share one pass.
+        Failures are null rows, repeated values, unknown values and child rows without a parent. Each table is read once:
+        every row gives a line (check, value) for each check that has to look at it, also where the table is a
+        parent, and all lines are counted together, combined in the map tasks. Rows that a not-null or accepted-values
+        check has nothing against give no line. Values are compared by their text; a child value is put in the type of its
+        parent first.
         """
-        parts = []
-        for table in dict.fromkeys(c.table for c in self.checks):
-            columns = [c.column for c in self.checks if c.table == table and c.kind == "not_null"]
-            if columns:
-                parts.append(_result(null_counts(tables[table], columns), table, "not_null"))
-        for check in self.checks:
-            df = tables[check.table]
-            if check.kind == "unique":
-                failures = duplicates(df, check.column).agg(F.count("*").alias("failures"))
-            elif check.kind == "accepted_values":
-                failures = unaccepted(df, check.column, check.values).agg(F.count("*").alias("failures"))
-            elif check.kind == "relationships":
-                lost = orphans(df, check.column, tables[check.parent], check.parent_column)
-                failures = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-            elif check.kind == "not_null":
-                continue
-            else:
+        lines: dict[str, list[Column]] = {}
+        for i, check in enumerate(self.checks):
+            if check.kind not in KINDS:
                 raise ValueError(f"unknown test {check.kind}")
-            parts.append(_result(failures.withColumn("column", F.lit(check.column)), check.table, check.kind))
-        return reduce(DataFrame.unionByName, parts)
-
-
-def _result(counts: DataFrame, table: str, kind: str) -> DataFrame:
-    return counts.select(
-        F.lit(table).alias("table_name"),
-        "column",
-        F.lit(kind).alias("test"),
-        F.col("failures").cast("bigint").alias("failures"),
-        F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
-    )
+            kind = tables[check.table].schema[check.column].dataType
+            value = F.col(f"`{check.column}`")
+            if check.kind == "relationships":
+                parent = tables[check.parent].schema[check.parent_column].dataType
+                own = lines.setdefault(check.parent, [])
+                own.append(_line(i, F.col(f"`{check.parent_column}`").isNotNull(), _text(F.col(f"`{check.parent_column}`"), parent), 0))
+                same = kind == parent
+                text = _text(value, kind) if same else F.coalesce(_text(value.try_cast(parent), parent), _text(value, kind))
+            else:
+                text = F.lit(None).cast("string") if check.kind == "not_null" else _text(value, kind)
+            looked_at = value.isNull() if check.kind == "not_null" else value.isNotNull()
+            if check.kind == "accepted_values":
+                looked_at &= ~value.isin(*check.values)
+            lines.setdefault(check.table, []).append(_line(i, looked_at, text, 1))
+        if not lines:
+            raise ValueError("a suite without a check")
+        read = [tables[t].select(F.explode(F.array_compact(F.array(*own))).alias("_l")).select("_l.*") for t, own in lines.items()]
+        counted = reduce(DataFrame.unionByName, read).groupBy("check", "value").agg(F.sum("child").alias("n"), F.sum("parent").alias("known"))
+        found = counted.groupBy("check").agg(
+            F.sum("n").alias("not_null"), F.count_if(F.col("n") > 1).alias("unique"), F.count("*").alias("accepted_values"),
+            F.sum(F.when(F.col("known") == 0, F.col("n")).otherwise(0)).alias("relationships"))
+        spark = read[0].sparkSession
+        asked = spark.createDataFrame([(i, c.table, c.column, c.kind) for i, c in enumerate(self.checks)], "check int, table_name string, column string, test string")
+        failures = F.lit(None).cast("bigint")
+        for kind in KINDS:
+            failures = F.when(F.col("test") == kind, F.col(kind)).otherwise(failures)
+        result = asked.join(found, "check", "left").withColumn("failures", F.coalesce(failures, F.lit(0)).cast("bigint"))
+        return result.select("table_name", "column", "test", "failures", F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
+
+
+KINDS = ("not_null", "unique", "accepted_values", "relationships")
+
+
+def _text(value: Column, kind: T.DataType) -> Column:
+    """The text by which a value is counted; both zeros of a floating number are one."""
+    return (value + F.lit(0.0) if kind.typeName() in ("float", "double") else value).cast("string")
+
+
+def _line(check: int, looked_at: Column, value: Column, child: int) -> Column:
+    return F.when(looked_at, F.struct(F.lit(check).alias("check"), value.alias("value"), F.lit(child).alias("child"), F.lit(1 - child).alias("parent")))

@@ -219,3 +219,29 @@ def test_change_rank_and_correlation(frame):
     pairs = frame("k string, x double, y double", ("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", 3.0, 6.0))
     assert tuples(analytics.correlation_by(pairs, ["k"], "x", "y"), "n") == [(3,)]
     assert analytics.correlation_by(pairs, ["k"], "x", "y").first().correlation == pytest.approx(1.0)
+
+
+def test_suite_reads_each_table_once(spark):
+    """Nulls, repeats, unknown values and missing parents, in one pass over each table; types of child and parent may differ."""
+    from siltline.operators.quality import Suite
+    from siltline.session import settle
+
+    child = settle(spark.createDataFrame([(1, "x", "1", 0.0), (1, None, "2", -0.0), (None, "y", "03", 1.5), (2, "z", "nine", None), (3, "z", None, 2.5)],
+                                         "id int, kind string, `the.parent` string, amount double"))
+    parent = settle(spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "key long"))
+    checks = (
+        Suite().add("child", "id", "not_null", "unique").add("child", "kind", "not_null").add("child", "amount", "unique")
+        .add("child", "kind", "accepted_values", values=("x", "y")).add("child", "the.parent", "relationships", parent="parent", parent_column="key")
+        .add("parent", "key", "unique", "not_null").add("child", "id", "relationships", parent="parent", parent_column="key"))
+    df = checks.run({"child": child, "parent": parent})
+    got = {(r.table_name, r.column, r.test): (r.failures, r.status) for r in df.collect()}
+    assert got == {
+        ("child", "id", "not_null"): (1, "fail"), ("child", "id", "unique"): (1, "fail"), ("child", "kind", "not_null"): (1, "fail"),
+        ("child", "amount", "unique"): (1, "fail"), ("child", "kind", "accepted_values"): (1, "fail"), ("child", "the.parent", "relationships"): (1, "fail"),
+        ("parent", "key", "unique"): (1, "fail"), ("parent", "key", "not_null"): (1, "fail"), ("child", "id", "relationships"): (0, "pass")}
+    plan = plan_of(df)
+    assert plan.split("== Initial Plan ==")[0].count("Scan parquet") == 2 and "NestedLoop" not in plan and "Cartesian" not in plan
+    empty = checks.run({"child": child.limit(0), "parent": parent.limit(0)})
+    assert {(r.failures, r.status) for r in empty.collect()} == {(0, "pass")}
+    with pytest.raises(ValueError, match="unknown test"):
+        Suite().add("child", "id", "positive").run({"child": child})
