@@ -1,6 +1,7 @@
 """Jobs for spark-submit.
 
-    silver TABLE --bronze PATH --target PATH [--table NAME] [--using FORMAT] [--exclude-prefix P] [--newest-landing]
+    silver TABLE --bronze PATH --target PATH [--table NAME] [--using FORMAT] [--exclude-prefix P] [--newest-landing] [--whole-years]
+    profile --bronze PATH --target PATH
     gold --silver PATH --gold PATH --run-ts 2024-03-01T00:00:00
     check --silver PATH --gold PATH
 """
@@ -16,6 +17,7 @@ from pyspark.sql import SparkSession
 from siltline.plans import silver, warehouse
 from siltline.session import tune
 from siltline.sources.schemas import SILVER_COLUMNS
+from siltline.sources.tree_profile import profile_files
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -29,6 +31,10 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("--using", default="parquet")
     one.add_argument("--exclude-prefix", action="append", default=[], help="a block of the wide matrix that is no province")
     one.add_argument("--newest-landing", action="store_true", help="of repeated cells of the wide matrix the newest counts")
+    one.add_argument("--whole-years", action="store_true", help="the newest landing of a year replaces all of it")
+    files = jobs.add_parser("profile")
+    files.add_argument("--bronze", required=True)
+    files.add_argument("--target", required=True)
     for job in ("gold", "check"):
         sub = jobs.add_parser(job)
         sub.add_argument("--silver", required=True)
@@ -43,7 +49,10 @@ def main(argv: list[str] | None = None) -> int:
     args = arguments().parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"siltline-{args.job}").getOrCreate())
     if args.job == "silver":
-        silver.refresh(spark, args.name, args.bronze, args.target, args.table, args.using, args.exclude_prefix, args.newest_landing)
+        silver.refresh(spark, args.name, args.bronze, args.target, args.table, args.using, args.exclude_prefix, args.newest_landing, args.whole_years)
+        return 0
+    if args.job == "profile":
+        profile_files(spark, args.bronze).write.mode("overwrite").parquet(args.target)
         return 0
     if args.job == "gold":
         warehouse.build(spark, args.silver, args.gold, args.run_ts)

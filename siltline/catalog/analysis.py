@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltline.catalog.base import Inputs, query
 from siltline.catalog.derived import RAW_ORDERS
 from siltline.operators import analytics, dedup, profile
+from siltline.sources import landing, tree_profile
 
 # Orders with gaps: the first rows in key order have no priority, and no row has a comment.
 PROFILED = """
@@ -55,6 +56,46 @@ def raw_profile(t: Inputs):
     return found.where(F.col("column") != "seq").select("column", "dtype", "null_pct", "sample")
 
 
+# Raw files of three headers: orders by month, customers by nation, parts by brand.
+TREE = {
+    "month": ("o_orderkey", """
+select substr(cast(cast(o_orderdate as date) as string), 1, 7) as month, o_orderkey, cast(o_orderkey as string) as order_id,
+  case when o_orderstatus <> 'P' then o_orderpriority end as priority, case when o_totalprice > 250000 then cast(cast(o_totalprice as decimal(18,2)) as string) end as price,
+  cast(null as string) as comment from {orders}"""),
+    "nation": ("c_custkey", """
+select n_name as nation, c_custkey, case when c_acctbal < 0 then concat(c_mktsegment, ', "', c_name, '"') end as note, cast(c_custkey as string) as customer from {customer} join {nation} on c_nationkey = n_nationkey"""),
+    "brand": ("p_partkey", """
+select p_brand as brand, p_partkey, p_name as name, case when p_size > 10 then cast(p_size as string) end as size, cast(cast(p_retailprice as decimal(18,2)) as string) as price,
+  case when p_type <> 'PROMO' then p_type end as kind from {part}"""),
+}
+TREE_COLUMNS = {"month": ["order_id", "priority", "price", "comment"], "nation": ["note", "customer"], "brand": ["name", "size", "price", "kind"]}
+
+
+def _tree_sql() -> str:
+    lines = []
+    for folder, (key, text) in TREE.items():
+        for i, c in enumerate(TREE_COLUMNS[folder]):
+            lines.append(f"""
+    select concat('{folder}=', {folder}) as file, '{c}' as "column", cast({i + 1} as int) as position,
+      case when count({c}) = 0 then 'string' when count(*) filter (where not regexp_full_match({c}, '[+-]?[0-9]+')) = 0 then 'bigint'
+        when count(*) filter (where {c} is not null and try_cast({c} as double) is null) = 0 then 'double' else 'string' end as dtype,
+      count(*) as rows, cast({len(TREE_COLUMNS[folder])} as int) as columns, round((count(*) - count({c})) * 100.0 / count(*), 1)::double as null_pct,
+      coalesce(arg_min({c}, {key}) filter (where {c} is not null), '—') as sample from ({text}) as t group by {folder}""")
+    return " union all ".join(lines)
+
+
+@query("g4_profile_by_file", _tree_sql())
+def profile_by_file(t: Inputs):
+    """One file for each month, nation and brand, in the order of the keys."""
+    root = t.folder("g4_tree")
+    for folder, (key, text) in TREE.items():
+        rows = t.derive(text).repartition(folder).sortWithinPartitions(folder, key)
+        landing.write_csv(rows.select(folder, *TREE_COLUMNS[folder]), root, "append", [folder])
+    found = tree_profile.profile_files(t.spark, root)
+    folder = F.regexp_extract("file", "/([^/]+)/[^/]+$", 1)
+    return found.withColumn("file", F.url_decode(F.url_decode(folder)))  # escaped as a value of a partition, and again in the path
+
+
 @query(
     "g4_head",
     "select o_orderkey, o_custkey, o_orderpriority from {orders} order by o_custkey, o_orderkey limit 3",

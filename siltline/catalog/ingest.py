@@ -23,6 +23,21 @@ def read_raw_csv(t: Inputs):
     return raw_csv.read_raw_csv(t.spark, root, RAW_COLUMNS)
 
 
+BROKEN = """
+select cast(o_orderkey as string) as order_id, concat(o_orderpriority, chr(10), '"', o_orderstatus, '", ', chr(10), chr(10), 'end') as note,
+  case when o_orderstatus = 'F' then concat(chr(10), o_orderpriority) end as other
+from {orders}
+"""
+
+
+@query("a1_quoted_breaks", BROKEN)
+def quoted_breaks(t: Inputs):
+    """Texts with line breaks and quotes come back whole."""
+    root = t.folder("a1_breaks")
+    landing.land(t.derive(BROKEN), root, "orders", date(2024, 1, 1), line_breaks=landing.QUOTE)
+    return raw_csv.read_raw_csv(t.spark, root, ["order_id", "note", "other"], multi_line=True)
+
+
 @query(
     "a2_bronze_landing",
     """
@@ -127,8 +142,8 @@ def land_twice(t: Inputs):
     days = [date(2024, 3, 1), date(2024, 3, 9), date(2024, 4, 1)]
     statuses = [landing.land_once(rows, root, "parts", d, "parts.csv", ledger, datetime(2024, 3, 1, 6)) for d in days]
     landed = raw_csv.read_raw_csv(t.spark, root, ["p_partkey"]).agg(F.count("*").alias("n"))
-    known = landing.read_ledger(t.spark, ledger).agg(F.sum("rows").alias("in_ledger"))
-    return landed.select(F.lit(",".join(statuses)).alias("statuses"), "n").join(known, how="left")
+    known = landing.read_ledger(t.spark, ledger).agg(F.sum("rows")).scalar()
+    return landed.select(F.lit(",".join(statuses)).alias("statuses"), "n", known.alias("in_ledger"))
 
 
 @query(

@@ -105,6 +105,32 @@ def refresh_newest_landing(t: Inputs):
     return silver.refresh(t.spark, "indec_exports", bronze, target, exclude_prefixes=[NATIONAL], newest_landing=True)
 
 
+# What is left after the revision: cells of Salta are zero, those of Mendoza blank, Cordoba isn't delivered again, all of 2000
+# is zero, the rest is doubled.
+REVISED = f"""
+select y as year, province, country, cast(case when y >= 1998 then v * 2 else v end as double) as fob_usd
+from ({MATRIX_CELLS}) as c where v > 0 and (y < 1998 or y <> 2000 and province not in ('salta', 'mendoza', 'cordoba'))
+"""
+
+
+@query("m1_revised_to_nothing", REVISED)
+def revised_to_nothing(t: Inputs):
+    """The second landing takes cells back; the year of which nothing is left is emptied in the stored table."""
+    bronze, target = t.folder("m1_revised"), t.folder("m1_revised_silver")
+    matrix = settle(wide_matrix(t), "m1_matrix")
+    landing.land(matrix, bronze, "indec", date(2024, 1, 1))
+    silver.refresh(t.spark, "indec_exports", bronze, target, exclude_prefixes=[NATIONAL], whole_years=True)
+    year, cells = F.year(F.col("indice_tiempo").cast("date")), []
+    for c in matrix.columns:
+        if c == "indice_tiempo":
+            cells.append(F.col(c))
+        elif not c.startswith("cordoba"):
+            twice = (F.col(f"`{c}`").cast("decimal(18,2)") * 2).cast("string")
+            cells.append((F.when(year == 2000, "0").otherwise("0" if c.startswith("salta") else "  " if c.startswith("mendoza") else twice)).alias(c))
+    landing.land(matrix.where(year >= 1998).select(*cells), bronze, "indec", date(2024, 2, 1))
+    return silver.refresh(t.spark, "indec_exports", bronze, target, exclude_prefixes=[NATIONAL], whole_years=True)
+
+
 @query(
     "m2_senasa_certs",
     f"""with {CERTS} select cast(fecha as string) as fecha, oficina_cf, provincia, cast(provincia_id as double) as provincia_id, pais_destino, cast(pais_destino_id as double) as pais_destino_id,

@@ -12,13 +12,13 @@ from siltline.functions.casts import to_date_or_null, to_decimal_or_null, to_int
 from siltline.functions.dates import with_year_month
 from siltline.functions.text import strip_columns
 from siltline.operators import dedup
-from siltline.operators.analytics import top_ranked
 from siltline.operators.reshape import project, unpivot_matrix
 from siltline.operators.validate import in_range, keep_valid, non_negative_or_null, not_blank, positive, required
 from siltline.plans.constants import EXPORT_YEARS, INDICATOR_YEARS
+from siltline.session import scope, settle
 from siltline.sources.raw_csv import FILE, POSITION, read_raw_csv
 from siltline.sources.schemas import RAW_COLUMNS, silver_table
-from siltline.sources.tables import create_table, overwrite_partitions, overwrite_table
+from siltline.sources.tables import create_table, empty_partitions, overwrite_partitions, overwrite_table
 
 EXPORT_RULES = [
     required("fob_usd"), positive("fob_usd"), not_blank("province"), not_blank("country"),
@@ -45,22 +45,45 @@ def typed_exports(long: DataFrame) -> DataFrame:
     return with_year_month(typed, "indice_tiempo", month=False)
 
 
-def exports_from_long(long: DataFrame, landing: str | None = None) -> DataFrame:
+def newest_cells(typed: DataFrame, landing: str, whole_years: bool = False) -> DataFrame:
+    """One row for each (year, province, country): that of its newest landing, whatever its value. Should a landing hold a
+    cell twice, the later row counts, by file and place in the file where the frame has them.
+
+    With ``whole_years`` the newest landing that has a year replaces all of it, so cells that it lacks are gone. There is a row for each calendar
+    year in the table of newest landings, which is therefore broadcast.
+    """
+    order = [landing, *(c for c in POSITION if c in typed.columns), "raw_value", "fob_usd"]
+    if whole_years:
+        newest = typed.where(F.col("year").isNotNull()).groupBy("year").agg(F.max(landing).alias(landing))
+        typed = typed.join(F.broadcast(newest), ["year", landing])
+    return dedup.latest_per_key(typed, ["year", "province", "country"], order)
+
+
+def exports_from_long(long: DataFrame, landing: str | None = None, whole_years: bool = False) -> DataFrame:
     """(indice_tiempo, province, country, raw_value) to indec_exports.
 
-    ``landing`` names a column that grows with the landings; only the rows of the newest landing of each
-    (year, province, country) are then kept. Without it all landings count, repeated ones too.
+    ``landing`` names a column that grows with the landings; cells are then taken as ``newest_cells`` says, before any
+    rule: a value revised to nothing leaves no row. Without it all landings count, repeated ones too.
     """
-    valid = keep_valid(typed_exports(long), EXPORT_RULES)
+    typed = typed_exports(long)
     if landing:
-        valid = top_ranked(valid, ["year", "province", "country"], [F.col(landing).desc()], 1)
-    return project(valid, silver_table("indec_exports").schema.names)
+        typed = newest_cells(typed, landing, whole_years)
+    return project(keep_valid(typed, EXPORT_RULES), silver_table("indec_exports").schema.names)
+
 
+def long_exports(matrix: DataFrame, exclude_prefixes: Sequence[str] = (), landing: str | None = None) -> DataFrame:
+    ids = ["indice_tiempo", *([landing] if landing else []), *(c for c in POSITION if c in matrix.columns)]
+    return unpivot_matrix(matrix, ids, exclude_prefixes=exclude_prefixes)
 
-def indec_exports(matrix: DataFrame, exclude_prefixes: Sequence[str] = (), landing: str | None = None) -> DataFrame:
+
+def indec_exports(matrix: DataFrame, exclude_prefixes: Sequence[str] = (), landing: str | None = None, whole_years: bool = False) -> DataFrame:
     """The wide matrix to indec_exports. The national block counts as a province unless it is excluded."""
-    ids = ["indice_tiempo"] + ([landing] if landing else [])
-    return exports_from_long(unpivot_matrix(matrix, ids, exclude_prefixes=exclude_prefixes), landing)
+    return exports_from_long(long_exports(matrix, exclude_prefixes, landing), landing, whole_years)
+
+
+def with_landing(raw: DataFrame) -> DataFrame:
+    """``landing``: the folder ``year=/month=`` of the file of a row."""
+    return raw.withColumn("landing", F.regexp_extract(FILE, "(year=[^/]+/month=[^/]+)/", 1))
 
 
 def typed_certs(raw: DataFrame) -> DataFrame:
@@ -99,15 +122,10 @@ def weather_daily_readings(raw: DataFrame, order_by: Sequence[str | Column] = PO
     return project(with_year_month(first, "date"), spec.schema.names)
 
 
-def silver_of(name: str, raw: DataFrame, exclude_prefixes: Sequence[str] = (), newest_landing: bool = False) -> DataFrame:
-    """Silver form of a frame that was read with positions. The options are for the wide matrix: prefixes that are no
-    province, and whether only the newest landing of each cell counts (by the folder ``year=/month=`` of its file)."""
-    def matrix() -> DataFrame:
-        landed = raw.withColumn("landing", F.regexp_extract(FILE, "(year=[^/]+/month=[^/]+)/", 1)) if newest_landing else raw
-        return indec_exports(landed.drop(*POSITION), exclude_prefixes, "landing" if newest_landing else None)
-
+def silver_of(name: str, raw: DataFrame, exclude_prefixes: Sequence[str] = ()) -> DataFrame:
+    """Silver form of a frame that was read with positions. Prefixes that are no province are for the wide matrix."""
     plans = {
-        "indec_exports": matrix,
+        "indec_exports": lambda: indec_exports(raw.drop(*POSITION), exclude_prefixes),
         "senasa_certs": lambda: senasa_certs(raw.drop(*POSITION)),
         "worldbank_indicators": lambda: worldbank_indicators(raw),
         "weather_daily_readings": lambda: weather_daily_readings(raw),
@@ -117,18 +135,33 @@ def silver_of(name: str, raw: DataFrame, exclude_prefixes: Sequence[str] = (), n
 
 def refresh(
     spark: SparkSession, name: str, bronze: str, target: str, table: str | None = None, using: str = "parquet",
-    exclude_prefixes: Sequence[str] = (), newest_landing: bool = False,
+    exclude_prefixes: Sequence[str] = (), newest_landing: bool = False, whole_years: bool = False,
 ) -> DataFrame:
     """Read the raw tree, build the silver table, overwrite its partitions and return it as stored.
 
     ``table`` is a catalog name; without it the files below ``target`` are the table. Columns are bound by the header
-    of each file; the wide matrix has no fixed columns, so all that its landings have are taken.
+    of each file; the wide matrix has no fixed columns, so all that its landings have are taken. With ``newest_landing``
+    (for the wide matrix) only the newest landing of each cell counts, with ``whole_years`` that of each year; a year of which nothing
+    is left is emptied. All can be repeated.
     """
+    if (newest_landing or whole_years) and name != "indec_exports":
+        raise ValueError(f"{name} has no cells that a landing revises")
     spec = silver_table(name)
-    rows = silver_of(name, read_raw_csv(spark, bronze, RAW_COLUMNS.get(name), position=True), exclude_prefixes, newest_landing)
-    if table:
-        create_table(spark, table, spec.schema, spec.partition_by, target, using)
-        overwrite_table(rows, table, spec.partition_by, using)
-        return spark.table(table)
-    overwrite_partitions(rows, target, spec.partition_by)
-    return spark.read.schema(spec.schema).parquet(target)
+    raw = read_raw_csv(spark, bronze, RAW_COLUMNS.get(name), position=True)
+    with scope(spark):
+        gone = None
+        if newest_landing or whole_years:
+            typed = typed_exports(long_exports(with_landing(raw), exclude_prefixes, "landing"))
+            cells = settle(newest_cells(typed, "landing", whole_years), "cells")
+            rows = project(keep_valid(cells, EXPORT_RULES), spec.schema.names)
+            gone = cells.select("year").where("year is not null").distinct().join(rows.select("year").distinct(), "year", "left_anti")
+        else:
+            rows = silver_of(name, raw, exclude_prefixes)
+        if table:
+            create_table(spark, table, spec.schema, spec.partition_by, target, using)
+            overwrite_table(rows, table, spec.partition_by, using)
+        else:
+            overwrite_partitions(rows, target, spec.partition_by)
+        if gone is not None:
+            empty_partitions(gone, target, table)
+    return spark.table(table) if table else spark.read.schema(spec.schema).parquet(target)

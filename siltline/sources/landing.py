@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from siltline.sources.tables import read_or_empty
 
 UPLOADED, SKIPPED, ERROR = "uploaded", "skipped", "error"
+#: What becomes of a line break in a value.
+REFUSE, QUOTE = "refuse", "quote"
 
 
 def _date(day: date | str | Column) -> Column:
@@ -30,23 +32,29 @@ def landing_key(source: str | Column, day: date | str | Column, file_name: str |
     )
 
 
-def land(df: DataFrame, root: str, source: str, day: date | str | Column, mode: str = "append") -> None:
+def land(df: DataFrame, root: str, source: str, day: date | str | Column, mode: str = "append", line_breaks: str = REFUSE) -> None:
     """Write a frame as CSV below ``root/source=<s>/year=YYYY/month=MM``. Blanks in values are kept.
 
     A fixed day gives one folder. A day per row spreads the rows over folders, which then must not have
     a year or month column of their own; a large month may fill several tasks and files.
     """
     if isinstance(day, date):
-        write_csv(df, f"{root}/source={source}/year={day:%Y}/month={day:%m}", mode)
+        write_csv(df, f"{root}/source={source}/year={day:%Y}/month={day:%m}", mode, line_breaks=line_breaks)
         return
     d = _date(day)
     kept = df.drop(day) if isinstance(day, str) else df
     folders = {"source": F.lit(source), "year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM")}
     marked = df.select(*kept.columns, *[c.alias(name) for name, c in folders.items()])
-    write_csv(marked.hint("rebalance", "year", "month"), root, mode, list(folders))
+    write_csv(marked.hint("rebalance", "year", "month"), root, mode, list(folders), line_breaks)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, line_breaks: str = REFUSE) -> None:
+    """A raw tree is read line by line, so a text with a line break would come back as two rows: it is refused, unless
+    ``line_breaks`` is ``quote``; such a tree has to be read with ``multi_line``."""
+    if line_breaks not in (REFUSE, QUOTE):
+        raise ValueError(f"line_breaks is {REFUSE} or {QUOTE}, not {line_breaks!r}")
+    if line_breaks == REFUSE:
+        df = df.select(*[_one_line(f.name) if f.dataType.typeName() == "string" else F.col(f"`{f.name}`") for f in df.schema.fields])
     writer = (
         df.write.mode(mode)
         .option("header", True)
@@ -57,6 +65,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: l
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
+def _one_line(name: str) -> Column:
+    c = F.col(f"`{name}`")
+    broken = F.raise_error(F.concat(F.lit(f"line break in a value of column {name}: "), c)).cast("string")
+    return F.when(c.rlike("[\\r\\n]"), broken).otherwise(c).alias(name)
+
+
 LEDGER = "key string, status string, ingested_at timestamp, rows long, details map<string,string>"
 
 

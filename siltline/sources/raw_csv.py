@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,21 +15,53 @@ FILE, BLOCK, ROW = "_file", "_block", "_row"
 POSITION = [FILE, BLOCK, ROW]
 
 
-def headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files below ``path`` by their header. One pass over the first blocks for all files, whatever their names;
-    what reaches the driver is the list of files, which a scan holds there anyway. Files without a line are left out."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path if isinstance(path, str) else list(path))
-    first = lines.where("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
-    found = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    rows = found.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+#: Files whose first line is read at a time.
+READERS = 16
+
+
+def _first_line(spark: SparkSession, conf, uri: str, multi_line: bool) -> str | None:
+    """The header line of a file, through its Hadoop file system: a buffer of bytes is read, whatever the size of the file."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        header = lines.readLine()
+        while multi_line and header is not None and header.count('"') % 2 and (more := lines.readLine()) is not None:
+            header += "\n" + more
+        return None if header is None else header.removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def file_headers(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> list[tuple[str, tuple[str, ...]]]:
+    """The files below ``path`` (as ``_metadata.file_path`` has them) and the column names of each, in the order of the files.
+
+    Spark lists them; of each only the first line is read, by a few threads of the driver, which holds the list of files
+    for a scan anyway. Files without a line are left out."""
+    paths = [path] if isinstance(path, str) else list(path)
+    files = sorted(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).inputFiles())
+    conf = spark._jsc.hadoopConfiguration()
+    with ThreadPoolExecutor(READERS) as pool:
+        found = list(pool.map(lambda f: _first_line(spark, conf, f, multi_line), files))
+    out = []
+    for f, header in zip(files, found, strict=True):
+        if header is None:
+            continue
+        names = tuple(next(csv.reader(header.splitlines(True)), []))
+        if len(set(names)) < len(names):
+            raise ValueError(f"a header names a column twice: {header!r} in {f}")
+        out.append((f, names))
+    return out
+
+
+def headers(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header."""
     uri, hadoop = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(rows, key=lambda r: r["files"][0]):
-        names = tuple(next(csv.reader([r["header"]]), []))
-        if len(set(names)) < len(names):
-            raise ValueError(f"a header names a column twice: {r['header']!r} in {r['files'][0]}")
-        out.setdefault(names, []).extend(hadoop(uri(f)).toString() for f in r["files"])
+    for f, names in file_headers(spark, path, multi_line):
+        out.setdefault(names, []).append(hadoop(uri(f)).toString())
     return out
 
 
@@ -37,6 +70,7 @@ def read_raw_csv(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     position: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files below ``path``, uncast, columns bound by name through the header of each file. Directory names are not
     turned into columns, and a field without text is NULL.
@@ -45,8 +79,10 @@ def read_raw_csv(
     files are, NULL where a file has none. There is one scan for each distinct header, and a file whose header is not
     the one it was listed with fails. ``position`` adds the columns that say where a row stood: file, block and a
     number that grows within the block. Ordered by the three, rows come as they are in the files.
+
+    A line is a row. With ``multi_line`` a quoted value may hold line breaks (``\\n``); a file is then read by one task.
     """
-    groups = headers(spark, path)
+    groups = headers(spark, path, multi_line)
     if not groups:
         if columns is None:
             raise ValueError(f"no file with a header below {path}")
@@ -57,6 +93,8 @@ def read_raw_csv(
         if lacking := [c for c in columns or () if c not in names]:
             raise ValueError(f"no column {', '.join(lacking)} in {files[0]}")
         reader = spark.read.option("header", True).option("enforceSchema", False)
+        if multi_line:
+            reader = reader.option("multiLine", True).option("lineSep", "\n")
         scan = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(files)
         kept = [f"`{c}`" for c in columns or names]
         frames.append(with_position(scan).select(*kept, *POSITION) if position else scan.select(*kept))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltline.session import delete
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of a schema, in its order and with its types."""
@@ -64,6 +66,18 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str], using
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def empty_partitions(values: DataFrame, path: str, table: str | None = None) -> None:
+    """Removes the partitions that ``values`` names, a row each with the partition columns in their order. Partitions that are
+    not there are passed over. The rows are those of a list of folders; they come to the driver, which removes them."""
+    spark = values.sparkSession
+    quoted = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    for row in values.collect():
+        if table:
+            spec = ", ".join(f"`{c}` = {quoted(v)}" for c, v in row.asDict().items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        delete(spark, path + "".join(f"/{c}={v}" for c, v in row.asDict().items()))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or an empty frame of the schema where nothing was written yet."""
     from pyspark.errors import AnalysisException
