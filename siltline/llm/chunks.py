@@ -10,8 +10,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltline.llm.common import Scratch, partitions, words_of
+from siltline.llm.common import Scratch, partitions, whole_row, words_of
 
 #: Characters of a chunk, about; a longer text is a chunk of its own.
 CHARS = 1_000_000
@@ -51,9 +52,9 @@ def packed(docs: DataFrame, scratch: Scratch) -> DataFrame:
         if held:
             yield emit()
 
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"))
-    kind = whole.schema["row"].dataType.simpleString()
-    return scratch.save(whole.mapInArrow(run, f"chunk long, rows array<{kind}>, n_words long"))
+    whole = docs.select(whole_row(docs))
+    kind = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("rows", T.ArrayType(whole.schema["row"].dataType)), T.StructField("n_words", T.LongType())])
+    return scratch.save(whole.mapInArrow(run, kind))
 
 
 class Words:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.session import workspace
@@ -31,6 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(docs: DataFrame, name: str = "row") -> Column:
+    """All columns of a frame as one struct, whatever their names."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias(name)
+
+
+def rest_of(docs: DataFrame, *known: str) -> Column:
+    """The columns other than those named, as text: an order for rows that are alike in the others."""
+    rest = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c.lower() not in known]
+    return F.to_json(F.struct(*rest)) if rest else F.lit("")
+
+
 class Scratch:
     """Tables of one operator below the shared folder; ``drop`` removes those that nothing reads any more."""
 

@@ -10,15 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltline.llm.common import prepare
+from siltline.llm.common import prepare, whole_row
 
 #: N-grams of one to three letters or word ends; a profile has the most frequent ones.
 ORDERS, PROFILE = 3, 400
-#: N-grams are told apart by so many bits of a hash.
-BITS = 20
+#: N-grams of a batch are numbered by a table of up to so many entries, else by sorting; n-grams of a language that a task
+#: holds before it adds equal ones up, and before it sends them on.
+TABLE, HELD, SENT = 1 << 22, 1 << 20, 1 << 22
 #: ``accepted`` takes documents at this score at least.
 LEAST_SCORE = 0.2
-_FOLD = np.uint64(0x9E3779B97F4A7C15)
+_WIDE = 21  # bits of a letter
 
 
 @lru_cache(maxsize=1)
@@ -26,60 +27,84 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For many texts at once: the document and the hashed n-gram of each occurrence, and the letters of each text.
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For many texts at once: the document and the number of the n-gram of each occurrence, the letters of each text, and the
+    n-grams by number.
 
-    Texts are lower-cased; every run of other characters is one word end, also at both ends of a text.
+    Texts are lower-cased; every run of other characters is one word end, also at both ends of a text. An n-gram is
+    written as one number, 21 bits for each letter (plus one) or word end (one), so different ones are never mixed up.
     """
     low = [t.lower() for t in texts]
     size = np.fromiter(map(len, low), np.int64, len(low))
     points = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
     doc = np.repeat(np.arange(len(low)), size + 1)[:len(points)]
     letter = _letters()[points]
-    codes = np.where(letter, points, 0).astype(np.uint64)
     counts = np.bincount(doc[letter], minlength=len(low))
     keep = letter | np.r_[True, letter[:-1]]  # of a run of others one stays
-    codes, doc = np.r_[np.uint64(0), codes[keep], np.uint64(0)], np.r_[0, doc[keep], len(low) - 1]
-    wide = np.uint64(21)
-    one = codes != 0
-    two, three = codes[:-1] << wide | codes[1:], (codes[:-2] << wide | codes[1:-1]) << wide | codes[2:]
-    shift = np.uint64(64 - BITS)
-    parts, docs = [], []
-    for n, code, ok, owner in ((1, codes, one, doc), (2, two, one[:-1] | one[1:], np.where(one[:-1], doc[:-1], doc[1:])),
-                               (3, three, one[1:-1], doc[1:-1])):
-        with np.errstate(over="ignore"):
-            parts.append((((code[ok] * np.uint64(4) + np.uint64(n)) * _FOLD) >> shift).astype(np.int32))
-        docs.append(owner[ok])
-    return np.concatenate(docs), np.concatenate(parts), counts
+    codes, doc = np.r_[0, np.where(letter, points, 0)[keep], 0], np.r_[0, doc[keep], len(low) - 1]
+    seen = np.zeros(0x110000, bool)
+    seen[codes] = True
+    alphabet = np.flatnonzero(seen)
+    number = np.zeros(0x110000, np.int64)
+    number[alphabet] = np.arange(len(alphabet))
+    x, n, real = number[codes], len(alphabet), codes != 0
+    two, three = n + x[:-1] * n + x[1:], n + n * n + (x[:-2] * n + x[1:-1]) * n + x[2:]
+    pairs = real[:-1] | real[1:]
+    ids = np.concatenate([x[real], two[pairs], three[real[1:-1]]])
+    docs = np.concatenate([doc[real], np.where(real[:-1], doc[:-1], doc[1:])[pairs], doc[1:-1][real[1:-1]]])
+    if n + n * n + n ** 3 <= TABLE:
+        there = np.zeros(n + n * n + n ** 3, bool)
+        there[ids] = True
+        kinds = np.flatnonzero(there)
+        place = np.zeros(len(there), np.int32)
+        place[kinds] = np.arange(len(kinds))
+        ids = place[ids]
+    else:
+        kinds, ids = np.unique(ids, return_inverse=True)
+    written, wide = alphabet + 1, np.int64(_WIDE)
+    own = np.empty(len(kinds), np.int64)
+    a, b = np.searchsorted(kinds, [n, n + n * n])
+    own[:a] = written[kinds[:a]]
+    rest = kinds[a:b] - n
+    own[a:b] = written[rest // n] << wide | written[rest % n]
+    rest = kinds[b:] - n - n * n
+    own[b:] = (written[rest // (n * n)] << wide | written[rest // n % n]) << wide | written[rest % n]
+    return docs, ids, counts, own
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    kinds, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return kinds, np.bincount(back, np.concatenate([n for _, n in parts]), len(kinds)).astype(np.int64)
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of the rows (lang, text) of a task."""
-    sums: dict[str, np.ndarray] = {}
+    sums: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
-            own = [t for x, t in zip(langs, texts, strict=True) if x == lang]
-            if lang not in sums:
-                sums[lang] = np.zeros(1 << BITS, np.int32)
-            sums[lang] += np.bincount(grams(own)[1], minlength=1 << BITS).astype(np.int32)
-        if len(sums) > 8:  # bounded memory with many languages
+            _, ids, _, kinds = grams([t for x, t in zip(langs, texts, strict=True) if x == lang])
+            parts = sums.setdefault(lang, [])
+            parts.append((kinds, np.bincount(ids, minlength=len(kinds))))
+            if sum(len(k) for k, _ in parts) > HELD + 2 * len(parts[0][0]):
+                parts[:] = [_added(parts)]
+        if sum(len(k) for parts in sums.values() for k, _ in parts) > SENT:  # bounded memory with many languages
             yield from _flush(sums)
     yield from _flush(sums)
 
 
-def _flush(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _flush(sums: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
     while sums:
-        lang, n = sums.popitem()
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))], names=["lang", "gram", "n"])
+        lang, parts = sums.popitem()
+        kinds, n = _added(parts)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kinds), pa.string()), pa.array(kinds), pa.array(n)], names=["lang", "gram", "n"])
 
 
 def profiles(docs: DataFrame) -> dict[str, list[int]]:
     """The most frequent n-grams of every language of ``docs(lang, text)``, best first; at most ``PROFILE`` for each
     language reach the driver. Counts cover all rows whose lang and text are not null."""
     prepare(docs.sparkSession)
-    counts = docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(_train, "lang string, gram int, n long")
+    counts = docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(_train, "lang string, gram long, n long")
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     rows = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROFILE)
     out: dict[str, list[int]] = {}
@@ -88,29 +113,36 @@ def profiles(docs: DataFrame) -> dict[str, list[int]]:
     return out
 
 
+class Learned:
+    """Profiles as a table: the rank of each n-gram in each language, ``PROFILE`` where it has none."""
+
+    def __init__(self, learned: dict[str, list[int]]):
+        self.names = sorted(learned)
+        self.kinds = np.unique(np.array([g for own in learned.values() for g in own], np.int64))
+        self.ranks = np.full((len(self.kinds) + 1, max(1, len(self.names))), PROFILE, np.int64)
+        for k, name in enumerate(self.names):
+            self.ranks[np.searchsorted(self.kinds, learned[name]), k] = np.arange(len(learned[name]))
+
+    def of(self, kinds: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.kinds, kinds)
+        known = self.kinds[np.minimum(at, len(self.kinds) - 1)] == kinds if len(self.kinds) else np.zeros(len(kinds), bool)
+        return self.ranks[np.where(known, at, len(self.kinds))]
+
+
 def predict(learned: dict[str, list[int]], texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Language and score of each text. The distance is the mean, over the n-grams of the text's profile, of how far
+    """Language and score of each text. A text's profile has its ``PROFILE`` most frequent n-grams, ties to the smaller number,
+    as those of the languages. The distance is the mean, over the n-grams of the text's profile, of how far
     their rank is from the one in the language, ``PROFILE`` where the language has none; the score is one less the
     smallest distance as a part of ``PROFILE``. N-grams of equal count share the best rank of their group."""
-    names = sorted(learned)
-    ranks = np.full((1 << BITS, max(1, len(names))), PROFILE, np.int16)
-    for k, name in enumerate(names):
-        for place, gram in reversed(list(enumerate(learned[name]))):
-            ranks[gram, k] = place
-    return _predict(names, ranks, texts)
+    return _predict(Learned(learned), texts)
 
 
-def _predict(names: list[str], ranks: np.ndarray, texts: list[str | None]) -> tuple[list[str], list[float]]:
+def _predict(learned: Learned, texts: list[str | None]) -> tuple[list[str], list[float]]:
     langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-    if not texts or not names:
+    if not texts or not learned.names:
         return langs, scores
-    docs, ids, letters = grams([t or "" for t in texts])
-    seen = np.zeros(1 << BITS, bool)
-    seen[ids] = True
-    kinds = np.flatnonzero(seen)
-    place = np.zeros(1 << BITS, np.int32)
-    place[kinds] = np.arange(len(kinds))
-    ids, ranks = place[ids], ranks[kinds].astype(np.int64)
+    docs, ids, letters, kinds = grams([t or "" for t in texts])
+    ranks, by_number = learned.of(kinds), np.argsort(np.argsort(kinds))
     order = np.argsort(docs, kind="stable")
     ids, edge = ids[order], np.searchsorted(docs[order], np.arange(len(texts) + 1))
     for i in np.flatnonzero(letters):
@@ -118,32 +150,25 @@ def _predict(names: list[str], ranks: np.ndarray, texts: list[str | None]) -> tu
         own = np.flatnonzero(n)
         n = n[own]
         if len(own) > PROFILE:
-            least = np.partition(n, len(n) - PROFILE)[len(n) - PROFILE]
-            if (n >= least).sum() > 2 * PROFILE:  # a long tail of equal counts says little
-                least += 1
-            own, n = own[n >= least], n[n >= least]
+            best = np.lexsort((by_number[own], -n))[:PROFILE]
+            own, n = own[best], n[best]
         values = np.sort(n)
         rank = len(n) - np.searchsorted(values, n, "right")
-        far = np.abs(ranks[own] - np.minimum(rank, PROFILE)[:, None]).sum(0)
-        best = int(far.argmin())
-        langs[i], scores[i] = names[best], float(1 - far[best] / (len(own) * PROFILE))
+        far = np.abs(ranks[own] - rank[:, None]).sum(0)
+        least = int(far.argmin())
+        langs[i], scores[i] = learned.names[least], float(1 - far[least] / (len(own) * PROFILE))
     return langs, scores
 
 
 def classify(docs: DataFrame, learned: dict[str, list[int]]) -> DataFrame:
     """``docs`` with ``found``, a struct of ``lang_pred`` and ``score``; ``und`` and 0 if a text is null, has no letter,
     or nothing was learned. The profiles are bounded (``PROFILE`` for each language) and go with the tasks."""
-    tables: list = []
+    tables: list[Learned] = []
 
     def run(texts: pa.Array) -> pa.Array:
         if not tables:
-            names = sorted(learned)
-            ranks = np.full((1 << BITS, max(1, len(names))), PROFILE, np.int16)
-            for k, name in enumerate(names):
-                for place, gram in reversed(list(enumerate(learned[name]))):
-                    ranks[gram, k] = place
-            tables.append((names, ranks))
-        langs, scores = _predict(*tables[0], texts.to_pylist())
+            tables.append(Learned(learned))
+        langs, scores = _predict(tables[0], texts.to_pylist())
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
     prepare(docs.sparkSession)
@@ -170,6 +195,5 @@ def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """``docs`` without the documents in no language: null or letterless texts and texts whose n-grams are far from
     every profile. All columns of ``docs``, and no others."""
     learned = profiles(docs.where(~held_out()))
-    columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("row"), "text")
+    rows = docs.select(whole_row(docs), "text")
     return classify(rows, learned).where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= least)).select("row.*")

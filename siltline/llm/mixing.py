@@ -5,10 +5,10 @@ from __future__ import annotations
 import heapq
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import Scratch
+from siltline.llm.common import Scratch, rest_of, whole_row
 from siltline.llm.ranking import bins, group_name, running, seeded_key, share
 
 WEIGHTS = (5, 2, 1)
@@ -84,22 +84,23 @@ def _overlap(low: str, high: str):
     return F.greatest(F.lit(0), F.least(end, F.col(high)) - F.greatest("start", F.col(low)))
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = 1, seed: str = SEED) -> tuple[DataFrame, list[dict]]:
-    """Rows ``(doc_id, mark, source, size, source_size, target, taken, passes, head, head_to, tail)``, and the plan.
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = 1, seed: str = SEED, rest: Column | None = None) -> tuple[DataFrame, list[dict]]:
+    """Rows ``(doc_id, mark, group, rest, source, size, source_size, target, taken, passes, head, head_to, tail)``, and the plan.
 
     The words of each source, its documents in a seeded order, are a stream cut into equal blocks (the last may be
     shorter). Sainte-Laguë gives each source a whole number of blocks, and there is one shard. A source takes all its blocks
     ``passes`` times and the rest as a run that starts at a seeded block and goes round: the words ``[head, head_to)``
     of a document and its first ``tail`` words, where the run has gone round. Only the sizes of the sources reach the
     driver. A null text has no words; a null source is the last source; repeated rows are documents like all others.
-    ``mark`` is the md5 of the text.
+    ``mark`` is the md5 of the text, ``group`` the source under a name that is never null; ``rest`` is a number by which
+    rows of equal id, text and source are told apart and put in order.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.coalesce(F.col("text"), F.lit(""))
     mark = F.md5(text)
     rows = scratch.save(docs.select(
         "doc_id", "source", mark.alias("mark"), group_name("source").alias("group"),
-        F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long").alias("size"),
+        F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long").alias("size"), (F.lit(0).cast("long") if rest is None else rest).alias("rest"),
     ).withColumn("key", seeded_key(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("mark"))))
     groups = rows.groupBy("group").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     quotas = plan([(g["group"], g["size"]) for g in groups], weights, shards)
@@ -117,11 +118,11 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = 1,
         "round": F.greatest(F.lit(0), F.col("first") + F.col("run") - F.col("blocks")) * F.col("block"),
     }).select("group", "source_size", "target", "passes", "low", "high", "round").withColumn("zero", F.lit(0).cast("long"))
     binned = rows.withColumn("bin", F.floor(share(F.col("key")) * bins(sum(g["n"] for g in groups))))
-    placed = running(binned, ["group"], "bin", ["key"], "size", "start").join(parts, "group")
+    placed = running(binned, ["group"], "bin", ["key", "rest"], "size", "start").join(parts, "group")
     head, tail = _overlap("low", "high"), _overlap("zero", "round")
     skipped = F.least(F.col("size"), F.greatest(F.lit(0), F.col("low") - F.col("start")))
     return placed.select(
-        "doc_id", "mark", "source", "size", "source_size", "target",
+        "doc_id", "mark", "group", "rest", "source", "size", "source_size", "target",
         (F.col("passes") * F.col("size") + head + tail).cast("long").alias("taken"),
         "passes", skipped.alias("head"), (skipped + head).alias("head_to"), tail.alias("tail")), quotas
 
@@ -136,15 +137,16 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     partial pass, in which the words are joined by one space. Documents that the mixture does not take are left out.
     """
     scratch = Scratch(docs.sparkSession, "mixing-take")
-    columns = docs.columns
-    chosen, _ = mixed(docs, weights)
-    spans = scratch.save(chosen.where("taken > 0").select(F.col("doc_id").alias("own_id"), F.col("mark").alias("own_mark"),
-                                                          "passes", "head", "head_to", "tail"))
-    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("mark"))
-    # rows that are repeated as a whole have spans of their own: the n-th row takes the n-th spans
-    spans = spans.groupBy("own_id", "own_mark").agg(F.sort_array(F.collect_list(F.struct("passes", "head", "head_to", "tail"))).alias("spans"))
-    rows = rows.groupBy("id", "mark").agg(F.min_by("row", F.lit(0)).alias("row"))
-    joined = rows.join(spans, rows.id.eqNullSafe(spans.own_id) & (rows.mark == spans.own_mark)).select("row", F.explode("spans").alias("s"))
+    columns, other = docs.columns, rest_of(docs, "doc_id", "text", "source")
+    chosen, _ = mixed(docs, weights, rest=F.xxhash64(other))
+    identity = ("doc_id", "mark", "group", "rest")
+    spans = scratch.save(chosen.where("taken > 0").select(*[F.col(c).alias(f"own_{c}") for c in identity], "passes", "head", "head_to", "tail"))
+    rows = docs.select(whole_row(docs), "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("mark"), group_name("source").alias("group"),
+                       F.xxhash64(other).alias("rest"), other.alias("order"))
+    # of rows that are repeated as a whole one is enough: each of them has spans of its own
+    rows = rows.groupBy(*identity).agg(F.min_by("row", "order").alias("row"))
+    same = [rows[c].eqNullSafe(spans[f"own_{c}"]) if c == "doc_id" else rows[c] == spans[f"own_{c}"] for c in identity]
+    joined = rows.join(spans, same).select("row", F.struct("passes", "head", "head_to", "tail").alias("s"))
     words = F.expr("regexp_extract_all(row.text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)")
     cut = F.array_join(F.concat(F.slice(words, F.col("s.head") + 1, F.col("s.head_to") - F.col("s.head")),
                                 F.slice(words, F.lit(1), F.col("s.tail").cast("int"))), " ")

@@ -8,23 +8,19 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import Scratch, mix, window_hash, words_of
+from siltline.llm.common import Scratch, rest_of, whole_row, words_of
 from siltline.llm.components import components
 
-RADIUS = 3
+RADIUS, SHINGLE = 3, 3
 #: The odd bit of the radius is given away by leaving out one of three blocks of bits.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: Buckets up to this many fingerprints are compared as a small matrix, larger ones by lookups.
 SMALL = 256
-#: Rows that a task looks at together, about, links that it holds before it thins them out, and pairs compared at once.
-ROWS, HELD, PAIRS = 1 << 16, 1 << 20, 1 << 20
-#: Seeds of the word fingerprints that ``keep_one`` looks up, and differing bits of the five-word fingerprint that stand
-#: for a similarity of 0.8 (9.8 bits on average there, 14.6 at 0.6).
-SEEDS = (42, 43, 44)
-TOLERANCE = 14
+#: Rows that a task looks at together, about, and links that it holds before it thins them out.
+ROWS, HELD = 1 << 16, 1 << 20
 _ALL = (1 << 64) - 1
 
 
@@ -187,60 +183,23 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
         yield np.concatenate(a), np.concatenate(b)
 
 
-def _reached(fp: np.ndarray, print5: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a large bucket that tie up each of its components, by walking them: those just reached are compared
-    with all that are not reached yet. No pair within both limits is left apart, and one large component costs about
-    one comparison for each member; only a bucket of many small components costs one for each pair."""
-    rest, a, b = np.arange(len(fp)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    while len(rest) > 1:
-        front, rest = rest[:1], rest[1:]
-        while len(front) and len(rest):
-            width = max(1, PAIRS // len(rest))
-            now, front = front[:width, None], front[width:]
-            near = (np.bitwise_count(fp[now] ^ fp[rest]) <= RADIUS) & (np.bitwise_count(print5[now] ^ print5[rest]) <= TOLERANCE)
-            hit = near.any(0)
-            a.append(now[near.argmax(0)[hit], 0])
-            b.append(rest[hit])
-            front, rest = np.concatenate([front, rest[hit]]), rest[~hit]
-    return np.concatenate(a), np.concatenate(b)
-
-
-def _verify_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _thinned(_verified_texts(batches))
-
-
-def _verified_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links of nodes that are close in both fingerprints; rows are (block, key, words, shingles, node)."""
-    for block, key, fp, print5, node in _whole_buckets(batches):
-        near = lambda i, j: (np.bitwise_count(fp[i] ^ fp[j]) <= RADIUS) & (np.bitwise_count(print5[i] ^ print5[j]) <= TOLERANCE)  # noqa: B023, E731
-        edge, size = _sizes(block, key)
-        a, b = [node[:0]], [node[:0]]
-        for n in np.unique(size[size > 1]).tolist():
-            at = edge[size == n]
-            if n > SMALL:
-                for start in at.tolist():
-                    i, j = _reached(fp[start:start + n], print5[start:start + n])
-                    a.append(node[start + i])
-                    b.append(node[start + j])
-                continue
-            p, q = np.triu_indices(n, 1)  # many buckets of one size together
-            step = max(1, PAIRS // len(p))
-            for k in range(0, len(at), step):
-                start = at[k:k + step, None]
-                i, j = (start + p).ravel(), (start + q).ravel()
-                hit = near(i, j)
-                a.append(node[i[hit]])
-                b.append(node[j[hit]])
-        yield np.concatenate(a), np.concatenate(b)
-
-
 def fingerprint_links(prints: DataFrame, scratch: Scratch) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all pairs of different fingerprints within the radius."""
     rows = _variants(prints).repartition("block", "key").sortWithinPartitions("block", "key")
     return scratch.save(rows.mapInArrow(_verify, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def _labelled(docs: DataFrame, shingle: int, scratch: Scratch, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` as (doc_id, fp, more), and (print, label, least) of each fingerprint: the smallest one of its
+    component, and the smallest doc_id of its own."""
+    rows = scratch.save(docs.select("doc_id", _fingerprint_column(shingle)("text").alias("fp"), *more))
+    prints = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(fingerprint_links(prints, scratch), scratch)
+    return rows, scratch.save(prints.join(found, prints.fp == found.node, "left").select(
+        F.col("fp").alias("print"), F.coalesce("label", "fp").alias("label"), "least"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row ``(doc_id, fingerprint, component_id, component)`` per row of ``docs(doc_id, text)``; others are not read.
 
     Fingerprints that differ in at most three bits are linked; a component is named by its smallest doc_id. A null or
@@ -252,71 +211,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     left out, and the other two are met half way, so no pair is lost; what meets is verified bit by bit.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.save(docs.select("doc_id", _fingerprint_column(shingle)("text").alias("fp")))
-    prints = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = fingerprint_links(prints, scratch)
-    found = components(links, scratch)
-    labelled = scratch.save(prints.join(found, prints.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")))
+    rows, labelled = _labelled(docs, shingle, scratch)
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    names = scratch.save(labelled.join(named, "label").select(F.col("fp").alias("print"), "component_id", "label"))
+    names = scratch.save(labelled.join(named, "label").select("print", "component_id", "label"))
     return rows.join(names, rows.fp == names["print"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.lower(F.lpad(F.hex("label"), 16, "0")).alias("component"))
 
 
-def _majority(hashes: np.ndarray, times: np.ndarray | None = None) -> int:
-    """The bits that are set in over half of the hashes, each counted as often as ``times`` says."""
-    ones, n = np.zeros(64, np.int64), len(hashes) if times is None else int(times.sum())
-    for at in range(0, len(hashes), 1 << 16):
-        bits = np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(0, dtype=np.int32) if times is None else (times[at:at + (1 << 16)] @ bits).astype(np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
-
-
-def word_fingerprints(text: str | None, distinct: bool = False) -> list[int]:
-    """SimHash of the lower-cased words under each of ``SEEDS``, then that of their five-word shingles, each counted
-    once if ``distinct``; zeros if there is no word. Each word is hashed once; the families of hashes are mixed from that."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return [0] * (len(SEEDS) + 1)
-    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    kinds, times = np.unique(codes, return_counts=True)
-    times = times.astype(np.float64)  # exact for counts, and multiplied by BLAS
-    shingles = window_hash(codes, min(5, len(codes)))
-    return [*(_majority(mix(kinds ^ np.uint64(seed << 32)), times) for seed in SEEDS), _majority(np.unique(shingles) if distinct else shingles)]
-
-
-def _four(texts: pa.Array) -> pa.Array:
-    columns = np.array([word_fingerprints(t.as_py(), distinct=True) for t in texts], np.uint64).reshape(-1, 4).view(np.int64).T
-    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["p0", "p1", "p2", "five"])
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near copies: its smallest doc_id (nulls last, ties by the text).
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one document of each component of ``near_duplicates``: its smallest doc_id, nulls last; of equal ids the smallest by a
+    hash of the text, then by the other columns as JSON.
 
-    All columns of ``docs`` are returned, and no others; a document that is repeated as a whole stays once. Texts
-    without a word are one group. Documents are linked when the SimHash fingerprints of their words differ in three
-    bits at most under one of three seeds, and those of their different five-word shingles, however often each occurs,
-    in ``TOLERANCE`` bits at most, the distance that a Jaccard similarity of 0.8 gives. (Of five-word shingles alone, three bits would find next to none
-    of the pairs at 0.8: there they differ in about ten.) In buckets of more than ``SMALL`` texts the components are
-    walked, which loses no link.
+    All columns of ``docs`` are returned, and no others; a document that is repeated as a whole stays once. Texts without a word
+    have fingerprint zero and are one group with all that is linked to it.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = scratch.save(docs.select("doc_id", F.xxhash64(text).alias("mark"), F.length(text).alias("size"), F.arrow_udf(_four, "struct<p0:long,p1:long,p2:long,five:long>")("text").alias("f"))
-                        .select("doc_id", "mark", "size", "f.*").withColumn("node", F.xxhash64("p0", "p1", "p2", "five")))
-    nodes = scratch.save(rows.select("node", "p0", "p1", "p2", "five").distinct())
-    links = None
-    for k in range(len(SEEDS)):
-        variants = _variants(nodes.select(F.col(f"p{k}").alias("fp"), "five", "node"), "five", "node")
-        found = scratch.save(variants.repartition("block", "key").sortWithinPartitions("block", "key").mapInArrow(_verify_texts, "a long, b long"))
-        links = found if links is None else links.unionByName(found)
-    labels = components(links, scratch).withColumnRenamed("node", "own")
-    grouped = rows.join(labels, rows.node == labels.own, "left").select(
-        F.coalesce("label", "node").alias("label"), F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "mark", "size").alias("row"))
-    kept = scratch.save(grouped.groupBy("label").agg(F.min("row").alias("row")).select("row.*"))
-    columns = docs.columns
-    own = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("own_mark"))
-    there = own.id.eqNullSafe(kept.doc_id) & (own.own_mark == kept.mark)
-    return own.join(kept, there, "left_semi").groupBy("id", "own_mark").agg(F.min_by("row", F.lit(0)).alias("row")).select("row.*")
+    mark, rest = F.xxhash64(F.coalesce("text", F.lit(""))), rest_of(docs, "doc_id", "text")
+    rows, labelled = _labelled(docs, shingle, scratch, mark.alias("mark"), F.xxhash64(rest).alias("rest"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "mark", "rest")).alias("row")
+    kept = scratch.save(rows.join(labelled, rows.fp == labelled["print"]).groupBy("label").agg(one).select("row.*"))
+    own = docs.select(whole_row(docs), F.col("doc_id").alias("id"), mark.alias("own_mark"), F.xxhash64(rest).alias("own_rest"), rest.alias("order"))
+    there = own.id.eqNullSafe(kept.doc_id) & (own.own_mark == kept.mark) & (own.own_rest == kept.rest)
+    return own.join(kept, there, "left_semi").groupBy("id", "own_mark", "own_rest").agg(F.min_by("row", "order").alias("row")).select("row.*")

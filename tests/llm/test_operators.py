@@ -66,27 +66,6 @@ def test_simhash(docs):
     assert Counter(tuple(r)[:3] for r in simhash.near_duplicates(docs).collect()) == want
 
 
-@pytest.mark.parametrize("groups", [1, 40, 700])
-def test_simhash_walk_of_a_large_bucket_loses_no_link(groups):
-    r, n = np.random.default_rng(groups), 700
-    which = r.integers(0, groups, n)
-    fp, five = (r.integers(0, 1 << 63, groups, dtype=np.uint64)[which] for _ in range(2))
-    for _ in range(2):
-        fp = fp ^ (np.uint64(1) << r.integers(0, 64, n).astype(np.uint64))
-    for _ in range(8):
-        five = five ^ (np.uint64(1) << r.integers(0, 64, n).astype(np.uint64))
-    near = (np.bitwise_count(fp[:, None] ^ fp) <= simhash.RADIUS) & (np.bitwise_count(five[:, None] ^ five) <= simhash.TOLERANCE)
-    want = np.arange(n)
-    for _ in range(n):
-        want = np.where(near, want[None], n).min(1)
-    i, j = simhash._reached(fp, five)
-    assert near[i, j].all()
-    got = np.arange(n)
-    nodes, least = simhash._forest(i.astype(np.uint64), j.astype(np.uint64))
-    got[nodes.astype(int)] = least.astype(int)
-    assert (got == want).all()
-
-
 def test_simhash_large_buckets_link_like_small_ones():
     r = np.random.default_rng(1)
     for block, (shift, width) in enumerate(simhash.BLOCKS):
@@ -103,32 +82,32 @@ def test_simhash_large_buckets_link_like_small_ones():
         assert small.keys() >= set() and len(large) <= len(prints)
 
 
-def test_word_fingerprints(texts):
-    for t in [*texts, "A b a B c", "é É x", "one two three four"]:
-        words = (t or "").encode().lower().split()
-        if not words:
-            assert simhash.word_fingerprints(t) == [0] * 4
-            continue
-        codes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-        families = [mix(codes ^ np.uint64(seed << 32)) for seed in simhash.SEEDS] + [window_hash(codes, min(5, len(codes)))]
-        want = [sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h.tolist()) > len(h)) for h in families]
-        assert simhash.word_fingerprints(t) == want
-
-
-def test_keep_one(docs, texts):
+def test_keep_one(docs):
+    """Of each component of the fingerprints the smallest doc_id, nulls last, by brute force."""
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) + (ids.count(4) - 1)
-    assert {1, 12, 13} & set(ids) == {1} and not {0, 14} <= set(ids)
-    assert set(range(12)) <= set(ids) and {15, 16, 17, 21, 23, 24} <= set(ids)
+    rows, least = docs.collect(), {}
+    for r, x in zip(rows, [labels[r.doc_id, r.text] for labels in [brute_components(docs)] for r in rows], strict=True):
+        key = (r.doc_id is None, r.doc_id or 0)
+        least[x] = min(least.get(x, key), key)
+    out = kept.collect()
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in out) == Counter(least.values())
+    assert set(map(tuple, out)) <= set(map(tuple, rows))
+
+
+def brute_components(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    prints = [simhash.fingerprint(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min(label[j] for j in range(len(rows)) if (prints[i] ^ prints[j]).bit_count() <= 3) for i in range(len(rows))]
+    return {row: x for row, x in zip(rows, label, strict=True)}
 
 
-def test_keep_one_is_not_misled_by_a_repeated_line(spark):
-    r, line = random.Random(6), " ".join(f"c{i}" for i in range(8))
-    rows = [" ".join([*(f"v{r.randrange(10 ** 7)}" for _ in range(100)), *[line] * r.randint(20, 60)]) for _ in range(60)]
-    docs = spark.createDataFrame([(i, t, "en", "a", len(t), 7, "s") for i, t in enumerate([*rows, *rows[:5]])], SCHEMA)
-    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == list(range(60))
+def test_keep_one_takes_the_same_row_in_every_order(spark):
+    rows = [(1, "one text of some words", lang, "s", 3, 7, size) for lang in ("en", "fr", None) for size in ("x", "y")]
+    got = {tuple(simhash.keep_one(spark.createDataFrame(order, SCHEMA).repartition(n)).first()) for n, order in ((1, rows), (3, rows), (2, rows[::-1]))}
+    assert len(got) == 1 and got <= set(rows)
 
 
 def test_components(spark):
@@ -313,6 +292,44 @@ def test_language(spark):
     assert language.accepted(docs).count() == 91
 
 
+def plain_language(learned, text):
+    """Out-of-place distance by counting n-grams in loops."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    padded = " " + "".join(c for i, c in enumerate(letters) if c != " " or (i and letters[i - 1] != " ")).strip() + " "
+    if not padded.strip():
+        return "und", 0.0
+    number = lambda g: sum((1 if c == " " else ord(c) + 1) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    n = Counter(number(padded[i:i + k]) for k in (1, 2, 3) for i in range(len(padded) - k + 1) if (padded[i] if k == 1 else padded[i + 1] if k == 3 else padded[i:i + 2].strip()) not in (" ", ""))
+    own = dict(sorted(n.items(), key=lambda x: (-x[1], x[0]))[:language.PROFILE])
+    best = None
+    for name in sorted(learned):
+        place = {g: i for i, g in enumerate(learned[name])}
+        far = sum(abs(place.get(g, language.PROFILE) - sum(m > c for m in own.values())) for g, c in own.items())
+        if best is None or far < best[0]:
+            best = (far, name)
+    return best[1], 1 - best[0] / (len(own) * language.PROFILE)
+
+
+def test_language_equals_plain_counting(spark, texts):
+    many = " ".join(chr(c) for c in range(0x4E00, 0x4E00 + 400))
+    more = [many, "".join(chr(c) for c in range(0x4E00, 0x5400)), "ñ", "a1b", "  x  y ", "İß ﬁ Ω", many * 3 + " der die das", "\U0001F642 a", "x" * 3000 + " y"]
+    every = [t for t in [*texts, *more]]
+    rows = [(i, t, ("aa", "bb", "cc")[i % 3], "s", 0, 0, "") for i, t in enumerate(every)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    learned = language.profiles(docs.where(~language.held_out()))
+    assert all(len(p) <= language.PROFILE for p in learned.values())
+    for r in language.identify(docs).collect():
+        lang, score = plain_language(learned, every[r.doc_id])
+        assert (r.lang_pred, r.score) == (lang, pytest.approx(score)) and 0 <= r.score <= 1
+
+
+def test_language_of_many_letters_without_the_table(monkeypatch, texts):
+    learned = {"aa": [98 << 21 | 99, 98, 110], "bb": [120, 121]}
+    want = language.predict(learned, texts)
+    monkeypatch.setattr(language, "TABLE", 0)
+    assert language.predict(learned, texts) == want
+
+
 def test_targets_and_seats():
     assert mixing.targets([10, 1000, 1000], [5, 2, 1]) == [Fraction(30), Fraction(3960, 3), Fraction(1980, 3)]
     shares, blocks = [Fraction(x) for x in (53, 24, 23)], 17
@@ -334,3 +351,19 @@ def test_mixture(docs):
     taken = mixing.take(docs)
     assert taken.columns == docs.columns
     assert sum(len(r.text.split()) for r in taken.collect()) == sum(r.taken for r in out)
+
+
+def test_take_keeps_equal_rows_of_two_sources_apart(spark):
+    rows = [(1, "x y z w", s, lang, 1, 2, "") for s, lang in (("en", "s1"), ("fr", "s2"), ("de", "s2"))]
+    rows = [(i, t, lang, source, 0, 0, "") for i, t, lang, source, *_ in rows]
+    rows += [(2, "x y z w " * 40, "en", "s1", 0, 0, ""), (3, "a b c d " * 40, "fr", "s2", 0, 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = mixing.take(docs).collect()
+    taken = Counter()
+    for r in mixing.mixed(docs)[0].collect():
+        taken[r.source] += r.taken
+    words = Counter()
+    for r in out:
+        words[r.source] += len(r.text.split())
+        assert (r.source, r.lang) in {("s1", "en"), ("s2", "fr"), ("s2", "de")}
+    assert words == +taken
