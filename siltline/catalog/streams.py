@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,7 @@ from siltline.catalog.models import READINGS, readings_columns
 from siltline.plans.silver import weather_daily_readings
 from siltline.sources import landing
 from siltline.sources.schemas import RAW_COLUMNS, silver_table
-from siltline.streaming import dedup_stream, incremental, sums
+from siltline.streaming import dedup_stream, first_rows, incremental, sums
 
 
 @query("o1_incremental", READINGS)
@@ -85,3 +87,38 @@ def stream_dedup(t: Inputs):
     first = dedup_stream.first_seen(stream.select("ts", "user_id", "event_type"), ["user_id", "event_type"], "ts", "40 days")
     dedup_stream.append_available(first.select("user_id", "event_type"), target, checkpoint)
     return t.spark.read.schema(first.select("user_id", "event_type").schema).parquet(target)
+
+
+# Readings as they are landed: the early ones, the later ones, and then some of the first days again under other numbers.
+ARRIVALS = """
+select 1 as turn, event_id, ts, event_type, value from {events} where event_id < (select count(*) from {events}) / 2
+union all select 2 as turn, event_id, ts, event_type, value from {events} where event_id >= (select count(*) from {events}) / 2
+union all select 3 as turn, -event_id as event_id, ts, event_type, value from {events} where cast(ts as date) in (date '2024-01-02', date '2024-01-28', date '2024-01-29')
+"""
+DELAY_DAYS = 4
+
+
+@query(
+    "o2_first_reading",
+    f"""
+    with a as ({ARRIVALS}), ends as (select max(ts) - interval {DELAY_DAYS} day as mark from {{events}}),
+    judged as (select a.*, turn = 3 and cast(ts as date) + interval 1 day <= mark as late from a, ends),
+    first as (select *, row_number() over (partition by cast(ts as date), event_type order by ts, event_id) as rn from judged where not late)
+    select cast(event_id as bigint) as event_id, event_type, value, cast(null as string) as reason from first where rn = 1
+    union all select cast(event_id as bigint) as event_id, event_type, value, 'came after its window was closed' as reason from judged where late
+    """,
+)
+def first_reading(t: Inputs):
+    """Three landings, each drained by a run of its own. The third brings a day that is closed and two that are not."""
+    root, target, checkpoint = t.folder("o2_landed"), t.folder("o2_first"), t.folder("o2_first_checkpoint")
+    arrivals = t.derive(ARRIVALS).withColumn("ts", F.col("ts").cast("string"))
+    names = ["event_id", "ts", "event_type", "value"]
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+    kept = first_rows.FirstRows(t.spark, target, schema, ["event_type"], "ts", ["ts", "event_id"], delay=timedelta(days=DELAY_DAYS))
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    for turn in (1, 2, 3):
+        landing.write_csv(arrivals.where(F.col("turn") == turn).select(*names), root, mode="append")
+        incremental.drain_files(t.spark, root, raw, lambda rows, batch_id: kept.take(
+            rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]), batch_id), checkpoint)
+    given = kept.rows(with_open=True).withColumn("reason", F.lit(None).cast("string"))
+    return given.unionByName(kept.late()).select("event_id", "event_type", "value", "reason")

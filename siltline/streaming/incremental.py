@@ -72,9 +72,30 @@ def run_available(
 ) -> None:
     """Process the files that arrived since the last run, then stop.
 
+    ``transform`` is the plain batch function of the silver table; it gets each micro-batch of ``drain_files`` with its position
+    columns.
+    """
+    def take(rows: DataFrame, batch_id: int) -> None:
+        upsert_first(rows.sparkSession, transform(rows), target, f"{checkpoint}/merged", schema, keys, partition_by)
+
+    drain_files(spark, source, raw_schema, take, f"{checkpoint}/stream", max_files_per_batch, timeout, file_format)
+
+
+def drain_files(
+    spark: SparkSession,
+    source: str,
+    raw_schema: T.StructType,
+    take: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    max_files_per_batch: int | None = None,
+    timeout: int | None = None,
+    file_format: str = "csv",
+) -> None:
+    """Gives the files that arrived since the last run to ``take``, micro-batch by micro-batch, then stops.
+
     The checkpoint remembers processed files, so nothing is read twice. The stream is one of file names; each
-    micro-batch reads its files as a batch job would, CSV by the header of each file. ``transform`` is the plain batch
-    function of the silver table; it gets each micro-batch with its position columns.
+    micro-batch reads its files as a batch job would, CSV by the header of each file, with position columns. A batch
+    that broke off comes again under its number.
     """
     reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
     if max_files_per_batch:
@@ -90,14 +111,9 @@ def run_available(
             rows = read_raw_csv(own, paths, raw_schema.names, position=True)
         else:
             rows = with_position(own.read.format(file_format).schema(raw_schema).load(paths))
-        upsert_first(own, transform(rows), target, f"{checkpoint}/merged", schema, keys, partition_by)
-
-    query = (
-        files.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{checkpoint}/stream")
-        .trigger(availableNow=True)
-        .start()
-    )
+        take(rows, batch_id)
+
+    query = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finish(query, timeout)
 
 
