@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -13,77 +13,159 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import Scratch, mix, partitions
+from siltline.llm.common import _MIX_1, _MIX_2, Scratch, mix, partitions
 
-#: Samples of a fingerprint, 16 bits each; a worker remembers what is drawn for 2 ** KEPT_BITS terms at most.
-SAMPLES, KEPT_BITS, SEED = 64, 17, 2010
+#: Samples of a fingerprint, 16 bits each, and the seed. A worker remembers 2 ** KEPT_BITS terms of weight one and 2 ** HEAVY_BITS others.
+SAMPLES, KEPT_BITS, HEAVY_BITS, SEED = 64, 18, 15, 2010
 _ROWS = 4096
 
 
-class _Gammas:
-    """r, ln c and beta of terms in every sample: r and c are Gamma(2, 1), beta is uniform; all from the 64-bit hash of
-    the term and the number of the sample. What a slot holds is used for the very same term only."""
+def _scrambled(x: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """``mix``, in the place of its argument."""
+    for shift, factor in ((30, _MIX_1), (27, _MIX_2)):
+        np.bitwise_xor(x, np.right_shift(x, np.uint64(shift), out=held), out=x)
+        np.multiply(x, factor, out=x)
+    return np.bitwise_xor(x, np.right_shift(x, np.uint64(31), out=held), out=x)
 
-    def __init__(self, samples: int, bits: int, seed: int):
-        self.shift = np.uint64(64 - bits)
-        with np.errstate(over="ignore"):
-            self.sample = mix(np.arange(samples, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 40) + np.uint64(1))
-        self.tag, self.full = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool)
-        self.held = [np.empty((1 << bits, samples), np.float32) for _ in range(3)]
 
-    def draw(self, terms: np.ndarray) -> list[np.ndarray]:
-        x = mix(mix(terms)[:, None] ^ self.sample)
-        y = mix(x ^ np.uint64(0xC0FFEE))
-        part = lambda v: (v.astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
-        low = np.uint64((1 << 24) - 1)
-        r, c = (np.maximum(-np.log(part(v >> np.uint64(40)) * part(v >> np.uint64(16) & low)), np.float32(1e-7)) for v in (x, y))
-        return [r, np.log(c), part((x & np.uint64(0xFFFF)) << np.uint64(8) | y & np.uint64(0xFF))]
+def _fraction(v: np.ndarray) -> np.ndarray:
+    """24 bits as a number between 0 and 1."""
+    f = v.astype(np.uint32).astype(np.float32)
+    f += np.float32(0.5)
+    f /= np.float32(1 << 24)
+    return f
 
-    def of(self, terms: np.ndarray) -> list[np.ndarray]:
+
+class _Kept:
+    """What ``make`` gives for a term, remembered in the slot of its hash; what a slot holds is used for the very same term only."""
+
+    def __init__(self, make, width: int, bits: int):
+        self.make, self.shift = make, np.uint64(64 - bits)
+        self.tag, self.full, self.held = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool), np.empty((1 << bits, width), np.float32)
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
         slot = (terms >> self.shift).astype(np.int64)
         new = np.flatnonzero(~self.full[slot] | (self.tag[slot] != terms))
-        out = [h[slot] for h in self.held]
+        out = self.held.take(slot, 0)
         if len(new):
-            drawn = self.draw(terms[new])
+            made = self.make(terms[new])
+            out[new] = made
             into, one = np.unique(slot[new], return_index=True)
-            self.tag[into], self.full[into] = terms[new[one]], True
-            for o, h, d in zip(out, self.held, drawn, strict=True):
-                o[new] = d
-                h[into] = d[one]
+            self.tag[into], self.full[into], self.held[into] = terms[new[one]], True, made[one]
         return out
 
 
-@lru_cache(maxsize=2)
-def _gammas(samples: int, bits: int, seed: int) -> _Gammas:
-    return _Gammas(samples, bits, seed)
+class _Gammas:
+    """r, ln c and beta of terms in every sample: r and c are Gamma(2, 1), beta is uniform; all from the 64-bit hash of
+    the term and the number of the sample. A term of weight one has level zero, so its ln a is one number for each sample."""
 
+    def __init__(self, samples: int, seed: int):
+        self.samples = samples
+        with np.errstate(over="ignore"):
+            self.sample = mix(np.arange(samples, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 40) + np.uint64(1))
+        self.ones, self.heavy = _Kept(self._at_one, samples, KEPT_BITS), _Kept(self._side_by_side, 3 * samples, HEAVY_BITS)
 
-def terms(text: str) -> Counter:
-    """Pairs of neighbouring words with their counts; the word itself if there is one only."""
-    words = text.encode().split()
-    return Counter(zip(words, words[1:], strict=False)) if len(words) > 1 else Counter((w,) for w in words)
+    def draw(self, terms: np.ndarray) -> list[np.ndarray]:
+        """In place as far as it goes, as these arrays are what takes the time."""
+        held = np.empty((len(terms), self.samples), np.uint64)
+        x = _scrambled(mix(terms)[:, None] ^ self.sample, held)
+        y = _scrambled(x ^ np.uint64(0xC0FFEE), held)
+        low, out = np.uint64((1 << 24) - 1), []
+        for v in (x, y):
+            a = _fraction(np.right_shift(v, np.uint64(40), out=held))
+            np.right_shift(v, np.uint64(16), out=held)
+            a *= _fraction(np.bitwise_and(held, low, out=held))
+            np.negative(np.log(a, out=a), out=a)
+            out.append(np.maximum(a, np.float32(1e-7), out=a))
+        np.log(out[1], out=out[1])
+        np.left_shift(np.bitwise_and(x, np.uint64(0xFFFF), out=held), np.uint64(8), out=held)
+        return [*out, _fraction(np.bitwise_or(held, np.bitwise_and(y, np.uint64(0xFF), out=y), out=held))]
+
+    def _at_one(self, terms: np.ndarray) -> np.ndarray:
+        r, ln_c, beta = self.draw(terms)
+        return ln_c - r * (np.float32(0) - beta + 1)
+
+    def _side_by_side(self, terms: np.ndarray) -> np.ndarray:
+        return np.concatenate(self.draw(terms), 1)
+
+    def of(self, terms: np.ndarray) -> list[np.ndarray]:
+        return np.split(self.heavy.of(terms), 3, 1)
 
 
-def sample(counts: Counter, samples: int = SAMPLES, bits: int = KEPT_BITS, seed: int = SEED) -> np.ndarray:
-    """16 bits for each sample of a weighted set. Two sets agree in a sample with the probability of their generalised
-    Jaccard similarity (sum of smaller weights by sum of larger), up to 2 ** -16."""
-    if not counts:
+@lru_cache(maxsize=2)
+def _gammas(samples: int, seed: int) -> _Gammas:
+    return _Gammas(samples, seed)
+
+
+class Pairs:
+    """The words of a text and the hash of each pair of neighbours in their order; of the word itself if there is one only."""
+
+    def __init__(self, text: str, seed: int = SEED, known: list[tuple[int, np.ndarray]] = ()):
+        """``known``: hashes that are known of stretches of this text, by the place of their first pair."""
+        self.words, self.seed = text.encode().split(), seed
+        if len(self.words) < 2:
+            self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
+            return
+        self.hashes, at = np.empty(len(self.words) - 1, np.uint64), 0
+        for place, own in known:
+            self.hashes[at:place] = self._hashed(at, place)
+            self.hashes[place:place + len(own)] = own
+            at = place + len(own)
+        self.hashes[at:] = self._hashed(at, len(self.hashes))
+
+    def _hashed(self, first: int, last: int) -> np.ndarray:
+        if first >= last:
+            return np.zeros(0, np.uint64)
+        words = self.words[first:last + 1]
+        line, stops = b" ".join(words), list(accumulate(len(w) + 1 for w in words))
+        return np.fromiter((xxhash.xxh64_intdigest(line[a:b - 1], self.seed) for a, b in zip([0, *stops[:-2]], stops[1:], strict=True)), np.uint64, last - first)
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(self.hashes, return_counts=True)
+
+
+def joined(before: Pairs, head: str, after: Pairs, tail: str) -> Pairs:
+    """The pairs of ``head + tail``, the beginning of one text and that of another; those that both cuts leave whole are not hashed again."""
+    m, n = len(head.encode().split()), len(tail.encode().split())
+    whole = len((head + tail).encode().split())
+    first, last = before.hashes[:max(0, m - 2)], after.hashes[1:max(1, n - 2)]
+    if len(before.words) < 2 or len(after.words) < 2 or whole < 2:
+        return Pairs(head + tail)
+    # the words of the tail but its first end the whole text, and the pairs among them but the last are as in ``after``
+    return Pairs(head + tail, known=[(0, first), (whole - n + 1, last)] if n > 3 else [(0, first)])
+
+
+def terms(text: str, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the different pairs of neighbouring words of a text and their counts."""
+    return Pairs(text, seed).counted()
+
+
+def sample(counted: tuple[np.ndarray, np.ndarray], samples: int = SAMPLES, seed: int = SEED) -> np.ndarray:
+    """16 bits for each sample of a weighted set, given as ascending hashes of its terms and their weights. Two sets agree in a sample with
+    the probability of their generalised Jaccard similarity (sum of smaller weights by sum of larger), up to 2 ** -16."""
+    kinds, counts = counted
+    if not len(kinds):
         return np.zeros(samples, np.uint16)
-    where = np.fromiter((xxhash.xxh64_intdigest(b" ".join(t), seed) for t in counts), np.uint64, len(counts))
-    kinds, back = np.unique(where, return_inverse=True)
-    weight = np.log(np.bincount(back, weights=np.fromiter(counts.values(), np.float64, len(counts)))).astype(np.float32)
-    gammas = _gammas(samples, bits, seed)
+    gammas = _gammas(samples, seed)
     best, term, level = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
-    every = np.arange(samples)
-    for at in range(0, len(kinds), _ROWS):
-        k = kinds[at:at + _ROWS]
+
+    def compare(k: np.ndarray, ln_a: np.ndarray, t: np.ndarray | None) -> None:
+        low = ln_a.min(0)
+        for i in np.flatnonzero(low <= best).tolist():
+            row = int(ln_a[:, i].argmin())
+            if low[i] < best[i] or k[row] < term[i]:  # of equal ones the term that comes first
+                best[i], term[i], level[i] = low[i], k[row], 0 if t is None else int(t[row, i])
+
+    light = kinds[counts == 1]
+    for at in range(0, len(light), _ROWS):
+        k = light[at:at + _ROWS]
+        compare(k, gammas.ones.of(k), None)
+    heavy, weight = kinds[counts > 1], np.log(counts[counts > 1].astype(np.float64)).astype(np.float32)
+    for at in range(0, len(heavy), _ROWS):
+        k = heavy[at:at + _ROWS]
         r, ln_c, beta = gammas.of(k)
         t = np.floor(weight[at:at + _ROWS, None] / r + beta)
-        ln_a = ln_c - r * (t - beta + 1)
-        row = ln_a.argmin(0)
-        low = ln_a[row, every]
-        less = low < best
-        best[less], term[less], level[less] = low[less], k[row[less]], t[row[less], every[less]].astype(np.int64)
+        compare(k, ln_c - r * (t - beta + 1), t)
     return (mix(term ^ mix(level.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16)
 
 
@@ -95,23 +177,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, guest, doc_id, text) in order: each own row with the next row of its part."""
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    waiting = None  # part, doc_id, text, terms, fingerprint
+    waiting = None  # part, doc_id, text, pairs, fingerprint
     for batch in batches:
         out = []
         for part, guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if guest and (waiting is None or waiting[0] != part):
                 continue  # a second guest of the part
-            counts = terms(text)
-            own = sample(counts)
+            pairs = Pairs(text)
+            own = sample(pairs.counted())
             if waiting is not None:
                 assert waiting[0] == part, "a part without a next document"
-                _, last_id, last, last_print = waiting
+                _, last_id, last, last_pairs, last_print = waiting
                 n = len(last) // 3
                 edited = last[:len(last) - n] + text[:n]
-                changed = last_print if edited == last else sample(terms(edited))
+                changed = last_print if edited == last else sample(joined(last_pairs, last[:len(last) - n], pairs, text[:n]).counted())
                 out.append((last_id, len(last), hashlib.sha256(edited.encode()).hexdigest(), last_print.tobytes().hex(),
                             changed.tobytes().hex(), likeness(last_print, changed), likeness(last_print, own)))
-            waiting = None if guest else (part, doc_id, text, own)
+            waiting = None if guest else (part, doc_id, text, pairs, own)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 7, types, strict=True)], names=names)
 
 
