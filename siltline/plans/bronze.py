@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +47,20 @@ def file_resource(payloads: DataFrame, source: str, day: date, default_name: str
     found = payload.pick_resource(payloads, "body", default_name)
     key = landing.landing_key(source, day, F.col("file_name"))
     return found.withColumn("landing_key", F.when(F.col("status") == "ok", key))
+
+
+#: Payloads by source: their columns, and what they become.
+PAYLOADS = {
+    "weather": ("province string, latitude double, longitude double, body string", weather_rows),
+    "worldbank": ("indicator string, indicator_code string, body string", indicator_rows),
+}
+
+
+def ingest(spark: SparkSession, source: str, payloads: str, root: str, ledger: str, day: date, ingested_at: datetime) -> str:
+    """Payload files (JSON lines) to raw rows, landed once for a source, month and file name; returns the status.
+
+    A payload that is malformed adds no rows. The ledger says where the rows came from.
+    """
+    columns, rows_of = PAYLOADS[source]
+    rows = rows_of(spark.read.schema(columns).json(payloads))
+    return landing.land_once(rows, root, source, day, f"{source}.csv", ledger, ingested_at, payloads=payloads)

@@ -1,7 +1,7 @@
 """Raw files to checked star schema, through the job entry points."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 from siltline.__main__ import main
 from siltline.plans import bronze
@@ -36,6 +36,24 @@ def test_file_resource(frame):
     assert tuples(out, "status", "landing_key") == [("api_error", None), ("ok", "source=indec/year=2024/month=03/x.csv")]
 
 
+def test_payload_files_are_landed_once(spark, frame, tmp_path, capsys):
+    """The jobs from payload files to raw rows, and the list of what is still to be requested."""
+    payloads, raw, ledger, silver = (f"{tmp_path}/{x}" for x in ("payloads", "bronze", "ledger", "silver"))
+    rows = [("salta", -24.8, -65.4, weather_body("2024-01-01", "2024-01-02")), ("cordoba", -31.4, -64.2, "{broken"), ("la_pampa", -36.6, -64.3, json.dumps({"daily": {}}))]
+    frame("province string, latitude double, longitude double, body string", *rows).write.json(payloads)
+    once = ["bronze", "weather", "--payloads", payloads, "--bronze", raw, "--ledger", ledger, "--day", "2024-03-01", "--ingested-at", "2024-03-01T06:00:00"]
+    assert [main(once), main(once)] == [0, 0] and capsys.readouterr().out.split() == ["uploaded", "skipped"]
+    assert main(["silver", "weather_daily_readings", "--bronze", raw, "--target", f"{silver}/weather"]) == 0
+    assert tuples(spark.read.parquet(f"{silver}/weather"), "province", "date") == [("salta", date(2024, 1, 1)), ("salta", date(2024, 1, 2))]
+    landing.land_once(frame("a string", ("1",)), raw, "weather", date(2024, 3, 1), "weather_salta.csv", ledger, datetime(2024, 3, 1))
+    assert main(["requests", "--end", "2024-03-01", "--target", f"{tmp_path}/todo", "--ledger", ledger]) == 0
+    assert spark.read.json(f"{tmp_path}/todo").count() == 6
+    assert main(["requests", "--end", "2024-03-01", "--target", f"{tmp_path}/todo"]) == 0
+    assert spark.read.json(f"{tmp_path}/todo").count() == 7
+    assert main(["profile", "--bronze", f"{raw}/source=weather", "--target", f"{tmp_path}/profile"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/profile").count() >= len(RAW_COLUMNS["weather_daily_readings"]) + 1
+
+
 def test_whole_run(spark, frame, tmp_path, capsys):
     raw, silver, gold, day = f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold", date(2024, 3, 1)
     weather = bronze.weather_rows(frame("province string, latitude double, longitude double, body string", ("salta", -24.8, -65.4, weather_body("2024-01-01", "2024-01-02"))))
