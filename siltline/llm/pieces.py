@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,85 @@ DRAWN = 32
 SHORT = 48
 _SPACE = "▁"
 _NEVER = 1 << 30
+_ALL = (1 << 64) - 1
+#: Characters of texts whose new words are segmented together, about, and words that are looked at at once.
+TOGETHER, ROWS = 1 << 19, 1 << 13
+
+
+class _Agenda:
+    """The agenda of many short words at a time: a row for each word, its symbols and the ranks of neighbours in columns. In each turn
+    every word takes its next candidate, the leftmost of the best, and merges or skips it."""
+
+    def __init__(self, rank: dict[str, int], ids: dict[str, int]):
+        symbols = [p for p, _ in sorted(rank.items(), key=lambda x: x[1])]  # what merges make is numbered in the order of ranks
+        symbols += sorted({c for p in symbols for c in p} | {p for p in ids if len(p) == 1})
+        self.number = {p: n for n, p in enumerate(symbols)}
+        self.single = np.full(0x110000, -1, np.int32)  # by code point
+        for p, n in self.number.items():
+            if len(p) == 1:
+                self.single[ord(p)] = n
+        self.id = np.array([ids.get(p, -1) for p in symbols], np.int32)
+        pairs = {(self.number[p[:i]] << 20) | self.number[p[i:]]: self.number[p] for p in rank for i in range(1, len(p)) if p[:i] in self.number and p[i:] in self.number}
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.made = np.array([pairs[x] for x in self.pairs.tolist()], np.int32)
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What neighbours merge to; numbers below zero are no symbols."""
+        want = (a.astype(np.int64) << 20) | b
+        at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.pairs[at] == want), self.made[at], _NEVER).astype(np.int32)
+
+    def segment(self, words: list[tuple[str, int]]) -> list[bytes | None]:
+        """Packed ids of words for their choices; None where a symbol has no id."""
+        out: list[bytes | None] = [None] * len(words)
+        order = np.argsort(np.fromiter((len(u) for u, _ in words), np.int64, len(words)), kind="stable").tolist()
+        for at in range(0, len(order), ROWS):
+            own = order[at:at + ROWS]
+            for i, ids in zip(own, self._rows([words[i] for i in own]), strict=True):
+                out[i] = ids
+        return out
+
+    def _rows(self, words: list[tuple[str, int]]) -> list[bytes | None]:
+        n, width = len(words), max(2, len(words[-1][0]))
+        size = np.fromiter((len(u) for u, _ in words), np.int64, n)
+        flat = self.single[np.frombuffer("".join([u for u, _ in words]).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        column = np.arange(width)
+        there = column < size[:, None]
+        symbol = np.full((n, width + 1), -1, np.int32)
+        symbol[:, :width][there] = flat
+        rank = self._rank(symbol[:, :-1], symbol[:, 1:])  # of a column and the one after it
+        after = np.tile(np.arange(1, width + 2, dtype=np.int16), (n, 1))
+        before = np.tile(np.arange(-1, width, dtype=np.int16), (n, 1))
+        mask, live = np.array([m for _, m in words], np.uint64), np.arange(n)
+        while len(live):
+            own = rank[live]
+            k = own.argmin(1)
+            best = own[np.arange(len(live)), k]
+            going = best < _NEVER
+            live, k, best = live[going], k[going], best[going]
+            skipped = (mask[live] & np.uint64(1)).astype(bool)
+            mask[live] >>= np.uint64(1)
+            rank[live[skipped], k[skipped]] = _NEVER
+            row, left, made = live[~skipped], k[~skipped], best[~skipped]
+            right = after[row, left]
+            beyond = np.minimum(after[row, right], width)
+            symbol[row, left], symbol[row, right] = made, -2
+            after[row, left] = beyond
+            before[row, beyond] = left
+            inside = right < width
+            rank[row[inside], right[inside]] = _NEVER
+            rank[row, left] = self._rank(made, symbol[row, beyond])
+            first = before[row, left]
+            has = first >= 0
+            rank[row[has], first[has]] = self._rank(symbol[row[has], first[has]], made[has])
+        kept = symbol[:, :width][there]
+        word = np.repeat(np.arange(n), size)[kept != -2]
+        kept = kept[kept != -2]
+        ids = np.where(kept >= 0, self.id[kept], -1)
+        whole = np.ones(n, bool)
+        whole[word[ids < 0]] = False
+        packed, edge = ids.astype("<i4").tobytes(), (4 * np.searchsorted(word, np.arange(n + 1))).tolist()
+        return [packed[a:b] if w else None for a, b, w in zip(edge[:-1], edge[1:], whole.tolist(), strict=True)]
 
 
 class Pieces:
@@ -53,9 +133,9 @@ class Pieces:
                 self.raw.append(piece.replace(_SPACE, " ").encode())
                 merged.append((-sp.get_score(i), i, piece))
         self.rank = {p: n for n, (_, _, p) in enumerate(sorted(merged)) if len(p) > 1}
+        self._agenda = _Agenda(self.rank, self.ids)
         self.limit, self.seed = round(dropout * 65536), seed
-        self._plain: dict[str, bytes] = {}
-        self._varied: dict[tuple[str, int], bytes] = {}
+        self._known: dict[str | tuple[str, int], bytes] = {}
         self._packed = [i.to_bytes(4, "little") for i in range(len(self.raw))]
         self._spelled = [self._packed[i] for i in self.byte]
         self._unit = re.compile(f"\n|{_SPACE}+[^{_SPACE}\n]*|[^{_SPACE}\n]+")
@@ -79,6 +159,8 @@ class Pieces:
 
     def _segment(self, unit: str, mask: int) -> bytes:
         """Packed ids of the symbols that are left when no candidate merge is."""
+        if not unit:
+            return b"".join(self._spelled[b] for b in _SPACE.encode())
         symbols = self._merge_short(unit, mask) if len(unit) <= SHORT else self._merge_long(unit, mask)
         out, ids, packed = [], self.ids, self._packed
         for s in symbols:
@@ -136,55 +218,80 @@ class Pieces:
                 heapq.heappush(agenda, (r, h, i, size + len(text[h])))
         return [s for s in text if s is not None]
 
-    def _choices(self, unit: str, key: int, place: int, mask: int) -> int:
-        """The choices that can count for a word: at most one for each merge and for each one skipped before."""
-        least = n = len(unit) - 1
-        while (more := least + (mask & ((1 << n) - 1)).bit_count()) > n:
+    def _choices(self, units: list[str], key: int) -> list[int]:
+        """For each word the choices that can count for it: at most one for each merge and for each one skipped before."""
+        masks = np.array(self._draws(key, len(units)), np.uint64)
+        least = np.maximum(np.fromiter(map(len, units), np.int64, len(units)) - 1, 0)
+        n = np.minimum(least, DRAWN)
+        low = lambda n: (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
+        while ((more := np.minimum(least + np.bitwise_count(masks & low(n)), DRAWN)) > n).any():
             n = more
-            if n > DRAWN:
-                break
-        if n > DRAWN and mask.bit_length() <= DRAWN:
-            mask = self._more(unit, key, place, mask)
-            n = least
-            while (more := least + (mask & ((1 << n) - 1)).bit_count()) > n:
-                n = more
-        return mask & ((1 << n) - 1)
-
-    def encode(self, text: str, key: int = 0) -> bytes:
-        """Ids of a text, four bytes each. A literal word mark is spelled in bytes, so that decoding restores it.
+        out = (masks & low(n)).tolist()
+        if self.limit:
+            for place in np.flatnonzero(least + np.bitwise_count(masks & low(n)) > DRAWN).tolist():
+                n_all = first = int(least[place])
+                mask = self._more(units[place], key, place, int(masks[place]))
+                while (more := first + (mask & ((1 << n_all) - 1)).bit_count()) > n_all:
+                    n_all = more
+                out[place] = mask & ((1 << n_all) - 1)
+        return out
 
-        Every occurrence of a word has choices of its own, by the key and its place; what is remembered is the result of
-        a word for given choices, which depends on nothing else.
-        """
-        out, units = [], []
+    def _units(self, text: str) -> list[str]:
+        """The words of a text, each with its mark; a literal mark is an empty one."""
+        units = []
         for k, part in enumerate(text.split(_SPACE)):
             if k:
-                units.append(None)
+                units.append("")
             elif not part:
                 units += [_SPACE] if text else []
             marked = part.replace(" ", _SPACE)
             units += self._unit.findall(_SPACE + marked if part and not k else marked)
-        mark = b"".join(self._spelled[b] for b in _SPACE.encode())
-        plain, varied = self._plain, self._varied
-        for place, (unit, mask) in enumerate(zip(units, self._draws(key, len(units)), strict=True)):
-            if unit is None:
-                out.append(mark)
-                continue
-            if mask or len(unit) > DRAWN and self.limit:
-                mask = self._choices(unit, key, place, mask)
-            ids = varied.get((unit, mask)) if mask else plain.get(unit)
-            if ids is None:
-                ids = self._segment(unit, mask)
-                if len(unit) < 64:
-                    if len(varied) + len(plain) >= CACHE:
-                        varied.clear()
-                        plain.clear()
-                    if mask:
-                        varied[unit, mask] = ids
-                    else:
-                        plain[unit] = ids
-            out.append(ids)
-        return b"".join(out)
+        return units
+
+    def _learn(self, wanted: set[str | tuple[str, int]]) -> dict[str | tuple[str, int], bytes]:
+        """Segments words, alone or with the choices that skip something, the short ones many at a time."""
+        out, short, keys = {}, [], []
+        for x in wanted:
+            unit, mask = (x, 0) if isinstance(x, str) else x
+            if 0 < len(unit) <= SHORT and mask <= _ALL:
+                short.append((unit, mask))
+                keys.append(x)
+            else:
+                out[x] = self._segment(unit, mask)
+        for x, word, ids in zip(keys, short, self._agenda.segment(short), strict=True):
+            out[x] = self._segment(*word) if ids is None else ids
+        return out
+
+    def encode(self, text: str, key: int = 0) -> bytes:
+        """Ids of one text, four bytes each; see ``encode_all``."""
+        return self.encode_all([(text, key)])[0]
+
+    def encode_all(self, texts: list[tuple[str, int]]) -> list[bytes]:
+        """Ids of texts with their keys. A literal word mark is spelled in bytes, so that decoding restores it.
+
+        Every occurrence of a word has choices of its own, by the key and its place; what is remembered is the result of
+        a word for given choices, which depends on nothing else. Words that are new in some texts are segmented together.
+        """
+        out, at = [], 0
+        while at < len(texts):
+            stop, size, split = at, 0, []
+            while stop < len(texts) and size < TOGETHER:
+                units = self._units(texts[stop][0])
+                split.append([(u, m) if m else u for u, m in zip(units, self._choices(units, texts[stop][1]), strict=True)])
+                size += len(texts[stop][0])
+                stop += 1
+            known = self._known
+            every = set(chain.from_iterable(split))
+            new = self._learn(every.difference(known))
+            if len(known) + len(new) > CACHE:
+                known = self._known = {x: ids for x in every if (ids := known.get(x)) is not None}
+            known.update(new)
+            out += [b"".join([known[x] for x in words]) for words in split]
+            for x in new:
+                if len(x if isinstance(x, str) else x[0]) >= 64:
+                    del known[x]
+            at = stop
+        return out
 
     def decode(self, ids: bytes) -> str:
         raw = self.raw
@@ -196,16 +303,19 @@ class Pieces:
 
 
 def _with_pieces(docs: DataFrame, make, kind: str, model: str, dropout: float, seed: int):
-    """A column made by ``make(pieces, doc_id, text)``. The model is read once, on the driver, and broadcast (0.5 MB)."""
+    """A column made by ``make(pieces, ids, text)``. The model is read once, on the driver, and broadcast (0.5 MB)."""
     spark = prepare(docs.sparkSession)
     with open(model, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
     own: list[Pieces] = []
 
-    def run(ids: pa.Array, texts: pa.Array) -> pa.Array:
+    def run(doc_ids: pa.Array, texts: pa.Array) -> pa.Array:
         if not own:
             own.append(Pieces(shared.value, dropout, seed))
-        return pa.array([None if t is None else make(own[0], i, t) for i, t in zip(ids.to_pylist(), texts.to_pylist(), strict=True)], to)
+        texts = texts.to_pylist()
+        keyed = [(t, own[0].key(i)) for i, t in zip(doc_ids.to_pylist(), texts, strict=True) if t is not None]
+        ids = iter(own[0].encode_all(keyed))
+        return pa.array([None if t is None else make(own[0], next(ids), t) for t in texts], to)
 
     fields = dict(x.split(":") for x in kind[7:-1].split(","))
     arrow = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
@@ -221,8 +331,7 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
     run. Words of equal spelling with equal choices are segmented once for each worker, while it remembers them. A null text gives nulls, an empty one no ids; repeated rows
     give equal results; other columns are not read.
     """
-    def make(pieces: Pieces, doc_id: int | None, text: str) -> dict:
-        ids = pieces.encode(text, pieces.key(doc_id))
+    def make(pieces: Pieces, ids: bytes, text: str) -> dict:
         return {"ids": list(memoryview(ids).cast("i")), "decoded": pieces.decode(ids)}
 
     column = _with_pieces(docs, make, "struct<ids:array<int>,decoded:string>", model, dropout, seed)
@@ -232,8 +341,7 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
 def digests(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``(doc_id, n_chars, n_ids, ids_sha256, decoded_sha256)``: of the ids as little-endian 32-bit numbers, and of the
     decoded text in UTF-8. Nulls for a null text."""
-    def make(pieces: Pieces, doc_id: int | None, text: str) -> dict:
-        ids = pieces.encode(text, pieces.key(doc_id))
+    def make(pieces: Pieces, ids: bytes, text: str) -> dict:
         return {"n_chars": len(text), "n_ids": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
                 "decoded_sha256": hashlib.sha256(pieces.decode(ids).encode()).hexdigest()}
 

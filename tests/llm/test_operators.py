@@ -282,6 +282,33 @@ def test_pieces(docs):
     assert Counter((r.doc_id, r.decoded) for r in out) == Counter(rows_of(docs))
 
 
+def test_pieces_of_many_words_at_a_time(texts):
+    """The agenda of many words gives what each word's own agenda gives, for all kinds of choices; and texts together what they give alone."""
+    r = random.Random(12)
+    with open(pieces.MODEL, "rb") as f:
+        own = pieces.Pieces(f.read())
+    letters = "▁aeinrstéñ漢#&\x00🙂"
+    words = [("▁" * r.randrange(0, 3) + "".join(r.choice(letters) for _ in range(r.randrange(0, 40))) or "x", r.choice((0, 1, 2, 5, r.getrandbits(8), r.getrandbits(32)))) for _ in range(600)]
+    words += [("▁▁", 0), ("▁international", 0), ("▁international", 3), ("a", 1)]
+    for (unit, mask), ids in zip(words, own._agenda.segment(words), strict=True):
+        assert ids is None or ids == own._segment(unit, mask), unit
+    assert sum(ids is None for ids in own._agenda.segment(words)) < 600
+    keyed = [(t or "", i) for i, t in enumerate([*texts, "▁x ▁▁ y", "漢字 テスト", "\x00 a", " "])]
+    alone = [pieces.Pieces.encode(own, t, k) for t, k in keyed]
+    assert own.encode_all(keyed) == alone and [own.decode(x) for x in alone] == [t for t, _ in keyed]
+
+
+def test_pieces_with_a_small_memory(texts, monkeypatch):
+    with open(pieces.MODEL, "rb") as f:
+        model = f.read()
+    keyed = [(t or "", i) for i, t in enumerate(texts)]
+    want = pieces.Pieces(model).encode_all(keyed)
+    monkeypatch.setattr(pieces, "CACHE", 50)
+    monkeypatch.setattr(pieces, "TOGETHER", 300)
+    monkeypatch.setattr(pieces, "ROWS", 7)
+    assert pieces.Pieces(model).encode_all(keyed) == want
+
+
 def test_pieces_vary_by_occurrence():
     with open(pieces.MODEL, "rb") as f:
         model = f.read()
