@@ -148,13 +148,14 @@ def sample(counted: tuple[np.ndarray, np.ndarray], samples: int = SAMPLES, seed:
         return np.zeros(samples, np.uint16)
     gammas = _gammas(samples, seed)
     best, term, level = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
+    every = np.arange(samples)
 
     def compare(k: np.ndarray, ln_a: np.ndarray, t: np.ndarray | None) -> None:
-        low = ln_a.min(0)
-        for i in np.flatnonzero(low <= best).tolist():
-            row = int(ln_a[:, i].argmin())
-            if low[i] < best[i] or k[row] < term[i]:  # of equal ones the term that comes first
-                best[i], term[i], level[i] = low[i], k[row], 0 if t is None else int(t[row, i])
+        row = ln_a.argmin(0)
+        low, own = ln_a[row, every], k[row]
+        less = (low < best) | (low == best) & (own < term)  # of equal ones the term that comes first
+        best[less], term[less] = low[less], own[less]
+        level[less] = 0 if t is None else t[row[less], every[less]]
 
     light = kinds[counts == 1]
     for at in range(0, len(light), _ROWS):
