@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -18,6 +19,7 @@ from siltline.llm.common import _MIX_1, _MIX_2, Scratch, mix, partitions
 #: Samples of a fingerprint, 16 bits each, and the seed. A worker remembers 2 ** KEPT_BITS terms of weight one and 2 ** HEAVY_BITS others.
 SAMPLES, KEPT_BITS, HEAVY_BITS, SEED = 64, 18, 15, 2010
 _ROWS = 4096
+_LOW = 0 if sys.byteorder == "little" else 1  # the half of 64 bits that has the low ones
 
 
 def _scrambled(x: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -30,7 +32,7 @@ def _scrambled(x: np.ndarray, held: np.ndarray) -> np.ndarray:
 
 def _fraction(v: np.ndarray) -> np.ndarray:
     """24 bits as a number between 0 and 1."""
-    f = v.astype(np.uint32).astype(np.float32)
+    f = v.view(np.uint32)[:, _LOW::2].astype(np.float32)
     f += np.float32(0.5)
     f /= np.float32(1 << 24)
     return f
@@ -126,11 +128,12 @@ class Pairs:
 
 def joined(before: Pairs, head: str, after: Pairs, tail: str) -> Pairs:
     """The pairs of ``head + tail``, the beginning of one text and that of another; those that both cuts leave whole are not hashed again."""
-    m, n = len(head.encode().split()), len(tail.encode().split())
-    whole = len((head + tail).encode().split())
-    first, last = before.hashes[:max(0, m - 2)], after.hashes[1:max(1, n - 2)]
-    if len(before.words) < 2 or len(after.words) < 2 or whole < 2:
+    one, two, space = head.encode(), tail.encode(), b" \t\n\r\x0b\x0c"
+    m, n = len(one.split()), len(two.split())
+    if min(m, n) < 2:
         return Pairs(head + tail)
+    whole = m + n - int(one[-1] not in space and two[0] not in space)  # a word may run across
+    first, last = before.hashes[:m - 2], after.hashes[1:max(1, n - 2)]
     # the words of the tail but its first end the whole text, and the pairs among them but the last are as in ``after``
     return Pairs(head + tail, known=[(0, first), (whole - n + 1, last)] if n > 3 else [(0, first)])
 

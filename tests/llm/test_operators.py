@@ -170,7 +170,7 @@ def test_weighted_sampling_equals_plain_loops(texts):
 
 def test_pairs_of_joined_texts(texts):
     r = random.Random(6)
-    some = [t or "" for t in texts if len(t or "") < 4000] + [" a b", "a b ", "a", "", "ab cd ef gh ij", "é è ê ë"]
+    some = [t or "" for t in texts if len(t or "") < 4000] + [" a b", "a b ", "a", "", "ab cd ef gh ij", "é è ê ë", "\u00a0a b\u00a0c d \u2003", "\x1ca b c \x1c d e\x0b"]
     for _ in range(300):
         a, b = r.choice(some), r.choice(some)
         head, tail = a[:r.randrange(0, len(a) + 1)], b[:r.randrange(0, len(b) + 1)]
