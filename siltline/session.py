@@ -44,19 +44,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the folder that ``setCheckpointDir`` was given.
 
-    Where it is unset, a session with all its threads in one process (``local`` or ``local[n]``) gets a folder of its
-    own; any other is refused, because its executors would not see a folder of the driver.
+    As everywhere in Spark, a path without a file system is one of the default file system. Where neither is set, a session
+    with all its threads in one process (``local`` or ``local[n]``) gets a folder of its own, any other the warehouse. A folder
+    of the local file system that an executor does not see is refused: what is written there would be lost.
     """
-    root, one_process = spark.conf.get("spark.checkpoint.dir", None), re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", ""))
-    if root:
-        if not one_process and "://" not in root and not root.startswith(("file:", "hdfs:")):
-            raise RuntimeError(f"spark.checkpoint.dir has to name its file system: {root}")
-        return root.rstrip("/")
-    if not one_process:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    return _local_root()
+    one_process = re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", ""))
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = _local_root() if one_process else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_siltline"
+    fs, where = hadoop_path(spark, root)
+    root = fs.makeQualified(where).toString().rstrip("/")
+    if not one_process and fs.getUri().getScheme() == "file":
+        _seen_by_executors(spark, spark.sparkContext.applicationId, root)
+    return root
+
+
+@functools.cache
+def _seen_by_executors(spark: SparkSession, application: str, root: str) -> None:
+    """An executor reads a file of the driver, once for each application and folder."""
+    path = f"{root}/seen-{uuid.uuid4().hex}"
+    fs, where = hadoop_path(spark, path)
+    out = fs.create(where)
+    out.writeBytes("seen\n")
+    out.close()
+    try:
+        seen = spark.read.text(path).collect()
+    except Exception as e:
+        raise RuntimeError(f"executors do not see {root}: set spark.checkpoint.dir to a folder shared by driver and executors") from e
+    finally:
+        fs.delete(where, False)
+    if [r[0] for r in seen] != ["seen"]:
+        raise RuntimeError(f"executors do not see {root}: set spark.checkpoint.dir to a folder shared by driver and executors")
 
 
 @functools.cache
