@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltline.llm.common import Scratch
@@ -31,9 +30,10 @@ AROUND = ["{}", "copyright 2024 the authors {}", "{} see the license file for de
 NEAR_MISSES = ["the driver must carry a license and a permit", "he works under a general manager", "a public work of art in the city", "the university of california at berkeley",
                "terms and conditions apply to this offer", "the software is free to try for thirty days", "she studied at mit in the nineties", "an apache helicopter", "creative work in the commons",
                "version 2.0 of the report", "the foundation published the results", "permission to enter was granted", "attribution of the painting is unclear", "copy the file to this folder", "rights of the public"]
-#: Ordinary paragraphs of the corpus that are learned as none, at most; half of all rows calibrate.
+#: What the ordinary paragraphs of the corpus weigh together, in rows, at most; half of all rows calibrate.
 ORDINARY = 2000
-FEATURES = 1 << 13
+#: Steps of a probability.
+FINE = 1_000_000
 #: A prediction is confirmed by a template of the family that shares this part of its word pairs.
 SHARED = 0.6
 NONE, UNKNOWN = "none", "unknown"
@@ -134,48 +134,76 @@ def _apart(found: str) -> Column:
     return F.aggregate(order, none, lambda kept, x: F.when(F.exists(kept, lambda y: meets(x, y)), kept).otherwise(F.concat(kept, F.array(x)).cast("array<struct<place:int,n_lines:int,family:string,p:double>>")))
 
 
-def _training(ordinary: DataFrame) -> DataFrame:
-    """Rows (label, words, own): templates in several surroundings and with words left out, near misses, ordinary lines."""
-    spark = ordinary.sparkSession
+def _made(spark: SparkSession) -> DataFrame:
+    """Rows (label, words, learns): templates in several surroundings and with words left out, and near misses."""
     rows = [(family, around.format(t)) for family, ts in sorted(TEMPLATES.items()) for t in ts for around in AROUND]
     rows += [(NONE, around.format(t)) for t in NEAR_MISSES for around in AROUND]
     made = spark.createDataFrame(rows, "label string, line string").select("label", _words(F.col("line")).alias("words"))
     copies = made.select("label", "words", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("copy"))
     kept = F.filter("words", lambda w: (F.col("copy") == 0) | (F.pmod(F.xxhash64(w, F.col("copy"), F.size("words")), F.lit(10)) > 0))
-    made = copies.select("label", kept.alias("words"))
-    plain = ordinary.select(F.lit(NONE).alias("label"), "words")
-    # a row belongs to the half that learns or to the half that calibrates by its words
-    return made.unionByName(plain).select("label", "words", (F.pmod(F.xxhash64("words"), F.lit(2)) == 0).alias("learns"))
+    return copies.select("label", kept.alias("words")).select("label", "words", _learns().alias("learns"))
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[PipelineModel, list[str], float]:
+def _learns() -> Column:
+    """A row belongs to the half that learns or to the half that calibrates by its words."""
+    return F.pmod(F.xxhash64("words"), F.lit(2)) == 0
+
+
+def _vocabulary(made: DataFrame) -> list[str]:
+    """Words and pairs of the made rows, which bound their number, and a mark for each size of a line."""
+    known = made.select(F.explode(_grams(F.col("words"))).alias("gram")).distinct().collect()
+    return sorted(r[0] for r in known) + [f"#{k}" for k in range(1, 33)]
+
+
+def _featured(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``rows`` with ``features``: which of the vocabulary are among ``grams``, and the size of the line as a power of two."""
+    size = F.concat(F.lit("#"), F.length(F.bin(F.size("grams"))).cast("string"))
+    return CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True).transform(rows.withColumn("grams", F.concat("grams", F.array(size)))).drop("grams")
+
+
+def _places() -> Column:
+    """The places in the vocabulary of what a row has of it."""
+    return F.unwrap_udt("features")["indices"]
+
+
+def _as_places(templates: list[str], place: dict[str, int]) -> Column:
+    """The word pairs of templates by their place in the vocabulary."""
+    words = [t.split() for t in templates]
+    return F.array(*(F.array(*(F.lit(place[f"{a} {b}"]) for a, b in zip(w, w[1:], strict=False))) for w in words))
+
+
+def train(lines: DataFrame, made: DataFrame, vocabulary: list[str], scratch: Scratch) -> tuple[LogisticRegressionModel, list[str], float]:
     """The classifier, its families and the least probability at which it is believed.
 
-    Learns from the templates and a bounded sample (``ORDINARY``, in a seeded order) of lines of the corpus, notices by the
-    rule of the templates left out. The limit is such that at most one in a thousand calibration lines that are no notice
+    Learns from the made rows and from half of all lines of the corpus, ``lines(features, learns)``, notices by the rule of the templates
+    left out. Lines of equal features are one row that weighs as many; together they weigh no more than ``ORDINARY`` rows, as
+    they would outweigh the notices else. The limit is such that of the lines of the other half that are no notice at most one in a thousand
     would pass, and one half at least.
     """
-    lines = _paragraphs(docs).select("line", F.xxhash64("line").alias("order")).orderBy("order").limit(ORDINARY)
-    every = F.array(*(_literal_pairs(t) for f in sorted(TEMPLATES) for t in TEMPLATES[f]))
-    ordinary = lines.select(_words(F.col("line")).alias("words")).where(_shared(every, _grams(F.col("words"))) < SHARED)
-    rows = scratch.save(_training(ordinary).withColumn("grams", _grams(F.col("words"))))
+    every = _as_places([t for f in sorted(TEMPLATES) for t in TEMPLATES[f]], {w: i for i, w in enumerate(vocabulary)})
+    kinds = scratch.save(lines.groupBy("features", "learns").agg(F.count("*").alias("n")))
+    ordinary = kinds.where(_shared(every, _places()) < SHARED)
+    learned = ordinary.where("learns").agg(F.sum("n")).first()[0] or 0
     families = [NONE, *sorted(TEMPLATES)]
     index = F.array_position(F.array(*map(F.lit, families)), F.col("label")).cast("double") - 1
-    rows = rows.withColumn("index", index)
-    model = Pipeline(stages=[
-        HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True),
-        LogisticRegression(labelCol="index", featuresCol="features", elasticNetParam=0.5, regParam=0.002, maxIter=30, family="multinomial"),
-    ]).fit(rows.where("learns").coalesce(1))  # a bounded sample
-    others = model.transform(rows.where(f"not learns and label = '{NONE}'")).select(_best("probability")[1].alias("p"))
-    limit = others.agg(F.percentile("p", F.lit(0.999))).first()[0]
-    return model, families, max(0.5, limit or 0.0)
+    shown = _featured(made.withColumn("grams", _grams(F.col("words"))), vocabulary).select(index.alias("index"), "features", "learns", F.lit(1).cast("long").alias("n"), F.lit(1.0).alias("weight"))
+    weight = F.col("n") * F.lit(min(1.0, ORDINARY / 2 / max(1, learned)))
+    rows = shown.unionByName(ordinary.select(F.lit(0.0).alias("index"), "features", "learns", "n", weight.alias("weight")))
+    model = LogisticRegression(labelCol="index", weightCol="weight", elasticNetParam=0.5, regParam=0.002, maxIter=30, family="multinomial").fit(rows.where("learns"))
+    others = model.transform(rows.where("not learns and index = 0")).select("n", _best("probability")[1].alias("p"))
+    total = others.agg(F.sum("n")).first()[0] or 0
+    steps = others.where("p >= 0.5").groupBy(F.round(F.col("p") * FINE).alias("step")).agg(F.sum("n").alias("n"))  # half of FINE rows at most
+    above = F.sum("n").over(Window.orderBy(F.desc("step")))
+    last = steps.withColumn("above", above).where(F.col("above") * 1000 > total).agg(F.max("step")).first()[0]
+    scratch.drop(kinds)
+    return model, families, 0.5 if last is None else min(1.0, (last + 1) / FINE)
 
 
 def _best(probability: str) -> tuple[Column, Column]:
     """Index and probability of the likeliest family other than none."""
     p = F.slice(vector_to_array(F.col(probability)), 2, 1 << 20)
     top = F.array_max(p)
-    return F.array_position(p, top), top
+    return F.array_position(p, top), F.round(top, 6)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -186,16 +214,24 @@ def scan(docs: DataFrame) -> DataFrame:
     takes for a notice and no template confirms. A notice that is wrapped is found in a run of up to ``WRAPPED`` lines
     without an empty one between, and has the place of the first. Null and wordless texts have no paragraph; repeated rows give equal
     rows; an empty table gives no rows; other columns are not read.
+
+    Texts are cut into words once: what a line has of the vocabulary is written, and the classifier learns from it, is calibrated
+    by it and judges it.
     """
     scratch = Scratch(docs.sparkSession, "licences")
     marked = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
-    model, families, limit = train(marked, scratch)
-    lines = _bound(_bound(_paragraphs(marked), "words", _words(F.col("line"))), "grams", _grams(F.col("words"))).select("doc_id", "mark", "place", F.lit(1).alias("n_lines"), "grams")
+    made = scratch.save(_made(docs.sparkSession))
+    vocabulary = _vocabulary(made)
+    worded = _bound(_paragraphs(marked), "words", _words(F.col("line"))).withColumn("learns", _learns())
+    lines = _bound(worded, "grams", _grams(F.col("words"))).select("doc_id", "mark", "place", F.lit(1).alias("n_lines"), "learns", "grams")
+    runs = _wrapped(marked).withColumn("learns", F.lit(None).cast("boolean"))
+    every = scratch.save(_featured(lines.unionByName(runs), vocabulary))
+    model, families, limit = train(every.where("n_lines = 1").select("features", "learns"), made, vocabulary, scratch)
     place, probability = _best("probability")
-    scored = model.transform(lines.unionByName(_wrapped(marked))).select("doc_id", "mark", "place", "n_lines", "grams", place.alias("k"), probability.alias("p")).where(F.col("p") >= limit)
-    templates = F.create_map(*(x for i, f in enumerate(families[1:], 1) for x in (
-        F.lit(i), F.array(*(_literal_pairs(t) for t in TEMPLATES[f])))))
-    shared = _shared(templates[F.col("k").cast("int")], F.col("grams"))
+    scored = model.transform(every).select("doc_id", "mark", "place", "n_lines", "features", place.alias("k"), probability.alias("p")).where(F.col("p") >= limit)
+    at = {w: i for i, w in enumerate(vocabulary)}
+    templates = F.create_map(*(x for i, f in enumerate(families[1:], 1) for x in (F.lit(i), _as_places(TEMPLATES[f], at))))
+    shared = _shared(templates[F.col("k").cast("int")], _places())
     name = F.element_at(F.array(*map(F.lit, families[1:])), F.col("k").cast("int"))
     judged = scored.select("doc_id", "mark", "place", "n_lines", "p", F.when(shared >= SHARED, name).otherwise(F.lit(UNKNOWN)).alias("family"))
     notice = F.struct("place", "n_lines", "family", "p")
@@ -208,6 +244,7 @@ def scan(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("own_id"), F.col("mark").alias("own_mark"),
         F.array_sort(F.transform("kept", lambda x: F.struct(x["place"].alias("place"), x["family"].alias("family"), x["p"].alias("probability")))).alias("notices"),
         F.size(F.filter("open", lambda at: ~inside(at))).cast("long").alias("unknown")))
+    scratch.drop(every)
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.length(F.trim(x)) > 0))
     rows = marked.select("doc_id", "mark", n.cast("long").alias("n_paragraphs"))
     joined = rows.join(found, rows.doc_id.eqNullSafe(found.own_id) & (rows.mark == found.own_mark), "left")

@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from siltline.llm import components, language, licences, mixing, pieces, ranking, sharding, simhash, substrings, suffix_array, vectors, weighted_sampling
 from siltline.llm.common import Scratch, mix, window_hash
@@ -200,6 +201,19 @@ def test_licences_in_wrapped_headers(spark):
     assert {i: out[i][:2] for i in range(3)} == {i: ([f], [2]) for i, f in enumerate(heads)} and out[9] == ([], [], 0)
 
 
+def test_licences_learn_from_all_lines(spark):
+    """Near misses that the 2,000 lines of the least hash, which were once all that was learned from, leave out."""
+    plain = [f"w{i} w{i * 7} w{i * 13}" for i in range(5000)]
+    odd = spark.createDataFrame([(f"all rights x{i} reserved",) for i in range(400)], "line string")
+    odd = [r.line for r in odd.where("xxhash64(line) > 0").orderBy("line").limit(150).collect()]
+    lines = spark.createDataFrame([(x,) for x in plain + odd], "line string")
+    assert lines.orderBy(F.xxhash64("line")).limit(2000).where("line like 'all rights%'").isEmpty() and len(odd) == 150
+    texts = ["\n".join((plain + odd)[i:i + 103]) for i in range(0, 5150, 103)] + ["w1 w2\n\nReleased under the MIT license."]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, 7, "s") for i, t in enumerate(texts)], SCHEMA)
+    out = {r.doc_id: (r.licences, r.unknown) for r in licences.scan(docs).collect()}
+    assert sum(u for _, u in out.values()) <= 5 and out[50] == (["mit"], 0)
+
+
 def covered(words, n):
     count = Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
     out = []
