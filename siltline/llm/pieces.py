@@ -286,7 +286,7 @@ class Pieces:
             if len(known) + len(new) > CACHE:
                 known = self._known = {x: ids for x in every if (ids := known.get(x)) is not None}
             known.update(new)
-            out += [b"".join([known[x] for x in words]) for words in split]
+            out += [b"".join(map(known.__getitem__, words)) for words in split]
             for x in new:
                 if len(x if isinstance(x, str) else x[0]) >= 64:
                     del known[x]
@@ -294,8 +294,7 @@ class Pieces:
         return out
 
     def decode(self, ids: bytes) -> str:
-        raw = self.raw
-        return b"".join([raw[i] for i in memoryview(ids).cast("I")]).decode()[1:]
+        return b"".join(map(self.raw.__getitem__, memoryview(ids).cast("I"))).decode()[1:]
 
     def key(self, doc_id: int | None) -> int:
         """What the choices of a document are keyed by."""
