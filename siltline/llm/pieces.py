@@ -6,7 +6,7 @@ import hashlib
 import heapq
 import os
 import re
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from siltline.llm.common import mix, prepare
 MODEL = os.environ.get("SILTLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Part of the candidate merges that are skipped, and the seed of the choice.
 DROPOUT, SEED = 0.1, 20240229
-#: Results that a worker remembers: words with the choices that were made for them.
+#: Results that a worker remembers: words with the choices that were made for them. It also forgets at 16 times as many ids or characters.
 CACHE = 600_000
 #: Choices of an occurrence that are drawn at once, two bytes each; further ones are hashed where a long word needs them.
 DRAWN = 32
@@ -28,6 +28,7 @@ SHORT = 48
 _SPACE = "▁"
 _NEVER = 1 << 30
 _ALL = (1 << 64) - 1
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of texts whose new words are segmented together, about, and words that are looked at at once.
 TOGETHER, ROWS = 1 << 19, 1 << 13
 
@@ -46,29 +47,49 @@ class _Agenda:
                 self.single[ord(p)] = n
         self.id = np.array([ids.get(p, -1) for p in symbols], np.int32)
         pairs = {(self.number[p[:i]] << 20) | self.number[p[i:]]: self.number[p] for p in rank for i in range(1, len(p)) if p[:i] in self.number and p[i:] in self.number}
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.made = np.array([pairs[x] for x in self.pairs.tolist()], np.int32)
+        self.bits = max(8, (8 * len(pairs)).bit_length())
+        self.pairs = np.full(1 << self.bits, -1, np.int64)  # at their hash, or in the next free place
+        self.made = np.full(1 << self.bits, _NEVER, np.int32)
+        for pair, at in zip(pairs, self._hash(np.array(list(pairs), np.int64)).tolist(), strict=True):
+            while self.pairs[at] >= 0:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.pairs[at], self.made[at] = pair, pairs[pair]
+
+    def _hash(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * _SPREAD) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """What neighbours merge to; numbers below zero are no symbols."""
         want = (a.astype(np.int64) << 20) | b
-        at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
-        return np.where((a >= 0) & (b >= 0) & (self.pairs[at] == want), self.made[at], _NEVER).astype(np.int32)
+        want[(a < 0) | (b < 0)] = -1  # found in the first free place, which makes nothing
+        at = self._hash(want)
+        out, there = self.made[at], self.pairs[at]
+        late = np.nonzero((there != want) & (there >= 0))
+        out[(there != want) & (there < 0)] = _NEVER
+        while len(late[0]):
+            at[late] = (at[late] + 1) & ((1 << self.bits) - 1)
+            there = self.pairs[at[late]]
+            out[late] = np.where(there == want[late], self.made[at[late]], _NEVER)
+            late = tuple(x[(there != want[late]) & (there >= 0)] for x in late)
+        return out
 
     def segment(self, words: list[tuple[str, int]]) -> list[bytes | None]:
         """Packed ids of words for their choices; None where a symbol has no id."""
         out: list[bytes | None] = [None] * len(words)
-        order = np.argsort(np.fromiter((len(u) for u, _ in words), np.int64, len(words)), kind="stable").tolist()
+        order = sorted(range(len(words)), key=lambda i: len(words[i][0]))
         for at in range(0, len(order), ROWS):
             own = order[at:at + ROWS]
-            for i, ids in zip(own, self._rows([words[i] for i in own]), strict=True):
-                out[i] = ids
+            ids, size, whole = self.rows([words[i][0] for i in own], np.array([words[i][1] for i in own], np.uint64))
+            edge = np.cumsum(size).tolist()
+            for i, a, b, w in zip(own, [0, *edge], edge, whole.tolist(), strict=False):
+                out[i] = ids[a:b].astype("<i4").tobytes() if w else None
         return out
 
-    def _rows(self, words: list[tuple[str, int]]) -> list[bytes | None]:
-        n, width = len(words), max(2, len(words[-1][0]))
-        size = np.fromiter((len(u) for u, _ in words), np.int64, n)
-        flat = self.single[np.frombuffer("".join([u for u, _ in words]).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    def rows(self, units: list[str], mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words in the order of their lengths one after another, the number of each word's, and whether all its symbols have one."""
+        n, width = len(units), max(2, len(units[-1]))
+        size = np.fromiter(map(len, units), np.int64, n)
+        flat = self.single[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
         column = np.arange(width)
         there = column < size[:, None]
         symbol = np.full((n, width + 1), -1, np.int32)
@@ -76,7 +97,7 @@ class _Agenda:
         rank = self._rank(symbol[:, :-1], symbol[:, 1:])  # of a column and the one after it
         after = np.tile(np.arange(1, width + 2, dtype=np.int16), (n, 1))
         before = np.tile(np.arange(-1, width, dtype=np.int16), (n, 1))
-        mask, live = np.array([m for _, m in words], np.uint64), np.arange(n)
+        mask, live = mask.copy(), np.arange(n)
         while len(live):
             own = rank[live]
             k = own.argmin(1)
@@ -104,8 +125,42 @@ class _Agenda:
         ids = np.where(kept >= 0, self.id[kept], -1)
         whole = np.ones(n, bool)
         whole[word[ids < 0]] = False
-        packed, edge = ids.astype("<i4").tobytes(), (4 * np.searchsorted(word, np.arange(n + 1))).tolist()
-        return [packed[a:b] if w else None for a, b, w in zip(edge[:-1], edge[1:], whole.tolist(), strict=True)]
+        return ids, np.bincount(word, minlength=n), whole
+
+
+class _Numbers(dict):
+    """Words and their numbers; a new one gets the next."""
+
+    def __init__(self):
+        self.words: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self.words)
+        self.words.append(word)
+        return n
+
+
+class _Rows:
+    """Arrays of numbers one after another, found by their place in the order they were added."""
+
+    def __init__(self):
+        self.flat, self.edge, self.n = np.empty(1 << 12, np.int32), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        at, n = int(self.edge[self.n]), self.n + len(size)
+        if at + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:at], np.empty(at + 2 * len(flat), np.int32)])
+        if n >= len(self.edge):
+            self.edge = np.concatenate([self.edge[:self.n + 1], np.empty(n + len(size), np.int64)])
+        self.flat[at:at + len(flat)] = flat
+        self.edge[self.n + 1:n + 1] = at + np.cumsum(size)
+        self.n = n
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of rows one after another, and where each row ends among them."""
+        size = self.edge[rows + 1] - self.edge[rows]
+        end = np.cumsum(size)
+        return self.flat[np.repeat(self.edge[rows] - end + size, size) + np.arange(end[-1] if len(end) else 0)], end
 
 
 class Pieces:
@@ -135,20 +190,28 @@ class Pieces:
         self.rank = {p: n for n, (_, _, p) in enumerate(sorted(merged)) if len(p) > 1}
         self._agenda = _Agenda(self.rank, self.ids)
         self.limit, self.seed = round(dropout * 65536), seed
-        self._known: dict[str | tuple[str, int], bytes] = {}
+        self._spell = np.array([*self.raw, None], object)[:-1]
+        self._forget()
         self._packed = [i.to_bytes(4, "little") for i in range(len(self.raw))]
         self._spelled = [self._packed[i] for i in self.byte]
         self._unit = re.compile(f"\n|{_SPACE}+[^{_SPACE}\n]*|[^{_SPACE}\n]+")
 
+    def _forget(self) -> None:
+        """Words by number with their lengths, and the ids of words by number and choices."""
+        self._numbers, self._length, self._known, self._ids = _Numbers(), np.zeros(0, np.int64), {}, _Rows()
+
     def _draws(self, key: int, n: int) -> list[int]:
         """For each of ``n`` words of a document a number whose bit k says whether its k-th candidate merge is skipped."""
-        if not self.limit:
-            return [0] * n
-        out = []
-        for at in range(0, n, 1 << 14):
-            places = np.arange(at * DRAWN // 4, min(n, at + (1 << 14)) * DRAWN // 4, dtype=np.uint64)
-            draws = mix(mix(places ^ np.uint64(key)) ^ np.uint64(self.seed)).view(np.uint16).reshape(-1, DRAWN)
-            out += np.packbits(draws < self.limit, axis=1, bitorder="little").view("<u4").ravel().tolist()
+        return self._drawn(np.full(n, key, np.uint64), np.arange(n)).tolist()
+
+    def _drawn(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The same for words of many documents, by the key of the document and the place in it."""
+        out = np.zeros(len(keys), np.uint64)
+        own, seed = np.arange(DRAWN // 4, dtype=np.uint64), np.uint64(self.seed)
+        for at in range(0, len(keys) if self.limit else 0, 1 << 12):
+            numbers = (places[at:at + (1 << 12), None].astype(np.uint64) * np.uint64(DRAWN // 4) + own) ^ keys[at:at + (1 << 12), None]
+            draws = mix(mix(numbers) ^ seed).view(np.uint16)
+            out[at:at + (1 << 12)] = np.packbits(draws < self.limit, axis=1, bitorder="little").view("<u4").ravel()
         return out
 
     def _more(self, unit: str, key: int, place: int, mask: int) -> int:
@@ -218,23 +281,28 @@ class Pieces:
                 heapq.heappush(agenda, (r, h, i, size + len(text[h])))
         return [s for s in text if s is not None]
 
-    def _choices(self, units: list[str], key: int) -> list[int]:
-        """For each word the choices that can count for it: at most one for each merge and for each one skipped before."""
-        masks = np.array(self._draws(key, len(units)), np.uint64)
-        least = np.maximum(np.fromiter(map(len, units), np.int64, len(units)) - 1, 0)
+    def _choices(self, units: list[str], length: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, dict[int, int]]:
+        """For each word the choices that can count for it: at most one for each merge and for each one skipped before. Those that
+        need more bits than are drawn at once are given by the word's position."""
+        masks, wide = self._drawn(keys, places), {}
+        least = np.maximum(length - 1, 0)
         n = np.minimum(least, DRAWN)
         low = lambda n: (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
         while ((more := np.minimum(least + np.bitwise_count(masks & low(n)), DRAWN)) > n).any():
             n = more
-        out = (masks & low(n)).tolist()
+        out = masks & low(n)
         if self.limit:
-            for place in np.flatnonzero(least + np.bitwise_count(masks & low(n)) > DRAWN).tolist():
-                n_all = first = int(least[place])
-                mask = self._more(units[place], key, place, int(masks[place]))
+            for i in np.flatnonzero(least + np.bitwise_count(out) > DRAWN).tolist():
+                n_all = first = int(least[i])
+                mask = self._more(units[i], int(keys[i]), int(places[i]), int(masks[i]))
                 while (more := first + (mask & ((1 << n_all) - 1)).bit_count()) > n_all:
                     n_all = more
-                out[place] = mask & ((1 << n_all) - 1)
-        return out
+                mask &= (1 << n_all) - 1
+                if mask >> DRAWN:
+                    wide[i] = mask
+                else:
+                    out[i] = mask
+        return out, wide
 
     def _units(self, text: str) -> list[str]:
         """The words of a text, each with its mark; a literal mark is an empty one."""
@@ -248,19 +316,53 @@ class Pieces:
             units += self._unit.findall(_SPACE + marked if part and not k else marked)
         return units
 
-    def _learn(self, wanted: set[str | tuple[str, int]]) -> dict[str | tuple[str, int], bytes]:
-        """Segments words, alone or with the choices that skip something, the short ones many at a time."""
-        out, short, keys = {}, [], []
-        for x in wanted:
-            unit, mask = (x, 0) if isinstance(x, str) else x
-            if 0 < len(unit) <= SHORT and mask <= _ALL:
-                short.append((unit, mask))
-                keys.append(x)
-            else:
-                out[x] = self._segment(unit, mask)
-        for x, word, ids in zip(keys, short, self._agenda.segment(short), strict=True):
-            out[x] = self._segment(*word) if ids is None else ids
-        return out
+    def _learn(self, units: list[str], masks: list[int]) -> np.ndarray:
+        """Segments words with their choices, the short ones many at a time; the rows of ``_ids`` that hold the results."""
+        rows = np.empty(len(units), np.int64)
+        order = sorted(range(len(units)), key=lambda i: len(units[i]))
+        for at in range(0, len(order), ROWS):
+            own = order[at:at + ROWS]
+            rows[own] = np.arange(self._ids.n, self._ids.n + len(own))
+            short = [i for i in own if 0 < len(units[i]) <= SHORT and masks[i] <= _ALL]
+            ids, size, whole = self._agenda.rows([units[i] for i in short], np.array([masks[i] for i in short], np.uint64)) if short else (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, bool))
+            if len(short) == len(own) and whole.all():
+                self._ids.add(ids, size)
+                continue
+            edge = np.cumsum(size).tolist()
+            done = {i: ids[a:b] for i, a, b, w in zip(short, [0, *edge], edge, whole.tolist(), strict=False) if w}
+            parts = [done[i] if i in done else np.frombuffer(self._segment(units[i], masks[i]), "<i4") for i in own]
+            self._ids.add(np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts)))
+        return rows
+
+    def _rows_of(self, numbers: np.ndarray, masks: np.ndarray) -> np.ndarray:
+        """Rows of ``_ids`` for words by number and choices of at most 32 bits."""
+        asked, back = np.unique(numbers.astype(np.uint64) << np.uint64(DRAWN) | masks, return_inverse=True)
+        rows = np.fromiter(map(self._known.get, asked.tolist(), repeat(-1)), np.int64, len(asked))
+        new = np.flatnonzero(rows < 0)
+        words, wanted = self._numbers.words, asked[new]
+        rows[new] = self._learn([words[i] for i in (wanted >> np.uint64(DRAWN)).tolist()], (wanted & np.uint64((1 << DRAWN) - 1)).tolist())
+        self._known.update(zip(wanted.tolist(), rows[new].tolist(), strict=True))
+        return rows[back]
+
+    def _encode_words(self, units: list[str], counts: list[int], keys: list[int]) -> list[bytes]:
+        """Ids of texts, given as the words of all one after another, how many each has, and its key."""
+        n, known = len(units), len(self._length)
+        numbers = np.fromiter(map(self._numbers.__getitem__, units), np.int64, n)
+        new = self._numbers.words[known:]
+        self._length = np.concatenate([self._length, np.fromiter(map(len, new), np.int64, len(new))])
+        last = np.cumsum(counts)
+        places = np.arange(n) - np.repeat(last - counts, counts)
+        masks, wide = self._choices(units, self._length[numbers], np.repeat(np.array(keys, np.uint64), counts), places)
+        rows, narrow = np.empty(n, np.int64), np.ones(n, bool)
+        narrow[list(wide)] = False
+        rows[narrow] = self._rows_of(numbers[narrow], masks[narrow])
+        if wide:
+            rare = {x: k for k, x in enumerate(dict.fromkeys((units[i], m) for i, m in wide.items()))}
+            learned = self._learn([u for u, _ in rare], [m for _, m in rare])
+            rows[list(wide)] = learned[[rare[units[i], m] for i, m in wide.items()]]
+        ids, end = self._ids.take(rows)
+        edge = np.concatenate([[0], end])[np.concatenate([[0], last])].tolist()
+        return [ids[a:b].astype("<i4").tobytes() for a, b in zip(edge, edge[1:], strict=False)]
 
     def encode(self, text: str, key: int = 0) -> bytes:
         """Ids of one text, four bytes each; see ``encode_all``."""
@@ -274,27 +376,22 @@ class Pieces:
         """
         out, at = [], 0
         while at < len(texts):
-            stop, size, split = at, 0, []
-            while stop < len(texts) and size < TOGETHER:
-                units = self._units(texts[stop][0])
-                split.append([(u, m) if m else u for u, m in zip(units, self._choices(units, texts[stop][1]), strict=True)])
-                size += len(texts[stop][0])
-                stop += 1
-            known = self._known
-            every = set(chain.from_iterable(split))
-            new = self._learn(every.difference(known))
-            if len(known) + len(new) > CACHE:
-                known = self._known = {x: ids for x in every if (ids := known.get(x)) is not None}
-            known.update(new)
-            out += [b"".join(map(known.__getitem__, words)) for words in split]
-            for x in new:
-                if len(x if isinstance(x, str) else x[0]) >= 64:
-                    del known[x]
-            at = stop
+            size, units, counts, keys = 0, [], [], []
+            while at < len(texts) and size < TOGETHER:
+                text, key = texts[at]
+                own = self._units(text)
+                units += own
+                counts.append(len(own))
+                keys.append(key)
+                size += len(text)
+                at += 1
+            out += self._encode_words(units, counts, keys)
+            if len(self._known) > CACHE or max(self._ids.edge[self._ids.n], self._length.sum()) > 16 * CACHE:
+                self._forget()
         return out
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.raw.__getitem__, memoryview(ids).cast("I"))).decode()[1:]
+        return b"".join(self._spell[np.frombuffer(ids, "<i4")].tolist()).decode()[1:]
 
     def key(self, doc_id: int | None) -> int:
         """What the choices of a document are keyed by."""

@@ -323,6 +323,24 @@ def test_pieces_with_a_small_memory(texts, monkeypatch):
     assert pieces.Pieces(model).encode_all(keyed) == want
 
 
+def test_pieces_are_learned_once_and_forgotten(texts, monkeypatch):
+    """A word with its choices is segmented once, whatever the number of its texts; the ids are those of each word's own agenda."""
+    with open(pieces.MODEL, "rb") as f:
+        own = pieces.Pieces(f.read())
+    keyed = [(t, k) for k, t in enumerate([*(t for t in texts if t), "unbelievablywords" * 9 + " \x00 漢字 ▁ ▁▁", "x" * 40 + " " + "ab" * 30, ""])]
+    asked, learn = Counter(), own._learn
+    monkeypatch.setattr(own, "_learn", lambda units, masks: asked.update(zip(units, masks, strict=True)) or learn(units, masks))
+    want = []
+    for text, key in keyed:
+        units = own._units(text)
+        draws = [own._more(u, key, i, d) if len(u) > 8 else d for i, (u, d) in enumerate(zip(units, own._draws(key, len(units)), strict=True))]
+        want.append(b"".join(own._segment(u, d) for u, d in zip(units, draws, strict=True)))
+    assert own.encode_all(keyed) == want and own.encode_all(keyed[::-1]) == want[::-1]
+    assert all(n == 1 for (_, m), n in asked.items() if m < 1 << pieces.DRAWN) and len(asked) < sum(len(own._units(t)) for t, _ in keyed)
+    monkeypatch.setattr(pieces, "CACHE", 50)
+    assert own.encode_all(keyed) == want and not own._known and not own._numbers and not own._ids.n
+
+
 def test_pieces_vary_by_occurrence():
     with open(pieces.MODEL, "rb") as f:
         model = f.read()
